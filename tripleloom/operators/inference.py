@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators.joins import spread_join
+from tripleloom.operators.joins import regroup
 from tripleloom.operators.lift import MergedGraph, StoredGraph, as_set, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
@@ -79,8 +79,7 @@ def some_values_members(types: DataFrame, graph, ax: DataFrame) -> DataFrame:
     for row in of_kind(ax, "some values").collect():
         facts = graph.match(row["property"]).where(F.col("o_kind") != "lit").select("s", "o")
         values = types.where(F.col("class") == row["object"]).select(F.col("s").alias("o"))
-        # distinct values per property are few and short; the hot value is dealt over tasks
-        found = spread_join(facts, values.distinct(), ["o"]).select("s").distinct()
+        found = facts.join(regroup(values.distinct(), ["o"]), "o").select("s").distinct()
         for cls in row["members"]:
             found = found.join(types.where(F.col("class") == cls).select("s"), "s", "left_semi")
         out.append(found.select("s", F.lit(row["subject"]).alias("class")))
@@ -146,7 +145,7 @@ def functional_same(graph, ax: DataFrame) -> DataFrame:
             .where(F.col("least") != F.col("most")).select("s", "least")
         )
         out.append(
-            spread_join(values, least, ["s"]).where(F.col("o") != F.col("least"))
+            values.join(regroup(least, ["s"]), "s").where(F.col("o") != F.col("least"))
             .select(F.col("least").alias("s"), F.lit(t.SAME_AS).alias("p"), *t.iri(F.col("o")).columns())
         )
     return as_set(union_all(out))

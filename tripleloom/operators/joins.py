@@ -4,38 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# A key is heavy when it holds more than 1/SHARE of the rows, so at most SHARE keys are heavy.
-SHARE = 1000
-SALTS = 64
 
+def regroup(grouped: DataFrame, keys: list[str]) -> DataFrame:
+    """A table with one row per key, made ready for a join with rows that may be skewed on the key.
 
-def heavy_keys(rows: DataFrame, keys: list[str], share: int = SHARE) -> DataFrame:
-    """The at most `share` keys that hold more than 1/share of all rows each."""
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total")).scalar()
-    return counts.where(F.col("_n") * share > total).select(*keys)
-
-
-def spread_join(
-    rows: DataFrame, unique: DataFrame, keys: list[str], how: str = "inner", share: int = SHARE, salts: int = SALTS
-) -> DataFrame:
-    """Join `rows` to a table with one row per key when some keys may hold a large part of `rows`.
-
-    Rows of heavy keys are dealt over `salts` tasks and only the few matching rows of `unique` are
-    repeated. The salt is a hash of the row, so a repeated task deals the same way. The broadcast
-    table has at most `share` rows by construction.
+    Adaptive execution splits the hot partitions of one side only when both sides are shuffled by
+    the join itself. A grouped table is already placed by its keys and would be taken as it is; a
+    key written as a new text is shuffled again, which costs one row per key.
     """
-    heavy = F.broadcast(heavy_keys(rows, keys, share).withColumn("_heavy", F.lit(True)))
-    dealt = rows.join(heavy, keys, "left").withColumn(
-        "_salt", F.when(F.col("_heavy"), F.pmod(F.xxhash64(*rows.columns), F.lit(salts))).otherwise(F.lit(0)).cast("int")
-    )
-    repeated = unique.join(heavy, keys, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_heavy"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return dealt.drop("_heavy").join(repeated.drop("_heavy"), [*keys, "_salt"], how).drop("_salt")
+    fresh = {k: F.concat(F.col(k), F.lit("")).alias(k) for k in keys}
+    return grouped.select(*[fresh.get(c, F.col(c)) for c in grouped.columns])
 
 
 def bind_join(local: DataFrame, facts: DataFrame, iri: str, fact: str, how: str = "inner") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from tripleloom.functions import terms as t
 from tripleloom.functions.text import cut_prefix, percent_decode
+from tripleloom.operators.joins import regroup
 
 # Id property and class of each kind in the authorities.
 ID_PROPERTY = {"movie": "P4947", "person": "P4985"}
@@ -39,20 +40,24 @@ def unambiguous(candidates: DataFrame, key: list[str], fields: list[str]) -> Dat
     )
 
 
-def link_by_id(keys: DataFrame, items: DataFrame, narrow: bool = False) -> DataFrame:
-    """Keys whose id is carried by exactly one (item, article) of the first authority.
-
-    `narrow` first keeps only the items of the wanted ids: right for a handful of keys.
-    """
+def unambiguous_items(items: DataFrame, only: DataFrame | None = None) -> DataFrame:
+    """(kind, id, item, article_name) for ids carried by exactly one (item, article). `only` first
+    keeps the items of the given (kind, id): right for a handful of keys."""
     own = items.select(
         by_kind("id_property", ID_PROPERTY).alias("kind"),
         F.col("id_value").alias("id"),
         "item",
         percent_decode(cut_prefix(F.col("article"), t.ENWIKI)).alias("article_name"),
     ).where(F.col("kind").isNotNull())
-    if narrow:
-        own = own.join(keys.select("kind", "id").distinct(), ["kind", "id"], "left_semi")
-    return keys.join(unambiguous(own, ["kind", "id"], ["item", "article_name"]), ["kind", "id"])
+    if only is not None:
+        own = own.join(only.select("kind", "id").distinct(), ["kind", "id"], "left_semi")
+    return unambiguous(own, ["kind", "id"], ["item", "article_name"])
+
+
+def link_by_id(keys: DataFrame, items: DataFrame, narrow: bool = False) -> DataFrame:
+    """The keys whose id names exactly one item of the first authority."""
+    found = unambiguous_items(items, keys if narrow else None)
+    return keys.join(regroup(found, ["kind", "id"]), ["kind", "id"])
 
 
 def expected_names(linked: DataFrame) -> DataFrame:
@@ -83,40 +88,55 @@ def link_candidates(expected: DataFrame, same: DataFrame) -> DataFrame:
     )
 
 
-def link_choice(expected: DataFrame, same: DataFrame, narrow: bool = False) -> DataFrame:
-    """The trusted candidate per item: the one with the expected name, else the only one.
-
-    A redirect counts only when it has the expected name, so without such a candidate the choice is
-    among direct resources alone, and smallest = largest says there is one. Two statement
-    aggregations, each to one row per key, replace the gathering of candidates per item.
-    """
+def _choices(same: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the statements offer, without knowing the keys: per (kind, item, name) the resource of
+    that decoded name, and per (kind, item) the smallest and largest direct resource."""
     statements = _statements(same)
-    if narrow:
-        statements = statements.join(expected.select("kind", "item").distinct(), ["kind", "item"], "left_semi")
     own = F.when(F.col("direct"), F.col("candidate"))
     alone = statements.groupBy("kind", "item").agg(F.min(own).alias("lo"), F.max(own).alias("hi"))
     named = (
         statements.withColumn("expected", percent_decode(F.col("candidate")))
-        .groupBy("kind", "item", "expected")
-        .agg(F.min("candidate").alias("named"))
+        .groupBy("kind", "item", "expected").agg(F.min("candidate").alias("named"))
     )
+    return regroup(named, ["kind", "item", "expected"]), regroup(alone, ["kind", "item"])
+
+
+def _chosen(linked: DataFrame, same: DataFrame) -> DataFrame:
+    """`linked` (kind, item, expected, ...) with the trusted resource of each item, or NULL.
+
+    The candidate with the expected name wins, else the only one. A redirect counts only when it
+    has the expected name, so without such a candidate the choice is among direct resources, and
+    smallest = largest says there is one. No group of candidates is ever gathered.
+    """
+    named, alone = _choices(same)
     return (
-        expected.join(named, ["kind", "item", "expected"], "left")
+        linked.join(named, ["kind", "item", "expected"], "left")
         .join(alone, ["kind", "item"], "left")
-        .select(
-            "kind", "item", F.coalesce("named", F.when(F.col("lo") == F.col("hi"), F.col("lo"))).alias("resource")
-        )
-        .where(F.col("resource").isNotNull())
+        .withColumn("resource", F.coalesce("named", F.when(F.col("lo") == F.col("hi"), F.col("lo"))))
+        .drop("named", "lo", "hi")
     )
 
 
-def link(keys: DataFrame, items: DataFrame, same: DataFrame, narrow: bool = False) -> DataFrame:
-    """Keys with `wikidata` and `dbpedia`, NULL where there is no link."""
-    linked = link_by_id(keys, items, narrow)
-    chosen = link_choice(expected_names(linked), same, narrow)
-    found = linked.join(chosen, ["kind", "item"], "left").select("kind", "id", "item", "resource")
-    return keys.join(found, ["kind", "id"], "left").select(
-        *keys.columns, F.col("item").alias("wikidata"), F.col("resource").alias("dbpedia")
+def link_choice(expected: DataFrame, same: DataFrame) -> DataFrame:
+    """The trusted candidate per item, for the items that have one."""
+    return _chosen(expected, same).select("kind", "item", "resource").where(F.col("resource").isNotNull())
+
+
+def link(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
+    """Keys with `wikidata` and `dbpedia`, NULL where there is no link.
+
+    One chain of left joins. A key without an item gets its own IRI as a stand-in, which matches no
+    statement and keeps the unlinked keys from meeting in one task as NULLs would.
+    """
+    known = keys.join(regroup(unambiguous_items(items), ["kind", "id"]), ["kind", "id"], "left").withColumns(
+        {
+            "found": F.col("item"),
+            "item": F.coalesce("item", "uri"),
+            "expected": F.coalesce(F.concat(F.lit(t.DBR), F.col("article_name")), F.col("uri")),
+        }
+    )
+    return _chosen(known, same).select(
+        *keys.columns, F.col("found").alias("wikidata"), F.col("resource").alias("dbpedia")
     )
 
 

@@ -6,13 +6,13 @@ number of rows that does not grow with the data, so broadcasting it is safe.
 
 from __future__ import annotations
 
+import hashlib
 import re
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators.lift import Rule, TripleMap, as_set, union_all
-from tripleloom.sources.constants import constant_rows
+from tripleloom.sources.constants import constant_rows, constant_triples
 
 AXIOMS = {"kind": "string", "subject": "string", "property": "string", "object": "string", "members": "strings"}
 
@@ -61,6 +61,11 @@ def axiom_rows(action: str = "Action", comedy: str = "Comedy") -> list[tuple]:
         node = f"{o}genre_{re.sub('[^a-z0-9]+', '_', genre.lower())}"
         add("has value", o + name, t.GENRE, node)
         add("individual", node, o + "Genre", genre)
+    for subject, prop, obj in (
+        ("CastRole", "seeAlso", t.SCHEMA + "PerformanceRole"), ("characterName", "seeAlso", t.SCHEMA + "characterName")
+    ):
+        add("see also", o + subject, t.RDFS + prop, obj)
+    add("comment", o + "CastRole", None, "An actor in a movie, with character and billing position.")
     add("disjoint", o + "ComedyMovie", None, o + "ActionMovie")
     add("some values", o + "AwardWinningDirector", t.HAS_AWARD, o + "Award", [o + "Director"])
     add("chain", t.STARRING, None, None, [t.HAS_ROLE, t.PLAYED_BY])
@@ -103,51 +108,67 @@ def class_closure(ax: DataFrame) -> DataFrame:
 
 
 def ontology_triples(ax: DataFrame) -> DataFrame:
-    """The axioms as OWL triples; restrictions and lists become blank nodes."""
+    """The axioms as OWL triples; restrictions and lists become blank nodes.
+
+    As many triples as the ontology has, whatever the data: again a constant table.
+    """
     owl, rdf, rdfs = t.OWL, t.RDF, t.RDFS
-    s, p, o, m = (F.col(c) for c in ("subject", "property", "object", "members"))
-
-    def table(kinds: tuple[str, ...], *rules: Rule) -> DataFrame:
-        return TripleMap(of_kind(ax, *kinds), list(rules)).triples()
-
-    restriction = t.blank_id(F.col("kind"), s, p, o)
-    parts = t.blank_id(F.lit("intersection"), s)
-    cell = [t.blank_id(F.lit(f"list{i}"), s) for i in range(2)]
-    nil = t.iri(rdf + "nil")
-    frames = [
-        table(("class",), Rule(s, t.TYPE, t.iri(owl + "Class")), Rule(s, t.LABEL, t.tagged(o, "en"))),
-        table(("label",), Rule(s, t.LABEL, t.tagged(o, "en"))),
-        table(("equivalent",), Rule(s, owl + "equivalentClass", t.iri(o))),
-        table(("subclass",), Rule(s, rdfs + "subClassOf", t.iri(o))),
-        table(("disjoint",), Rule(s, owl + "disjointWith", t.iri(o))),
-        table(("inverse",), Rule(s, owl + "inverseOf", t.iri(o))),
-        table(("functional",), Rule(s, t.TYPE, t.iri(owl + "FunctionalProperty"))),
-        table(("individual",), Rule(s, t.TYPE, t.iri(p)), Rule(s, t.LABEL, t.tagged(o, "en"))),
-        table(
-            ("object property",), Rule(s, t.TYPE, t.iri(owl + "ObjectProperty")),
-            Rule(s, rdfs + "domain", t.iri(p)), Rule(s, rdfs + "range", t.iri(o)),
-        ),
-        table(
-            ("datatype property",), Rule(s, t.TYPE, t.iri(owl + "DatatypeProperty")),
-            Rule(s, rdfs + "domain", t.iri(p)), Rule(s, rdfs + "range", t.iri(o)),
-        ),
-        table(
-            ("has value",), Rule(s, owl + "equivalentClass", t.blank(restriction)),
-            Rule(restriction, t.TYPE, t.iri(owl + "Restriction")), Rule(restriction, owl + "onProperty", t.iri(p)),
-            Rule(restriction, owl + "hasValue", t.iri(o)),
-        ),
-        table(
-            ("some values",), Rule(s, owl + "equivalentClass", t.blank(parts)),
-            Rule(parts, t.TYPE, t.iri(owl + "Class")), Rule(parts, owl + "intersectionOf", t.blank(cell[0])),
-            Rule(cell[0], rdf + "first", t.iri(m[0])), Rule(cell[0], rdf + "rest", t.blank(cell[1])),
-            Rule(cell[1], rdf + "first", t.blank(restriction)), Rule(cell[1], rdf + "rest", nil),
-            Rule(restriction, t.TYPE, t.iri(owl + "Restriction")), Rule(restriction, owl + "onProperty", t.iri(p)),
-            Rule(restriction, owl + "someValuesFrom", t.iri(o)),
-        ),
-        table(
-            ("chain",), Rule(s, owl + "propertyChainAxiom", t.blank(cell[0])),
-            Rule(cell[0], rdf + "first", t.iri(m[0])), Rule(cell[0], rdf + "rest", t.blank(cell[1])),
-            Rule(cell[1], rdf + "first", t.iri(m[1])), Rule(cell[1], rdf + "rest", nil),
-        ),
-    ]
-    return as_set(union_all(frames))
+    out: set[tuple] = set()
+
+    def node(*parts) -> str:
+        return "_:b" + hashlib.md5("\x1f".join(map(str, parts)).encode()).hexdigest()
+
+    def add(s: str, p: str, o: str, kind: str = "iri", lang: str = "") -> None:
+        out.add((s, p, o, "bnode" if o.startswith("_:") else kind, "", lang))
+
+    def ends(s, domain, range_, kind):
+        add(s, t.TYPE, owl + kind)
+        add(s, rdfs + "domain", domain)
+        add(s, rdfs + "range", range_)
+
+    def rdf_list(key: str, items: list[str]) -> str:
+        cells = [node("list", key, i) for i in range(len(items))] + [rdf + "nil"]
+        for cell, item, rest in zip(cells, items, cells[1:]):
+            add(cell, rdf + "first", item)
+            add(cell, rdf + "rest", rest)
+        return cells[0]
+
+    def restriction(s, p, how, value) -> str:
+        own = node(s, p, value)
+        add(own, t.TYPE, owl + "Restriction")
+        add(own, owl + "onProperty", p)
+        add(own, owl + how, value)
+        return own
+
+    direct = {
+        "equivalent": owl + "equivalentClass", "subclass": rdfs + "subClassOf", "disjoint": owl + "disjointWith",
+        "inverse": owl + "inverseOf", "see also": rdfs + "seeAlso",
+    }
+    for kind, s, p, o, parts in ax.select("kind", "subject", "property", "object", "members").collect():
+        if kind in direct:
+            add(s, direct[kind], o)
+        elif kind in ("class", "label"):
+            add(s, t.LABEL, o, "lit", "en")
+            if kind == "class":
+                add(s, t.TYPE, owl + "Class")
+        elif kind == "comment":
+            add(s, rdfs + "comment", o, "lit", "en")
+        elif kind == "individual":
+            add(s, t.TYPE, p)
+            add(s, t.LABEL, o, "lit", "en")
+        elif kind == "functional":
+            add(s, t.TYPE, owl + "FunctionalProperty")
+        elif kind == "object property":
+            ends(s, p, o, "ObjectProperty")
+        elif kind == "datatype property":
+            ends(s, p, o, "DatatypeProperty")
+        elif kind == "has value":
+            add(s, owl + "equivalentClass", restriction(s, p, "hasValue", o))
+        elif kind == "some values":
+            both = node("intersection", s)
+            add(s, owl + "equivalentClass", both)
+            add(both, t.TYPE, owl + "Class")
+            add(both, owl + "intersectionOf", rdf_list(s, [*parts, restriction(s, p, "someValuesFrom", o)]))
+        elif kind == "chain":
+            add(s, owl + "propertyChainAxiom", rdf_list(s, parts))
+    return constant_triples(ax.sparkSession, sorted(out))

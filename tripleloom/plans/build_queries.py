@@ -11,11 +11,12 @@ from tripleloom.functions.text import json_cell, slug, strip
 from tripleloom.operators.lift import MappedGraph
 from tripleloom.plans.federated_queries import english
 from tripleloom.plans.graph_queries import DIRECTOR, FILM
+from tripleloom.session import new_table_path
 from tripleloom.sources.authority import award_claims
 from tripleloom.sources.driver_views import (
     DriverViews, every, movie_iri, movie_title, person_iri, person_name, text_key,
 )
-from tripleloom.sources.triples_io import from_lines, to_lines
+from tripleloom.sources.triples_io import read_ntriples, write_ntriples
 
 MIN_VOTES = 4
 
@@ -220,8 +221,10 @@ def describe_movie(v: DriverViews) -> DataFrame:
 
 
 def ntriples_roundtrip(v: DriverViews) -> DataFrame:
-    """Triples written as lines and read back, counted by predicate and kind of object."""
-    back = from_lines(to_lines(v.graph.triples()))
+    """Triples written as lines of text and read back, counted by predicate and kind of object."""
+    path = new_table_path(v.spark)
+    write_ntriples(v.graph.triples(), path)
+    back = read_ntriples(v.spark, path)
     return back.groupBy("p", "o_kind").agg(
         F.count(F.lit(1)).alias("triples"), F.sum(F.length("o")).alias("chars"), F.max("o_dt").alias("datatype")
     )

@@ -18,6 +18,8 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        # the Python call site of every expression is of use only in error messages, and is costly
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )

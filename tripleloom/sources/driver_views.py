@@ -13,6 +13,7 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import StructType
 
 from tripleloom.functions import terms as t
 from tripleloom.operators import lift
@@ -56,9 +57,14 @@ def person_iri(key: Column) -> Column:
 class DriverViews:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._schemas: dict[str, StructType] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """A scan of its own per use; the schema is read from the file once."""
+        path = f"{self.folder}/{name}.parquet"
+        if name not in self._schemas:
+            self._schemas[name] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(self._schemas[name]).parquet(path)
 
     # --- property tables ------------------------------------------------------------------------
 

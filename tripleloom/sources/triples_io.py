@@ -7,10 +7,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tripleloom.functions import terms as t
 from tripleloom.operators.lift import StoredGraph, as_set, union_all
 
-_NODE = r"(?:<[^>]*>|_:\S+)"
-_LITERAL = r'"(?:[^"\\]|\\.)*+"(?:\^\^<[^>]*>|@[A-Za-z0-9\-]+)?'
-LINE = rf"^\s*({_NODE})\s*(<[^>]*>)\s*({_NODE}|{_LITERAL})\s*\.\s*(?:#.*)?$"
-SKIP = r"^\s*(?:#.*)?$"
+# One line: subject, predicate and object, each IRI without its brackets, a literal without its
+# quotes. Every loop is possessive, so long texts neither backtrack nor deepen the stack.
+LINE = (
+    r"^\s*+(?:<([^>]*+)>|(_:\S*[^\s.]))\s*+<([^>]*+)>\s*+"
+    r"(?:<([^>]*+)>|(_:\S*[^\s.])"
+    r'|(")([^"\\]*+(?:\\.[^"\\]*+)*+)"(?:\^\^<([^>]*+)>|@([A-Za-z0-9\-]++))?)'
+    r"\s*+\.\s*+(?:#.*)?$"
+)
+MARK = "\x01"
+PARTS = MARK.join(["$1$2", "$3", "$6", "$8", "$9", "$4$5$7"])
 
 
 def _escape(x: Column) -> Column:
@@ -46,32 +52,28 @@ def to_lines(triples: DataFrame) -> DataFrame:
     return triples.select(F.concat_ws(" ", _resource(F.col("s")), predicate, obj, F.lit(".")).alias("value"))
 
 
-def _bare(x: Column) -> Column:
-    return F.when(F.startswith(x, F.lit("<")), _unescape(F.substring(x, F.lit(2), F.length(x) - 2))).otherwise(x)
-
-
 def from_lines(lines: DataFrame) -> DataFrame:
-    """Triples from lines of N-Triples (column `value`). A line that is none is an error."""
-    part = [F.regexp_extract("value", LINE, i).alias(n) for i, n in ((1, "s_"), (2, "p_"), (3, "o_"))]
-    rows = lines.where(~F.col("value").rlike(SKIP)).select("value", *part)
+    """Triples from lines of N-Triples (column `value`). A line that is none is an error.
+
+    One regular expression per line; the text of the object comes last and may hold the mark.
+    """
+    parts = F.split(F.regexp_replace("value", LINE, PARTS), MARK, 6)
+    bare = F.ltrim("value")
+    rows = lines.where((bare != "") & ~F.startswith(bare, F.lit("#"))).select("value", parts.alias("part"))
     bad = F.raise_error(F.concat(F.lit("not an N-Triples line: "), F.col("value")))
-    rows = rows.select(F.when(F.col("s_") == "", bad).otherwise(F.col("s_")).alias("s_"), "p_", "o_")
-    o = F.col("o_")
-    literal = F.startswith(o, F.lit('"'))
-    end = F.length(o) - F.length(F.substring_index(o, '"', -1))
-    suffix = F.substring_index(o, '"', -1)
-    typed = F.startswith(suffix, F.lit("^^"))
-    tagged = F.startswith(suffix, F.lit("@"))
-    # a datatype IRI holds no quote, so the last quote ends the text
+    names = ["s", "p", "quote", "dt", "lang", "o"]
+    rows = rows.select(F.when(F.size("part") == 6, F.col("part")).otherwise(bad).alias("part")).select(
+        *[F.col("part")[i].alias(n) for i, n in enumerate(names)]
+    )
+    literal = F.col("quote") != ""
+    plain = literal & (F.col("dt") == "") & (F.col("lang") == "")
     return rows.select(
-        _bare(F.col("s_")).alias("s"),
-        _bare(F.col("p_")).alias("p"),
-        F.when(literal, _unescape(F.substring(o, F.lit(2), end - 2))).otherwise(_bare(o)).alias("o"),
-        F.when(literal, "lit").when(F.startswith(o, F.lit("_:")), "bnode").otherwise("iri").alias("o_kind"),
-        F.when(~literal | tagged, "")
-        .when(typed, F.substring(suffix, F.lit(4), F.length(suffix) - 4))
-        .otherwise(t.XSD_STRING).alias("o_dt"),
-        F.when(literal & tagged, F.substring(suffix, F.lit(2), F.length(suffix))).otherwise("").alias("o_lang"),
+        _unescape(F.col("s")).alias("s"),
+        _unescape(F.col("p")).alias("p"),
+        _unescape(F.col("o")).alias("o"),
+        F.when(literal, "lit").when(F.startswith("o", F.lit("_:")), "bnode").otherwise("iri").alias("o_kind"),
+        F.when(plain, t.XSD_STRING).otherwise(F.col("dt")).alias("o_dt"),
+        F.col("lang").alias("o_lang"),
     )
 
 
