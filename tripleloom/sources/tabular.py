@@ -16,10 +16,10 @@ def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, o
     Without `columns` the header line names them. Empty cells read as ''. `ordinal` adds the place
     of a row in the input: increasing within a file and over the files in reading order.
     """
-    reader = spark.read.options(**QUOTED, multiLine=True, emptyValue="", nullValue="\x00")
+    reader = spark.read.options(**QUOTED, multiLine=True, emptyValue="")
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    rows = reader.csv(path)
+    rows = reader.csv(path).na.fill("")
     if ordinal:
         rows = rows.withColumn("ordinal", F.monotonically_increasing_id())
     return rows
