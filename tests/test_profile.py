@@ -50,7 +50,7 @@ def test_metadata_graph(spark, graphs):
     assert (t.META + "distribution_a", t.DCAT + "byteSize", "10") in said
     assert (t.META + "distribution_b", t.VOID + "triples", "3") in said
     assert (t.META + "linkset_dbpedia.org", t.VOID + "triples", "1") in said
-    assert any("RDF description of 3 movies" in r["o"] for r in rows)
+    assert any("Graph of 3 movies" in r["o"] for r in rows)
     parts = [r["o"] for r in rows if r["p"] == t.VOID + "classPartition"]
     assert len(set(parts)) == 3 and {(x, t.VOID + "entities") for x in parts} <= {(s, p) for s, p, _ in said}
     again = profile.kept_created(made, dataclasses.replace(DESCRIPTION), "2026-02-02")

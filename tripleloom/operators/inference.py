@@ -77,7 +77,7 @@ def some_values_members(types: DataFrame, graph, ax: DataFrame) -> DataFrame:
     """Members of every listed class that have the property with a value of the wanted class."""
     out = []
     for row in of_kind(ax, "some values").collect():
-        facts = graph.match(row["property"]).where(F.col("o_kind") != "lit").select("s", "o")
+        facts = graph.match(row["property"], as_bag=True).where(F.col("o_kind") != "lit").select("s", "o")
         values = types.where(F.col("class") == row["object"]).select(F.col("s").alias("o"))
         found = facts.join(regroup(values.distinct(), ["o"]), "o").select("s").distinct()
         for cls in row["members"]:
@@ -106,8 +106,8 @@ def chain_triples(graph, ax: DataFrame) -> DataFrame:
     out = []
     for row in of_kind(ax, "chain").collect():
         first, second = row["members"]
-        left = graph.match(first).where(F.col("o_kind") != "lit").select("s", F.col("o").alias("via"))
-        right = graph.match(second).select(F.col("s").alias("via"), *t.OBJECT)
+        left = graph.match(first, as_bag=True).where(F.col("o_kind") != "lit").select("s", F.col("o").alias("via"))
+        right = graph.match(second, as_bag=True).select(F.col("s").alias("via"), *t.OBJECT)
         out.append(left.join(right, "via").select("s", F.lit(row["subject"]).alias("p"), *t.OBJECT))
     return as_set(union_all(out))
 
@@ -117,8 +117,8 @@ def both_ends_members(graph, ax: DataFrame) -> DataFrame:
     out = []
     for row in of_kind(ax, "both ends").collect():
         p, q = row["members"]
-        left = graph.match(p).where(F.col("o_kind") != "lit").select("s", "o")
-        right = graph.match(q).where(F.col("o_kind") != "lit").select("s", "o")
+        left = graph.match(p, as_bag=True).where(F.col("o_kind") != "lit").select("s", "o")
+        right = graph.match(q, as_bag=True).where(F.col("o_kind") != "lit").select("s", "o")
         out.append(
             left.join(right, ["s", "o"], "left_semi").select(
                 F.col("o").alias("s"), F.lit(row["subject"]).alias("class"))
@@ -190,8 +190,9 @@ def derive_types(graph, ax: DataFrame) -> DataFrame:
 
     Complete for axioms in which no class membership leads to a new property fact; for the rest
     `materialise` repeats the pass. Facts are read as bags, repeated ones give the same members.
+    Each part of the derived facts has a constant predicate, so a match keeps only its own parts.
     """
-    derived = StoredGraph(cut_lineage(union_all([inverse_triples(graph, ax), chain_triples(graph, ax)])))
+    derived = StoredGraph(union_all([inverse_triples(graph, ax), chain_triples(graph, ax)]))
     named = [r["subject"] for r in of_kind(ax, "object property", "datatype property").collect()]
     wanted = [r["property"] for r in of_kind(ax, "has value").collect()]
     facts = {p: _both(graph, derived, p) for p in sorted({*named, *wanted})}
@@ -221,8 +222,8 @@ def materialise(graph, ax: DataFrame, max_rounds: int = 10) -> tuple[DataFrame,
 
     Only membership of a has-value class can add property facts after the first pass, so a further
     round is needed exactly when such a class has a member without the fact. Each round is cut with
-    a written table, which survives the loss of executors. Give it a stored graph: it is read by
-    predicate several times.
+    a written table, which survives the loss of executors. The graph is read by predicate several
+    times, so give it one over stored tables.
     """
     has_value = [r["subject"] for r in of_kind(ax, "has value").collect()]
     properties = sorted({r["property"] for r in of_kind(ax, "has value").collect()})

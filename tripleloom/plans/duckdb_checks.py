@@ -433,9 +433,9 @@ CHECKS: dict[str, str] = {
           UNION ALL SELECT 'dataset', 'http://rdfs.org/ns/void#classes', CAST(classes AS VARCHAR), '' FROM n
           UNION ALL SELECT 'dataset', 'http://rdfs.org/ns/void#properties', CAST(properties AS VARCHAR), '' FROM n
           UNION ALL SELECT 'dataset', 'http://purl.org/dc/terms/description',
-            'RDF description of ' || movies || ' movies with directors, cast, genre, studio and country.', 'en' FROM n
+            'Graph of ' || movies || ' movies with their people, roles and places.', 'en' FROM n
           UNION ALL SELECT 'dataset', 'http://purl.org/dc/terms/description',
-            'Mô tả RDF của ' || movies || ' bộ phim cùng đạo diễn, diễn viên, thể loại, hãng phim và quốc gia.', 'vi' FROM n
+            'Đồ thị gồm ' || movies || ' phim, kèm con người, vai diễn và nơi chốn.', 'vi' FROM n
           UNION ALL SELECT 'linkset_' || CASE WHEN o LIKE '%wikidata%' THEN 'wikidata.org' ELSE 'dbpedia.org' END,
             'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), '' FROM sameas GROUP BY 1
           UNION ALL SELECT 'distribution_' || g, 'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), ''

@@ -144,7 +144,7 @@ def year_check(v: DriverViews) -> DataFrame:
     )
     return (
         linked.join(first, "item").groupBy("id", "title", "year").agg(F.min("wikidataYear").alias("wikidataYear"))
-        .select("title", "year", "wikidataYear").orderBy("title")
+        .orderBy("title", "id").select("title", "year", "wikidataYear")
     )
 
 

@@ -96,15 +96,13 @@ def write_ntriples(triples: DataFrame, path: str) -> None:
     to_lines(triples).write.text(path)
 
 
-def write_table(triples: DataFrame, path: str, files_per_predicate: int = 64) -> None:
+def write_table(triples: DataFrame, path: str) -> None:
     """Parquet by predicate, so that a pattern with a given predicate reads only its folder.
 
-    Rows are dealt by predicate and a hash of the subject: a predicate with a large part of all
-    triples is written by many tasks, and each folder gets at most `files_per_predicate` files.
+    Rebalancing by predicate lets adaptive execution split a predicate that holds a large part of
+    all triples over many tasks and join small ones, so files come out even.
     """
-    slot = F.pmod(F.xxhash64("s"), F.lit(files_per_predicate))
-    dealt = triples.select(*t.TERM).withColumn("_slot", slot).repartition("p", "_slot").drop("_slot")
-    dealt.write.partitionBy("p").parquet(path)
+    triples.select(*t.TERM).hint("rebalance", "p").write.partitionBy("p").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> StoredGraph:
