@@ -160,14 +160,6 @@ def link_coverage(report: DataFrame) -> DataFrame:
     )
 
 
-def link_counts(same_as: DataFrame) -> DataFrame:
-    """`owl:sameAs` statements (s, o) per authority, one row."""
-    return same_as.agg(
-        F.count_if(F.startswith("o", F.lit("http://www.wikidata.org/"))).alias("graph_wikidata"),
-        F.count_if(F.startswith("o", F.lit("http://dbpedia.org/"))).alias("graph_dbpedia"),
-    )
-
-
 def link_gate(same_as: DataFrame, report: DataFrame, fail: bool = True) -> DataFrame:
     """The graph's links and the report's must agree in number; else the job fails (or says so)."""
     sides = (
