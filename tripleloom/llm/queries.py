@@ -8,19 +8,79 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripleloom.llm import language, quality, shard_tree, toxicity
+from tripleloom.llm.binary_codes import near_vectors
+from tripleloom.llm.bit_sliced import top_k
 from tripleloom.llm.bpe import bpe_decode, bpe_encode
-from tripleloom.llm.common import table
+from tripleloom.llm.common import fold, table
+from tripleloom.llm.packing import best_fit_packed
+from tripleloom.llm.secrets import scan
 from tripleloom.llm.simhash import simhash_components
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 
+TOP_K = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, r.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * r.v[i]))::BIGINT AS score
+  FROM usable q JOIN usable r ON q.vec_id <> r.vec_id AND len(q.v) = len(r.v) WHERE q.vec_id % 20 = 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20"""
+
+
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents whose fingerprints differ in at most 4 bits."""
     found = simhash_components(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each text, learned from the labels of all folds but the held-out one."""
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", (fold(docs["doc_id"], 5) == 0).alias("held_out"), quality.score(docs["text"], model).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each text, by pattern and by entropy."""
+    return scan(table(spark, sf_dir, "documents"))
+
+
+def op4_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards 0 to 23 by doc_id, and the shard after one more has joined."""
+    found = shard_tree.sharded(table(spark, sf_dir, "documents"), shard_tree.ShardTree())
+    return found.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def op5_binary_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors linked by a cosine of 0.95 or more, and their components."""
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each text, learned from the labels of all folds but the held-out one."""
+    docs = table(spark, sf_dir, "documents")
+    fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    rows = docs.select("doc_id", (fold(docs["doc_id"], 5) == 0).alias("held_out"), "text")
+    scored = toxicity.scored(rows, fitted, keep_text=False).withColumnRenamed("toxicity", "score")
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def op7_residual_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 1024 tokens."""
+    return best_fit_packed(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
+def op8_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best rows of each vector whose id is divisible by 20."""
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Number and digest of the ids of each text, and the digest of what they decode to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -33,9 +93,27 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each text, learned from all folds but the held-out one."""
+    docs = table(spark, sf_dir, "documents")
+    found = language.predicted(docs, language.fit(docs))
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_simhash": op1_simhash, "op9_bpe": op9_bpe}
+    return {
+        "op1_simhash": op1_simhash,
+        "op2_quality": op2_quality,
+        "op3_secrets": op3_secrets,
+        "op4_hash_tree": op4_hash_tree,
+        "op5_binary_codes": op5_binary_codes,
+        "op6_toxicity": op6_toxicity,
+        "op7_residual_packing": op7_residual_packing,
+        "op8_bit_sliced_top_k": op8_bit_sliced_top_k,
+        "op9_bpe": op9_bpe,
+        "op10_language": op10_language,
+    }
 
 
 def llm_checks() -> dict[str, str]:
-    return {}
+    return {"op4_hash_tree": shard_tree.sql(shard_tree.ShardTree()), "op8_bit_sliced_top_k": TOP_K}
