@@ -38,7 +38,7 @@ THRESHOLDS = {"hex": 3.0, "upper": 3.4, "mixed": 3.6}
 ALLOWED = re.compile(
     r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9+/_=-]+|.*(?:example|sample|placeholder|changeme).*"
 )
-_SHARE = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 1))]
+_SHARE = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 2))]  # one more than a window holds: a character enters before one leaves
 
 
 def character_class(run: str) -> str | None:
