@@ -6,7 +6,8 @@ from tripleloom.functions import terms as t
 from tripleloom.operators import inference
 from tripleloom.operators.joins import regroup, set_difference_counts
 from tripleloom.operators.lift import StoredGraph
-from tripleloom.operators.ontology import axioms, class_closure, ontology_triples
+from tripleloom.operators.ontology import AXIOMS, axioms, class_closure, ontology_triples
+from tripleloom.session import shared_folder
 from tripleloom.sources.constants import constant_rows, constant_triples
 
 O, R = t.ONT, t.RES
@@ -42,8 +43,11 @@ def test_materialise_reaches_the_fixpoint(spark):
     assert got["p3"] == {"Person", t.PERSON, "Actor"} and got["p4"] == {"Person", t.PERSON, "Director"}
     assert got["r1"] == got["r2"] == {"CastRole"}
     assert got[O + "award"] == {"Award"} and got[O + "genre_comedy"] == {"Genre"}
-    assert [(r["s"], r["o"]) for r in facts.collect()] == [(R + "m2", O + "genre_comedy")]
-    again, none = inference.materialise(graph(spark, FACTS + [(R + "m2", t.GENRE, O + "genre_comedy")]), axioms(spark))
+    added = {(r["s"], r["p"], r["o"]) for r in facts.collect()}
+    assert added == {
+        (R + "r1", t.ROLE_IN, R + "m1"), (R + "m1", t.STARRING, R + "p1"), (R + "m2", t.HAS_ROLE, R + "r2"),
+        (R + "m2", t.STARRING, R + "p3"), (R + "m2", t.GENRE, O + "genre_comedy")}
+    again, none = inference.materialise(graph(spark, FACTS + sorted(added)), axioms(spark))
     assert types_of(again) == got and none.isEmpty()
 
 
@@ -133,3 +137,45 @@ def test_hot_key_is_split_at_run_time(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+def test_rules_feed_each_other(spark):
+    """An inverse fact completes a chain, the chain a class, and all of these facts are returned."""
+    facts = [(R + "r1", t.ROLE_IN, R + "m1"), (R + "r1", t.PLAYED_BY, R + "p1"), (R + "m1", t.DIRECTOR, R + "p1")]
+    types, added = inference.materialise(graph(spark, facts), axioms(spark))
+    assert "ActorDirector" in types_of(types)["p1"]
+    assert {(r["s"], r["p"], r["o"]) for r in added.collect()} == {
+        (R + "m1", t.HAS_ROLE, R + "r1"), (R + "m1", t.STARRING, R + "p1")}
+
+
+@pytest.mark.parametrize("kind", ["inverse", "some values", "has value", "chain", "both ends", "functional", "disjoint"])
+def test_absent_axiom_kinds(spark, kind):
+    ax = axioms(spark).where(f"kind <> '{kind}'")
+    g = graph(spark, FACTS)
+    types, _ = inference.materialise(g, ax)
+    assert "Movie" in types_of(types)["m1"]
+    for rows in (inference.functional_same(g, ax), inference.functional_clashes(g, ax), inference.disjoint_clashes(types, ax)):
+        assert rows.count() >= 0
+
+
+def test_classes_over_defined_classes(spark):
+    """A class defined over another defined class, and more rounds than any fixed number."""
+    rows = [("some values", f"{O}C{i + 1}", f"{O}next", f"{O}C{i}", []) for i in range(12)]
+    rows += [("subclass", f"{O}C0", None, f"{O}Base", None)]
+    ax = constant_rows(spark, AXIOMS, rows)
+    chain = [(R + "x0", t.TYPE, O + "C0")] + [(R + f"x{i + 1}", O + "next", R + f"x{i}") for i in range(12)]
+    types, _ = inference.materialise(graph(spark, chain), ax)
+    got = types_of(types)
+    assert got["x0"] == {"C0", "Base"} and all(got[f"x{i}"] == {f"C{i}"} for i in range(1, 13))
+
+
+def test_a_cluster_without_shared_folder_is_an_error(spark):
+    class Elsewhere:
+        class conf:
+            get = staticmethod(lambda *_: None)
+
+        class sparkContext:
+            master = "spark://somewhere:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Elsewhere)

@@ -42,6 +42,32 @@ def test_foreign_lines(spark):
             triples_io.from_lines(constant_rows(spark, {"value": "string"}, [(wrong,)])).collect()
 
 
+def test_escapes_of_any_plane(spark):
+    lines = ['<a> <b> "x\\U0001F600y\\U00000041 \\\\U0001F600 \\u00e9 \\U0010FFFF" .', "<a\\u0062> <b> <c> ."]
+    got = triples_io.from_lines(constant_rows(spark, {"value": "string"}, [(x,) for x in lines])).collect()
+    assert [(r["s"], r["o"]) for r in got] == [("a", "x\U0001F600yA \\U0001F600 é \U0010FFFF"), ("ab", "c")]
+    for wrong in (r'<a> <b> "\u12 " .', r'<a> <b> "\q" .', r'<a> <b> "\U00110000" .'):
+        with pytest.raises(Exception, match="N-Triples"):
+            triples_io.from_lines(constant_rows(spark, {"value": "string"}, [(wrong,)])).collect()
+
+
+def test_place_in_the_input_and_many_tasks(spark, tmp_path):
+    """Rows are numbered by file name and place, whatever order Spark reads the files in."""
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, n in (("a.csv", 3), ("b.csv", 500), ("c.csv", 40)):
+        (folder / name).write_text("k,v\n" + "".join(f"{name}{i:04},\n" for i in range(n)))
+    expected = [f"{name}{i:04}" for name, n in (("a.csv", 3), ("b.csv", 500), ("c.csv", 40)) for i in range(n)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1000")
+    try:
+        for line_breaks in (True, False):
+            rows = tabular.read_csv(spark, str(folder), ordinal=True, line_breaks=line_breaks)
+            assert [(r["k"], r["v"]) for r in rows.orderBy("ordinal").collect()] == [(k, "") for k in expected]
+            assert (rows.rdd.getNumPartitions() > 4) == (not line_breaks)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_table_prunes_by_predicate(spark, tmp_path):
     triples_io.write_table(constant_triples(spark, ROWS), str(tmp_path / "table"))
     stored = triples_io.read_table(spark, str(tmp_path / "table"))

@@ -1,10 +1,6 @@
-"""Named queries against DuckDB and against the pattern path, on the smallest tables.
-
-The heavy composite queries run only with TRIPLELOOM_ALL=1; the driver compares all of them.
-"""
+"""Named queries against DuckDB and against the pattern path, on the smallest tables."""
 
 import math
-import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,12 +13,7 @@ from tripleloom.plans.catalog import named_queries, titles
 from tripleloom.plans.duckdb_checks import checks
 from tripleloom.sources.driver_views import DriverViews
 
-HEAVY = {
-    "rule_closure", "rule_alias_counts", "rule_same_as", "rule_award_winning", "void_dataset", "void_subjects",
-    "void_properties", "void_classes", "bundle", "stats_triples", "stats_classes", "ntriples_roundtrip",
-    "describe_movie", "link_gate", "link_report_columns", "link_coverage", "stats_links", "void_linksets",
-}
-CHOSEN = [n for n in named_queries() if os.environ.get("TRIPLELOOM_ALL") or n not in HEAVY]
+CHOSEN = list(named_queries())
 DUCKDB_TYPES = {"bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
 
 

@@ -62,3 +62,30 @@ def test_negation_union_and_forms(graph):
         ("m1", "title"), ("m1", "by"), ("m1", "part"), ("_:b1", "name")}
     with pytest.raises(ValueError):
         q.bgp(graph, [("?a", "by", "?b"), ("?c", "title", "?d")])
+
+
+def test_terms_meet_resources_only_as_resources(spark):
+    rows_ = [("a", "says", "x", "lit", S, ""), ("b", "says", "x", "iri", "", ""), ("x", "name", "X", "lit", S, "")]
+    g = StoredGraph(constant_triples(spark, rows_))
+    said, named = q.bgp(g, [("?m", "says", "?v")]), q.bgp(g, [("?v", "name", "?n")])
+    assert rows(q.optional(said, named), "m", "n") == [("a", None), ("b", "X")]
+    assert rows(q.exists(said, named), "m") == [("b",)] and rows(q.not_exists(said, named), "m") == [("a",)]
+    assert rows(q.optional(named, said), "v", "m") == [("x", "b")]
+
+
+def test_groups_without_shared_variables(graph):
+    movies, none = q.bgp(graph, [("?m", "by", "?p")], {"?p"}), q.bgp(graph, [("?x", "nothing", "?y")])
+    names = q.bgp(graph, [("?q", "name", "?n")])
+    assert q.exists(movies, names).count() == q.not_exists(movies, none).count() == movies.count()
+    assert q.exists(movies, none).count() == q.not_exists(movies, names).count() == 0
+    with pytest.raises(ValueError):
+        q.optional(movies, names)
+
+
+def test_constant_patterns_are_conditions(graph):
+    assert q.ask(q.bgp(graph, [("m1", "by", "p1")])).first()[0] is True
+    assert q.ask(q.bgp(graph, [("m1", "by", "p2")])).first()[0] is False
+    both = [("?m", "title", "?t"), ("m1", "by", "p1")]
+    assert q.bgp(graph, both).count() == 3
+    assert q.bgp(graph, [("?m", "title", "?t"), ("m1", "by", "p2")]).count() == 0
+    assert q.ask(q.bgp(graph, [("m1", "by", "p1"), ("m2", "by", "p2")])).first()[0] is True

@@ -31,6 +31,8 @@ def test_counts(graphs):
     properties = {r["property"]: r["triples"] for r in profile.property_partitions(graphs).collect()}
     assert sum(properties.values()) == 8 and properties[t.TYPE] == sum(classes.values())
     links = graphs.where(F.col("p") == t.SAME_AS)
+    assert tuple(profile.triple_totals(graphs.limit(0)).first()) == (0, 0)
+    assert tuple(profile.subject_totals(graphs.limit(0)).first()) == (0, 0, 0, 0)
     assert {tuple(r) for r in profile.linksets(links).collect()} == {("wikidata.org", 1), ("dbpedia.org", 1)}
     assert {tuple(r) for r in profile.linksets(links.limit(0)).collect()} == {("wikidata.org", 0), ("dbpedia.org", 0)}
     types = graphs.where(F.col("p") == t.TYPE).select("s", F.col("o").alias("class"))
@@ -47,14 +49,16 @@ def test_metadata_graph(spark, graphs):
     dataset = t.META + "dataset"
     for p, o in (("triples", "8"), ("classes", "3"), ("properties", "3"), ("distinctSubjects", "6"), ("entities", "2")):
         assert (dataset, t.VOID + p, o) in said
-    assert (t.META + "distribution_a", t.DCAT + "byteSize", "10") in said
-    assert (t.META + "distribution_b", t.VOID + "triples", "3") in said
-    assert (t.META + "linkset_dbpedia.org", t.VOID + "triples", "1") in said
+    assert (t.META + "file-a", t.DCAT + "byteSize", "10") in said
+    assert (t.META + "file-b", t.VOID + "triples", "3") in said
+    assert (t.META + "links-dbpedia.org", t.VOID + "triples", "1") in said
     assert any("Graph of 3 movies" in r["o"] for r in rows)
     parts = [r["o"] for r in rows if r["p"] == t.VOID + "classPartition"]
     assert len(set(parts)) == 3 and {(x, t.VOID + "entities") for x in parts} <= {(s, p) for s, p, _ in said}
+    assert (dataset, t.DCT + "title", "Orders told as films") in said and (t.META + "run", t.PROV + "used", t.META + "order-tables") in said
     again = profile.kept_created(made, dataclasses.replace(DESCRIPTION), "2026-02-02")
     assert (again.created, again.modified) == ("2026-01-01", "2026-02-02")
+    assert DESCRIPTION.modified == "2026-01-01"
     first = profile.kept_created(None, dataclasses.replace(DESCRIPTION), "2026-02-02")
     assert (first.created, first.modified) == ("2026-02-02", "2026-02-02")
 

@@ -45,15 +45,15 @@ def directors_of_cell(crew: Column) -> Column:
 
 
 def top_cast_rows(
-    rows: DataFrame, movie: str, order: list[Column], top: int = TOP_CAST
+    rows: DataFrame, movie: str, order: list[Column], top: int | None = TOP_CAST
 ) -> DataFrame:
-    """Relational form of the same rule: the first `top` rows per movie, numbered from 1.
+    """Relational form of the same rule: the first `top` rows per movie (None: all), numbered from 1.
 
     The rank filter lets Spark cut every map task's groups to `top` rows before the shuffle, so a
     movie with a large part of all rows stays small.
     """
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(movie).orderBy(*order)))
-    return ranked.where(F.col("rank") <= top)
+    return ranked if top is None else ranked.where(F.col("rank") <= top)
 
 
 def compact_credits(credits: DataFrame, strict: bool = True) -> DataFrame:

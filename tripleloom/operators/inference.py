@@ -1,8 +1,8 @@
 """Class membership and constraint checks from the axiom table.
 
-Types are pairs (s, class). Each axiom shape is one join or filter; the broadcast tables are axiom
-tables, whose size is fixed by the ontology and not by the data. Rules that need two facts first
-bring each side to distinct short rows.
+Types are pairs (s, class). Each axiom shape is one join or filter. Axiom tables are constant tables of
+known size, so Spark broadcasts them where that is cheap. Rules that need two facts first bring each
+side to distinct short rows. An axiom kind without rows gives no rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,18 @@ from tripleloom.operators.joins import regroup
 from tripleloom.operators.lift import MergedGraph, StoredGraph, as_set, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
-from tripleloom.sources.constants import constant_triples
+from tripleloom.sources.constants import constant_rows, constant_triples
+
+
+TYPES = {"s": "string", "class": "string"}
+
+
+def _types(frames: list[DataFrame], ax: DataFrame) -> DataFrame:
+    return union_all([constant_rows(ax.sparkSession, TYPES, []), *frames]).distinct()
+
+
+def _facts(frames: list[DataFrame], ax: DataFrame) -> DataFrame:
+    return union_all([constant_triples(ax.sparkSession, []), *[f.select(*t.TERM) for f in frames]])
 
 
 def asserted_types(graph) -> DataFrame:
@@ -22,8 +33,8 @@ def asserted_types(graph) -> DataFrame:
 
 
 def with_superclasses(types: DataFrame, ax: DataFrame) -> DataFrame:
-    """Sub- and equivalent-class typing: every class with all its ancestors, one broadcast join."""
-    reach = F.broadcast(class_closure(ax))
+    """Sub- and equivalent-class typing: every class with all its ancestors, one join."""
+    reach = class_closure(ax)
     upward = types.join(reach, "class").select("s", F.col("super").alias("class"))
     return upward.unionByName(types).distinct()
 
@@ -33,7 +44,7 @@ def property_types(triples: DataFrame, ax: DataFrame) -> DataFrame:
 
     Both come from one pass: an axiom row per (property, side), exploded against the triple.
     """
-    sides = F.broadcast(
+    sides = (
         of_kind(ax, "object property").select(F.col("subject").alias("p"), "property", "object")
         .unionByName(
             of_kind(ax, "datatype property").select(
@@ -56,7 +67,7 @@ def property_types(triples: DataFrame, ax: DataFrame) -> DataFrame:
 
 def has_value_members(triples: DataFrame, ax: DataFrame) -> DataFrame:
     """x p v makes x a member of the class defined by (p, v)."""
-    rule = F.broadcast(
+    rule = (
         of_kind(ax, "has value").select("subject", F.col("property").alias("p"), F.col("object").alias("o"))
     )
     return (
@@ -67,7 +78,7 @@ def has_value_members(triples: DataFrame, ax: DataFrame) -> DataFrame:
 
 def has_value_triples(types: DataFrame, ax: DataFrame) -> DataFrame:
     """The other direction: a member of the class has the value."""
-    rule = F.broadcast(
+    rule = (
         of_kind(ax, "has value").select(F.col("subject").alias("class"), F.col("property").alias("p"), "object")
     )
     return types.join(rule, "class").select("s", "p", *t.iri(F.col("object")).columns())
@@ -83,7 +94,7 @@ def some_values_members(types: DataFrame, graph, ax: DataFrame) -> DataFrame:
         for cls in row["members"]:
             found = found.join(types.where(F.col("class") == cls).select("s"), "s", "left_semi")
         out.append(found.select("s", F.lit(row["subject"]).alias("class")))
-    return union_all(out).distinct()
+    return _types(out, ax)
 
 
 def inverse_triples(graph, ax: DataFrame) -> DataFrame:
@@ -98,7 +109,7 @@ def inverse_triples(graph, ax: DataFrame) -> DataFrame:
                     F.lit("").alias("o_dt"), F.lit("").alias("o_lang"),
                 )
             )
-    return union_all(out)
+    return _facts(out, ax)
 
 
 def chain_triples(graph, ax: DataFrame) -> DataFrame:
@@ -109,7 +120,7 @@ def chain_triples(graph, ax: DataFrame) -> DataFrame:
         left = graph.match(first, as_bag=True).where(F.col("o_kind") != "lit").select("s", F.col("o").alias("via"))
         right = graph.match(second, as_bag=True).select(F.col("s").alias("via"), *t.OBJECT)
         out.append(left.join(right, "via").select("s", F.lit(row["subject"]).alias("p"), *t.OBJECT))
-    return as_set(union_all(out))
+    return as_set(_facts(out, ax))
 
 
 def both_ends_members(graph, ax: DataFrame) -> DataFrame:
@@ -123,7 +134,7 @@ def both_ends_members(graph, ax: DataFrame) -> DataFrame:
             left.join(right, ["s", "o"], "left_semi").select(
                 F.col("o").alias("s"), F.lit(row["subject"]).alias("class"))
         )
-    return union_all(out).distinct()
+    return _types(out, ax)
 
 
 def functional(ax: DataFrame, kind: str) -> list[str]:
@@ -148,7 +159,7 @@ def functional_same(graph, ax: DataFrame) -> DataFrame:
             values.join(regroup(least, ["s"]), "s").where(F.col("o") != F.col("least"))
             .select(F.col("least").alias("s"), F.lit(t.SAME_AS).alias("p"), *t.iri(F.col("o")).columns())
         )
-    return as_set(union_all(out))
+    return as_set(_facts(out, ax))
 
 
 def functional_clashes(graph, ax: DataFrame) -> DataFrame:
@@ -158,7 +169,7 @@ def functional_clashes(graph, ax: DataFrame) -> DataFrame:
         values = graph.match(p).where(F.col("o_kind") == "lit").select("s", "p", *t.OBJECT)
         out.append(as_set(values))
     return (
-        union_all(out).groupBy("s", "p").agg(F.count(F.lit(1)).alias("n_values")).where(F.col("n_values") > 1)
+        _facts(out, ax).groupBy("s", "p").agg(F.count(F.lit(1)).alias("n_values")).where(F.col("n_values") > 1)
     )
 
 
@@ -167,7 +178,7 @@ def disjoint_clashes(types: DataFrame, ax: DataFrame) -> DataFrame:
 
     One aggregation over the memberships that matter; no self-join."""
     pairs = of_kind(ax, "disjoint").select(F.col("subject").alias("left_class"), F.col("object").alias("right_class"))
-    sides = F.broadcast(
+    sides = (
         pairs.select("left_class", "right_class", F.inline(F.array(
             F.struct(F.col("left_class").alias("class"), F.lit(1).alias("side")),
             F.struct(F.col("right_class").alias("class"), F.lit(2).alias("side")),
@@ -185,63 +196,79 @@ def members(types: DataFrame, classes: list[str], base: str = t.RES) -> DataFram
     return types.where(F.col("class").isin(classes) & F.startswith("s", F.lit(base))).select("class", "s").distinct()
 
 
+def derived_facts(graph, ax: DataFrame) -> DataFrame:
+    """Property facts that follow from property axioms alone, a bag: inverses, and the chains over them too."""
+    inverse = inverse_triples(graph, ax)
+    return _facts([inverse, chain_triples(MergedGraph([graph, StoredGraph(inverse)]), ax)], ax)
+
+
 def derive_types(graph, ax: DataFrame) -> DataFrame:
-    """All memberships that follow in one stratified pass: properties first, then classes.
+    """All memberships that follow from the facts of `graph`.
 
-    Complete for axioms in which no class membership leads to a new property fact; for the rest
-    `materialise` repeats the pass. Facts are read as bags, repeated ones give the same members.
-    Each part of the derived facts has a constant predicate, so a match keeps only its own parts.
+    Memberships of classes defined over other classes are fed back until none is new. Facts are read as
+    bags, repeated ones give the same members.
     """
-    derived = StoredGraph(union_all([inverse_triples(graph, ax), chain_triples(graph, ax)]))
     named = [r["subject"] for r in of_kind(ax, "object property", "datatype property").collect()]
-    wanted = [r["property"] for r in of_kind(ax, "has value").collect()]
-    facts = {p: _both(graph, derived, p) for p in sorted({*named, *wanted})}
-    base = cut_lineage(
+    wanted = sorted({r["property"] for r in of_kind(ax, "has value").collect()})
+    types = cut_lineage(
         with_superclasses(
-            union_all(
+            _types(
                 [
                     asserted_types(graph),
-                    property_types(union_all([facts[p] for p in named]), ax),
-                    has_value_members(union_all([facts[p] for p in sorted(set(wanted))]), ax),
-                ]
+                    property_types(_facts([graph.match(p, as_bag=True) for p in sorted(set(named))], ax), ax),
+                    has_value_members(_facts([graph.match(p, as_bag=True) for p in wanted], ax), ax),
+                    both_ends_members(graph, ax),
+                ],
+                ax,
             ),
             ax,
         )
     )
-    full = MergedGraph([graph, derived])
-    more = with_superclasses(union_all([some_values_members(base, full, ax), both_ends_members(full, ax)]), ax)
-    return base.unionByName(more).distinct()
-
-
-def _both(graph, derived: StoredGraph, p: str) -> DataFrame:
-    return union_all([graph.match(p, as_bag=True).select(*t.TERM), derived.match(p)])
-
-
-def materialise(graph, ax: DataFrame, max_rounds: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Types and added property facts at the fixpoint, as (types, facts).
-
-    Only membership of a has-value class can add property facts after the first pass, so a further
-    round is needed exactly when such a class has a member without the fact. Each round is cut with
-    a written table, which survives the loss of executors. The graph is read by predicate several
-    times, so give it one over stored tables.
+    while True:
+        more = with_superclasses(some_values_members(types, graph, ax), ax)
+        new = cut_lineage(more.join(types, ["s", "class"], "left_anti"))
+        if new.isEmpty():
+            return types
+        types = cut_lineage(types.unionByName(new))
+
+
+def derivable(ax: DataFrame) -> list[str]:
+    """Predicates that some rule can add facts of."""
+    found = set()
+    for row in of_kind(ax, "inverse", "chain", "has value").collect():
+        found |= {row["property"]} if row["kind"] == "has value" else {row["subject"], row["object"]}
+    return sorted(found - {None})
+
+
+def materialise(graph, ax: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Types and all added property facts at the fixpoint, as (types, facts).
+
+    Every round derives facts from the graph and all facts added before it, first by inverse and chain,
+    then by membership of a has-value class; it ends when a round adds nothing, and as each one adds
+    facts over the given resources and values, it does end. What a round added is a written table,
+    which survives the loss of executors. The graph is read by predicate several times, so give it one
+    over stored tables.
     """
     has_value = [r["subject"] for r in of_kind(ax, "has value").collect()]
-    properties = sorted({r["property"] for r in of_kind(ax, "has value").collect()})
-    facts = constant_triples(ax.sparkSession, [])
-    current = graph
-    for _ in range(max_rounds):
-        types = cut_lineage(derive_types(current, ax))
-        wanted = has_value_triples(types.where(F.col("class").isin(has_value)), ax)
-        known = union_all([current.match(p, as_bag=True) for p in properties])
-        missing = cut_lineage(wanted.join(known, t.TERM, "left_anti").select(*t.TERM).distinct())
-        if missing.isEmpty():
-            return types, facts
-        facts = missing.unionByName(facts)
+    properties = derivable(ax)
+    facts, types = _facts([], ax), None
+    while True:
         current = MergedGraph([graph, StoredGraph(facts)])
-    raise RuntimeError(f"no fixpoint within {max_rounds} rounds")
+        derived = [derived_facts(current, ax)]
+        if types is not None:
+            derived.append(has_value_triples(types.where(F.col("class").isin(has_value)), ax))
+        known = _facts([current.match(p, as_bag=True) for p in properties], ax)
+        new = cut_lineage(as_set(_facts(derived, ax)).join(known, t.TERM, "left_anti"))
+        changed = not new.isEmpty()
+        if types is not None and not changed:
+            return types, facts
+        if changed:
+            facts = cut_lineage(facts.unionByName(new))
+            current = MergedGraph([graph, StoredGraph(facts)])
+        types = derive_types(current, ax)
 
 
-def alias_clusters(links: DataFrame, max_rounds: int = 50) -> DataFrame:
+def alias_clusters(links: DataFrame) -> DataFrame:
     """Connected components of (s, o) identity statements as (node, cluster); the cluster is its
     smallest node.
 
@@ -259,7 +286,7 @@ def alias_clusters(links: DataFrame, max_rounds: int = 50) -> DataFrame:
     labels = cut_lineage(
         edges.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("cluster"))
     )
-    for _ in range(max_rounds):
+    while True:
         near = edges.join(labels, "node").select(F.col("other").alias("node"), "cluster")
         least = near.unionByName(labels).groupBy("node").agg(F.min("cluster").alias("cluster"))
         jump = labels.select(F.col("node").alias("cluster"), F.col("cluster").alias("jumped"))
@@ -269,7 +296,6 @@ def alias_clusters(links: DataFrame, max_rounds: int = 50) -> DataFrame:
         labels = after.select("node", "cluster")
         if after.where(F.col("cluster") != F.col("was")).isEmpty():
             return labels
-    raise RuntimeError(f"labels still moving after {max_rounds} rounds")
 
 
 def alias_counts(members_: DataFrame, clusters: DataFrame) -> DataFrame:

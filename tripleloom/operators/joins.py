@@ -19,8 +19,8 @@ def regroup(grouped: DataFrame, keys: list[str]) -> DataFrame:
 def bind_join(local: DataFrame, facts: DataFrame, iri: str, fact: str, how: str = "inner") -> DataFrame:
     """Look up facts of one predicate for the IRIs in column `iri`.
 
-    `facts` has (s, o, ...); its object columns are renamed after `fact`. Only the distinct local
-    IRIs meet the facts; Catalyst turns a small local side into a broadcast by its measured size.
+    `facts` has (s, o, ...); its object columns are renamed after `fact`. Catalyst turns a small side into a
+    broadcast by its measured size.
     """
     object_names = {"o": fact, "o_kind": f"{fact}_kind", "o_dt": f"{fact}_dt", "o_lang": f"{fact}_lang"}
     side = facts.select(F.col("s").alias(iri), *[F.col(c).alias(n) for c, n in object_names.items() if c in facts.columns])

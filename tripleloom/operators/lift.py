@@ -140,7 +140,7 @@ def split_cast(films: DataFrame, strict: bool = True) -> DataFrame:
     )
     rest = [c for c in films.columns if c not in ("cast_ids", "cast_names", "cast_characters")]
     if strict:
-        message = F.concat(F.lit("movie "), F.col("id").cast("string"), F.lit(": cast columns do not line up"))
+        message = F.concat(F.lit("unequal numbers of cast ids, names and characters, id "), F.col("id").cast("string"))
         return films.select(*rest, F.when(aligned, cast).otherwise(F.raise_error(message)).alias("cast"))
     return films.select(*rest, cast.alias("cast"), aligned.alias("aligned"))
 

@@ -179,7 +179,7 @@ def link_gate(same_as: DataFrame, report: DataFrame, fail: bool = True) -> DataF
     )
     totals = sides.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("gw", "gd", "rw", "rd")])
     agree = (F.col("gw") == F.col("rw")) & (F.col("gd") == F.col("rd"))
-    message = F.concat_ws(" ", F.lit("link counts differ: graph"), "gw", "gd", F.lit("report"), "rw", "rd")
+    message = F.concat_ws(" ", F.lit("links of graph and report are not equal in number: graph"), "gw", "gd", F.lit("report"), "rw", "rd")
     verdict = F.when(agree, F.lit(True)).otherwise(F.raise_error(message).cast("boolean") if fail else F.lit(False))
     return totals.select(
         F.col("gw").alias("graph_wikidata"), F.col("rw").alias("report_wikidata"),

@@ -4,7 +4,11 @@ A pattern is (subject, predicate, object). A text that starts with '?' is a vari
 text is an IRI, and a `Term` is a literal or IRI constant. A variable that stands in a subject or
 predicate position somewhere can only be an IRI or a blank node and is one column. Any other
 variable `?v` is the column `v` with its kind, datatype and language beside it in `v__kind`,
-`v__dt` and `v__lang`; when two patterns share it, all four must be equal.
+`v__dt` and `v__lang`; when two patterns share it, all four must be equal. Where one side of a join has
+it as a resource only, the other side's term has to be a resource as well.
+
+A variable that OPTIONAL left unbound (NULL) meets nothing in a later group, other than in SPARQL, where
+it would meet everything; bind such groups first.
 """
 
 from __future__ import annotations
@@ -58,44 +62,72 @@ def scan(graph, pattern: Pattern, resources: set[str]) -> DataFrame:
         conditions += [F.col(c) == v for c, v in wanted.items()]
     for condition in conditions:
         rows = rows.where(condition)
-    if not out:
-        return rows.select(F.lit(True).alias("_found")).limit(1)
     return rows.select(*[c.alias(n) for n, c in out.items()])
 
 
 def bgp(graph, patterns: list[Pattern], resources: set[str] | None = None) -> DataFrame:
     """All solutions of a conjunction of patterns (a bag of bindings).
 
-    `resources` names further variables known to hold IRIs, e.g. those of an outer pattern.
+    `resources` names further variables known to hold IRIs, e.g. those of an outer pattern. A pattern of
+    constants only is a condition: without its triple there is no solution.
     """
     known = resource_variables(patterns) | (resources or set())
     todo = [scan(graph, p, known) for p in patterns]
-    result = todo.pop(0)
+    conditions = [d.limit(1).select(F.lit(True).alias("_found")) for d in todo if not d.columns]
+    todo = [d for d in todo if d.columns]
+    if not todo:
+        result, conditions = conditions[0], conditions[1:]
+    else:
+        result = todo.pop(0)
     while todo:
         at = next((i for i, d in enumerate(todo) if set(d.columns) & set(result.columns)), None)
         if at is None:
             raise ValueError("the patterns share no variable; join the parts explicitly")
-        following = todo.pop(at)
-        result = result.join(following, sorted(set(following.columns) & set(result.columns)))
+        result = _joined(result, todo.pop(at), "inner")
+    for condition in conditions:
+        result = result.join(condition.select(F.col("_found").alias("_also")), F.col("_also"), "left_semi")
     return result
 
 
-def shared(left: DataFrame, right: DataFrame) -> list[str]:
-    return [c for c in right.columns if c in left.columns]
+def _terms(columns: list[str]) -> set[str]:
+    """Variables that have their kind beside them."""
+    return {c for c in columns if c + PARTS["o_kind"] in columns}
+
+
+def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on the shared variables. A variable that is a whole term on one side and a resource on the other
+    is equal where the term is a resource of that name."""
+    left_terms, right_terms = _terms(left.columns), _terms(right.columns)
+    keys = [c for c in right.columns if c in left.columns]
+    for term in (right_terms - left_terms) & set(keys):
+        right = right.where(F.col(term + PARTS["o_kind"]) != "lit").drop(*[term + e for e in PARTS.values() if e])
+    half = sorted((left_terms - right_terms) & set(keys))
+    if not keys:
+        # no shared variable: the groups meet as wholes, so that only their being empty or not matters
+        if how in ("left_semi", "left_anti"):
+            return left.join(right.limit(1).select(F.lit(True).alias("_also")), F.col("_also"), how)
+        raise ValueError("the groups share no variable; join the parts explicitly")
+    if not half:
+        return left.join(right, keys, how)
+    marked = right.select(*[F.col(c).alias("_r_" + c) if c in keys else F.col(c) for c in right.columns])
+    equal = [F.col(c) == F.col("_r_" + c) for c in keys] + [F.col(c + PARTS["o_kind"]) != "lit" for c in half]
+    met = left.join(marked, equal, how)
+    return met.drop(*["_r_" + c for c in keys])
 
 
 def optional(left: DataFrame, right: DataFrame) -> DataFrame:
     """OPTIONAL: left outer join on the shared variables. A filter of the optional group belongs
-    on `right` before the call."""
-    return left.join(right, shared(left, right), "left")
+    on `right` before the call. A group without a shared variable is an error."""
+    return _joined(left, right, "left")
 
 
 def exists(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, shared(left, right), "left_semi")
+    """Solutions with a partner; without a shared variable all of them if there is any on the right."""
+    return _joined(left, right, "left_semi")
 
 
 def not_exists(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, shared(left, right), "left_anti")
+    return _joined(left, right, "left_anti")
 
 
 def alternative(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators import lift, linking, patterns
-from tripleloom.operators.clean import CREW, TOP_CAST, clean_movies, directors_of_cell
+from tripleloom.operators.clean import CREW, clean_movies, directors_of_cell
 from tripleloom.functions.text import json_cell, slug, strip
 from tripleloom.operators.lift import MappedGraph
 from tripleloom.plans.federated_queries import english
@@ -64,12 +64,12 @@ def crew_cells(v: DriverViews) -> DataFrame:
 
 
 def raw_credits(v: DriverViews) -> DataFrame:
-    """Credits cells; a cast cell lists the billed rows of a movie, the last one first."""
+    """Credits cells; a cast cell lists all rows of a movie, the last one first."""
     row = F.struct(
         F.col("billing_order").alias("order"), F.col("actor_id").alias("id"),
         person_name(F.col("actor_id")).alias("name"), "character",
     )
-    cells = v.roles().groupBy("movie_id").agg(
+    cells = DriverViews(v.spark, v.folder, top=None).roles().groupBy("movie_id").agg(
         F.to_json(F.reverse(F.array_sort(F.collect_list(row)))).alias("cast")
     )
     return crew_cells(v).join(cells, "movie_id", "left").select(
@@ -83,7 +83,7 @@ def clean_top_rated(v: DriverViews) -> DataFrame:
 
 
 def clean_top_cast(v: DriverViews) -> DataFrame:
-    return v.billed(TOP_CAST).select("movie_id", "billing_order", "actor_id", "part_id")
+    return v.billed().select("movie_id", "billing_order", "actor_id", "part_id")
 
 
 def clean_crew_json(v: DriverViews) -> DataFrame:
@@ -264,8 +264,11 @@ def link_coverage(v: DriverViews) -> DataFrame:
 
 
 def link_gate(v: DriverViews) -> DataFrame:
+    """The report against the links of a graph that has lost those of every 41st film."""
     links = v.stored_report
-    return linking.link_gate(MappedGraph([lift.same_as_map(links)]).match(t.SAME_AS), links)
+    number = F.substring_index("uri", "/", -1).cast("long")
+    lost = (F.col("kind") == "movie") & every(41, number)
+    return linking.link_gate(MappedGraph([lift.same_as_map(links.where(~lost))]).match(t.SAME_AS), links, fail=False)
 
 
 def local_facts(v: DriverViews, rows: DataFrame) -> DataFrame:

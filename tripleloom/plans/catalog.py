@@ -87,6 +87,7 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("rule_agreement", "Starring against the chain on triples", r.rule_agreement),
     ("rule_members", "Local members of defined classes", r.rule_members),
     ("rule_closure", "Members per class at the fixpoint", r.rule_closure),
+    ("rule_facts", "Facts added at the fixpoint", r.rule_facts),
     ("void_classes", "Class partitions", p.void_classes),
     ("void_properties", "Property partitions", p.void_properties),
     ("void_linksets", "Links per target", p.void_linksets),

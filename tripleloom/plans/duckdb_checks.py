@@ -167,6 +167,13 @@ VIEWS: dict[str, str] = {
           UNION ALL SELECT s, 'http://kg.example/ontology/Person' FROM asserted
                     WHERE class = 'http://xmlns.com/foaf/0.1/Person')""",
     "acting": "SELECT DISTINCT d FROM node JOIN rolenode ON s = m AND d = a",
+    "reported": """
+        SELECT s, 'http://kg.example/ontology/' || CASE genre WHEN '1-URGENT' THEN 'ActionMovie' ELSE 'ComedyMovie' END AS class
+        FROM node WHERE genre IN ('1-URGENT', '5-LOW')
+        UNION SELECT d, 'http://kg.example/ontology/ActorDirector' FROM acting
+        UNION SELECT role, 'http://kg.example/ontology/CastRole' FROM roled
+        UNION SELECT 'http://kg.example/resource/person/' || k, 'http://kg.example/ontology/AwardWinningDirector'
+              FROM holders WHERE k IN (SELECT did FROM movie)""",
     "sampled": """
         SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY kind ORDER BY md5('42' || uri), uri) AS rn
                        FROM report WHERE wikidata <> '' OR dbpedia <> '') WHERE rn <= 15""",
@@ -337,8 +344,11 @@ CHECKS: dict[str, str] = {
         count(nullif(wikidata, '')) AS wikidata, count(nullif(dbpedia, '')) AS dbpedia FROM report""",
     "link_coverage": """SELECT kind, count(*) AS resources, count(nullif(wikidata, '')) AS wikidata,
         count(nullif(dbpedia, '')) AS dbpedia FROM report GROUP BY kind""",
-    "link_gate": """SELECT count(nullif(wikidata, '')) AS graph_wikidata, count(nullif(wikidata, '')) AS report_wikidata,
-        count(nullif(dbpedia, '')) AS graph_dbpedia, count(nullif(dbpedia, '')) AS report_dbpedia, TRUE AS agree FROM report""",
+    "link_gate": """
+        SELECT *, graph_wikidata = report_wikidata AND graph_dbpedia = report_dbpedia AS agree FROM (
+          SELECT count(nullif(wikidata, '')) FILTER (WHERE there) AS graph_wikidata, count(nullif(wikidata, '')) AS report_wikidata,
+                 count(nullif(dbpedia, '')) FILTER (WHERE there) AS graph_dbpedia, count(nullif(dbpedia, '')) AS report_dbpedia
+          FROM (SELECT *, kind = 'person' OR CAST(split_part(label, ' ', 2) AS BIGINT) % 41 <> 0 AS there FROM report))""",
     "link_sample": """
         WITH firsts AS (
           SELECT k, arg_min(mid, 'http://kg.example/resource/movie/' || mid) AS mid, role FROM (
@@ -396,14 +406,19 @@ CHECKS: dict[str, str] = {
         HAVING bool_or(p_type = 'PROMO') AND bool_or(p_type = 'ECONOMY')""",
     "rule_same_as": "SELECT size, count(*) AS clusters FROM clusters GROUP BY size",
     "rule_alias_counts": f"""
-        WITH m AS (SELECT s, CASE genre WHEN '1-URGENT' THEN '{O}ActionMovie' ELSE '{O}ComedyMovie' END AS class
-                   FROM node WHERE genre IN ('1-URGENT', '5-LOW') UNION SELECT d, '{O}ActorDirector' FROM acting)
+        WITH m AS (SELECT s, class FROM reported)
         SELECT class, count(*) AS members, CAST(sum(coalesce(size, 1)) AS BIGINT) AS with_aliases
         FROM m LEFT JOIN clusters ON s = uri GROUP BY class""",
-    "rule_agreement": """SELECT 0::BIGINT AS "starringWithoutRole", 0::BIGINT AS "roleWithoutStarring",
-        count(*) >= 0 AS agree FROM role""",
-    "rule_members": f"""SELECT CASE genre WHEN '1-URGENT' THEN '{O}ActionMovie' ELSE '{O}ComedyMovie' END AS class, s
-        FROM node WHERE genre IN ('1-URGENT', '5-LOW')""",
+    "rule_agreement": """
+        SELECT count(*) FILTER (WHERE mid % 19 = 0 AND mid % 17 <> 0) AS "starringWithoutRole",
+               count(*) FILTER (WHERE mid % 17 = 0 AND mid % 19 <> 0) AS "roleWithoutStarring",
+               count(*) FILTER (WHERE (mid % 19 = 0) <> (mid % 17 = 0)) = 0 AS agree
+        FROM (SELECT DISTINCT mid, aid FROM role)""",
+    "rule_members": "SELECT class, s FROM reported",
+    "rule_facts": """
+        SELECT 'http://kg.example/ontology/hasCastRole' AS p, count(*) AS triples FROM roled WHERE mid % 19 = 0 HAVING count(*) > 0
+        UNION ALL SELECT 'http://dbpedia.org/ontology/starring', count(*) FROM (SELECT DISTINCT mid, aid FROM role WHERE mid % 17 = 0)
+        HAVING count(*) > 0""",
     "rule_closure": f"""
         SELECT class, count(*) AS members FROM (
           SELECT s, class FROM closed
@@ -436,9 +451,9 @@ CHECKS: dict[str, str] = {
             'Graph of ' || movies || ' movies with their people, roles and places.', 'en' FROM n
           UNION ALL SELECT 'dataset', 'http://purl.org/dc/terms/description',
             'Đồ thị gồm ' || movies || ' phim, kèm con người, vai diễn và nơi chốn.', 'vi' FROM n
-          UNION ALL SELECT 'linkset_' || CASE WHEN o LIKE '%wikidata%' THEN 'wikidata.org' ELSE 'dbpedia.org' END,
+          UNION ALL SELECT 'links-' || CASE WHEN o LIKE '%wikidata%' THEN 'wikidata.org' ELSE 'dbpedia.org' END,
             'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), '' FROM sameas GROUP BY 1
-          UNION ALL SELECT 'distribution_' || g, 'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), ''
+          UNION ALL SELECT 'file-' || g, 'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), ''
             FROM pub GROUP BY g)""",
     "bundle": """
         SELECT CASE WHEN short IS NULL THEN p ELSE iri || substr(p, length(short) + 2) END AS p,

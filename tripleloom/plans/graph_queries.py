@@ -80,7 +80,7 @@ def shared_characters(v: DriverViews) -> DataFrame:
 
 
 def top_billed(v: DriverViews) -> DataFrame:
-    counted = v.billed(top=1).groupBy("actor_id").agg(_n("times"))
+    counted = DriverViews(v.spark, v.folder, top=1).billed().groupBy("actor_id").agg(_n("times"))
     named = counted.join(v.actors(), "actor_id").groupBy("actor").agg(F.sum("times").alias("timesTopBilled"))
     return named.orderBy(F.desc("timesTopBilled"), "actor").limit(10)
 

@@ -22,7 +22,8 @@ def award_graph(v: DriverViews) -> MappedGraph:
 
 
 def with_awards(v: DriverViews) -> MergedGraph:
-    return MergedGraph([v.stored_graph, award_graph(v)])
+    """The graph with its gaps, and the awards: what the closure has to complete."""
+    return MergedGraph([v.gappy_graph, award_graph(v)])
 
 
 def per_class(types: DataFrame) -> DataFrame:
@@ -125,19 +126,27 @@ def rule_same_as(v: DriverViews) -> DataFrame:
     return sizes.groupBy("size").agg(F.count(F.lit(1)).alias("clusters"))
 
 
+def reported_types(v: DriverViews) -> DataFrame:
+    """Memberships of the five reported classes, each by its own rule."""
+    roles = inference.asserted_types(v.graph).where(F.col("class") == t.ONT + "CastRole")
+    winners = rule_award_winning(v).select("s", F.lit(t.ONT + "AwardWinningDirector").alias("class"))
+    return lift.union_all([
+        inference.has_value_members(v.graph.match(t.GENRE), v.axioms), inference.both_ends_members(v.graph, v.axioms),
+        roles, winners,
+    ])
+
+
 def rule_alias_counts(v: DriverViews) -> DataFrame:
-    """Members of two classes with and without their aliases."""
-    types = inference.has_value_members(v.graph.match(t.GENRE), v.axioms).unionByName(
-        inference.both_ends_members(v.graph, v.axioms)
-    )
+    """Members of the reported classes with and without their aliases."""
+    types = reported_types(v)
     clusters = inference.alias_clusters(same_as_links(v))
     return inference.alias_counts(inference.members(types, REPORTED), clusters)
 
 
 def rule_agreement(v: DriverViews) -> DataFrame:
-    """`starring` against the chain over the role nodes, on the triples."""
-    direct = v.graph.match(t.STARRING).select("s", "o")
-    through = inference.chain_triples(v.graph, v.axioms).select("s", "o")
+    """`starring` against the chain over the role nodes, on the triples of the graph with gaps."""
+    direct = v.gappy_graph.match(t.STARRING).select("s", "o")
+    through = inference.chain_triples(v.gappy_graph, v.axioms).select("s", "o")
     counts = set_difference_counts(direct, through, "starringWithoutRole", "roleWithoutStarring")
     return counts.withColumn(
         "agree", (F.col("starringWithoutRole") == 0) & (F.col("roleWithoutStarring") == 0)
@@ -150,7 +159,12 @@ def rule_closure(v: DriverViews) -> DataFrame:
     return per_class(types.where(F.startswith("class", F.lit(t.ONT)) | F.col("class").isin(t.MOVIE, t.PERSON)))
 
 
+def rule_facts(v: DriverViews) -> DataFrame:
+    """Facts that the closure adds, by predicate."""
+    _, facts = inference.materialise(with_awards(v), v.axioms)
+    return facts.groupBy("p").agg(F.count(F.lit(1)).alias("triples"))
+
+
 def rule_members(v: DriverViews) -> DataFrame:
-    """Local members of the two defined movie classes, in order."""
-    types = inference.has_value_members(v.graph.match(t.GENRE), v.axioms)
-    return inference.members(types, REPORTED).orderBy("class", "s")
+    """Local members of the reported classes, in order."""
+    return inference.members(reported_types(v), REPORTED).orderBy("class", "s")

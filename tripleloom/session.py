@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -26,8 +27,11 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where none is configured (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_folder()
+    """The cluster's shared folder. Only a single-machine session without one gets a temporary folder."""
+    given = spark.conf.get("spark.checkpoint.dir", None)
+    if given is None and not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all machines share")
+    return given or _own_folder()
 
 
 @cache

@@ -10,19 +10,25 @@ from tripleloom.operators.linking import REPORT
 QUOTED = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
-def read_csv(spark: SparkSession, path: str, columns: list[str] | None = None, ordinal: bool = False) -> DataFrame:
-    """All columns as text, quoted cells of any length and with line breaks.
-
-    Without `columns` the header line names them. Empty cells read as ''. `ordinal` adds the place
-    of a row in the input: increasing within a file and over the files in reading order.
+def read_csv(
+    spark: SparkSession, path: str, columns: list[str] | None = None, ordinal: bool = False, line_breaks: bool = True
+) -> DataFrame:
+    """All columns as text, quoted cells of any length.
+
+    Without `columns` the header line names them. Empty cells read as ''. Cells may hold line breaks; where
+    none does, `line_breaks=False` gives the same rows from many tasks per file instead of one.
+    `ordinal` adds the place of a row in the input, which grows by file name and place in the file.
     """
-    reader = spark.read.options(**QUOTED, multiLine=True, emptyValue="")
+    reader = spark.read.options(**QUOTED, multiLine=line_breaks, emptyValue="")
     if columns:
         reader = reader.schema(T.StructType([T.StructField(c, T.StringType()) for c in columns]))
-    rows = reader.csv(path).na.fill("")
+    rows = reader.csv(path)
+    names = rows.columns
     if ordinal:
-        rows = rows.withColumn("ordinal", F.monotonically_increasing_id())
-    return rows
+        # a task reads blocks of files in any order, but the rows of one block in theirs
+        place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+        rows = rows.select(*names, place.alias("ordinal"))
+    return rows.na.fill("", names)
 
 
 def with_optional(rows: DataFrame, columns: list[str]) -> DataFrame:

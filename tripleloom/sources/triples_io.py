@@ -25,14 +25,35 @@ def _escape(x: Column) -> Column:
     return x
 
 
+# An escape that N-Triples has, and one of more than four digits, which stands for two UTF-16 units.
+ESCAPE = r"\\(?:[tbnrf\"'\\]|u[0-9A-Fa-f]{4}|U00(?:0[0-9A-Fa-f]|10)[0-9A-Fa-f]{4})"
+WIDE = r"\\U00([01][0-9A-Fa-f]{5})"
+
+
+def _pairs(x: Column) -> Column:
+    """\\UXXXXXXXX as the one or two \\uXXXX that JSON has for it; a pair of backslashes is no such escape."""
+    pieces = F.split(F.regexp_replace(x, r"(\\\\)|" + WIDE, "$1\x02$2\x02"), "\x02")
+    offset = lambda p: F.conv(p, 16, 10).cast("long") - 0x10000
+    unit = lambda n: F.concat(F.lit("\\u"), F.lpad(F.hex(n), 4, "0"))
+    high = lambda p: unit(F.lit(0xD800) + F.shiftright(offset(p), 10))
+    low = lambda p: unit(F.lit(0xDC00) + offset(p).bitwiseAND(F.lit(0x3FF)))
+    wide = lambda p: F.when(p == "", "").when(F.startswith(p, F.lit("00")), F.concat(F.lit("\\u"), F.substring(p, 3, 4)))
+    # every second piece is the six digits of a wide escape, or nothing after a pair of backslashes
+    return F.array_join(F.transform(pieces, lambda p, i: F.when(i % 2 == 0, p).otherwise(wide(p).otherwise(F.concat(high(p), low(p))))), "")
+
+
 def _unescape(x: Column) -> Column:
-    """The short escapes and \\uXXXX are those of JSON."""
+    """The short escapes and \\uXXXX are those of JSON. Any other escape is an error."""
+    bad = F.raise_error(F.concat(F.lit("not an N-Triples escape: "), x))
+    sound = F.regexp_replace(x, ESCAPE, "")
+    wide = F.when(F.contains(x, F.lit("\\U")), _pairs(x)).otherwise(x)
     decoded = F.from_json(
-        F.concat(F.lit('["'), x, F.lit('"]')),
+        F.concat(F.lit('["'), wide, F.lit('"]')),
         "array<string>",
         {"allowBackslashEscapingAnyCharacter": "true", "allowUnquotedControlChars": "true"},
     )[0]
-    return F.when(F.contains(x, F.lit("\\")), decoded).otherwise(x)
+    read = F.when(F.contains(sound, F.lit("\\")), bad).otherwise(F.coalesce(decoded, bad))
+    return F.when(F.contains(x, F.lit("\\")), read).otherwise(x)
 
 
 def _resource(value: Column) -> Column:
