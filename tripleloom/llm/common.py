@@ -139,28 +139,31 @@ class Adam:
             part -= self.rate * (m / (1 - 0.9**self.step)) / (np.sqrt(v / (1 - 0.999**self.step)) + 1e-8)
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int) -> DataFrame:
-    """(doc_id, text, label) of the labelled rows that may be learned from: those of every fold but 0.
+def known_labels(labels: DataFrame, label: str, folds: int) -> DataFrame:
+    """(doc_id, label) of the rows that may be learned from: those of every fold but 0.
 
     A document id that is labelled more than once counts with its largest label; a null id has no label.
     """
-    known = (
-        labels.select(labels["doc_id"].alias("doc_id"), labels[label].alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-        .groupBy("doc_id").agg(F.max("label").cast("double").alias("label"))
-        .where(fold(F.col("doc_id"), folds) != 0)
+    return (
+        labels.select(labels["doc_id"].alias("doc_id"), labels[label].cast("double").alias("label"))
+        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & (fold(F.col("doc_id"), folds) != 0))
+        .groupBy("doc_id").agg(F.max("label").alias("label"))
     )
-    return id_and_text(docs).join(known, "doc_id")
 
 
-def sampled(rows: DataFrame, bound: int, longest: int = 200_000) -> list:
-    """At most `bound` of the rows of (doc_id, text, ...), chosen by a hash of the id.
+def chosen(rows: DataFrame, bound: int) -> DataFrame:
+    """At most `bound` of the rows of (doc_id, ...), by a hash of the id; the first ones of a larger choice."""
+    rank = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_003))
+    share = min(1.0, 1.2 * bound / max(rows.select("doc_id").count(), 1) + 0.002)
+    near = rows.where(rank < int(share * 1_000_003) + 1)
+    return near.withColumn("rank", rank).orderBy("rank", "doc_id").limit(bound).drop("rank")
+
 
-    Texts of over `longest` characters are scored like all others but not learned from, which bounds
-    what the driver holds while it fits a model.
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, bound: int, longest: int = 200_000) -> DataFrame:
+    """(doc_id, text, label) of at most `bound` labelled ids, found without a shuffle of the texts.
+
+    The labels are broadcast: `bound` limits their size. Texts of over `longest` characters are scored like all
+    others but not learned from, which bounds what the driver holds while it fits a model.
     """
-    rank = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1_000_003))
-    total = rows.select("doc_id").count()
-    share = min(1.0, 1.2 * bound / max(total, 1) + 0.002)
-    near = rows.where((rank < int(share * 1_000_003) + 1) & (F.length(F.coalesce("text", F.lit(""))) <= longest))
-    return near.withColumn("rank", rank).orderBy("rank", "doc_id").limit(bound).drop("rank").collect()
+    few = F.broadcast(chosen(known_labels(labels, label, folds), bound))
+    return id_and_text(docs).where(F.length(F.coalesce("text", F.lit(""))) <= longest).join(few, "doc_id")

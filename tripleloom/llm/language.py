@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripleloom.llm.common import fold, id_and_text, mixed, sampled, slices
+from tripleloom.llm.common import chosen, fold, id_and_text, mixed, slices
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
@@ -159,15 +159,18 @@ def trained(
     return Languages(known, w[:-1] * (idf * 20)[:, None], bias, float(grid[int(np.argmin(loss))]))
 
 
-def fit(docs: DataFrame, sample: int = 3000, folds: int = 4, held: int = 2) -> Languages:
-    """A model learned from text and lang of rows outside fold `held`; the weights from at most `sample` of them."""
+def fit(docs: DataFrame, sample: int = 3000, folds: int = 4, held: int = 2, longest: int = 200_000) -> Languages:
+    """A model learned from text and lang of rows outside fold `held`.
+
+    The weights come from at most `sample` of them, each of at most `longest` characters.
+    """
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), docs["lang"].alias("lang")).where(
         F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != held)
     )
     total, seen = document_frequencies(rows)
     idf = np.log((1 + total) / (1 + seen)) + 0.05
-    chosen = sampled(rows, sample)
-    return trained([r["text"] for r in chosen], [r["lang"] for r in chosen], idf)
+    few = chosen(rows.where(F.length("text") <= longest), sample).collect()
+    return trained([r["text"] for r in few], [r["lang"] for r in few], idf)
 
 
 def predicted(docs: DataFrame, model: Languages) -> DataFrame:

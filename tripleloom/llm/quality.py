@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripleloom.llm.common import _FACTORS, Adam, labelled_rows, mixed, sampled, sigmoid, slices
+from tripleloom.llm.common import _FACTORS, Adam, labelled_sample, mixed, sigmoid, slices
 
 PASSAGE = 48
 SHAPES = 32
@@ -151,9 +151,9 @@ def trained(texts: list[str | None], label: np.ndarray, epochs: int = 30, batch:
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, folds: int = 5) -> Bags | None:
     """A model from at most `sample` of the labelled rows outside fold 0; None without rows of both labels."""
-    chosen = sampled(labelled_rows(docs, labels, "quality", folds), sample)
-    label = np.array([float(r["label"] > 0.5) for r in chosen])
-    return trained([r["text"] for r in chosen], label) if len(set(label)) == 2 else None
+    rows = sorted(labelled_sample(docs, labels, "quality", folds, sample).collect(), key=lambda r: (r["doc_id"], r["text"] or ""))
+    label = np.array([float(r["label"] > 0.5) for r in rows])
+    return trained([r["text"] for r in rows], label) if len(set(label)) == 2 else None
 
 
 def score(text: Column, model: Bags | None) -> Column:

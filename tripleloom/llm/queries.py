@@ -66,8 +66,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of each text, learned from the labels of all folds but the held-out one."""
     docs = table(spark, sf_dir, "documents")
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    rows = docs.select("doc_id", (fold(docs["doc_id"], 5) == 0).alias("held_out"), "text")
-    scored = toxicity.scored(rows, fitted, keep_text=False).withColumnRenamed("toxicity", "score")
+    held_out = (fold(F.col("doc_id"), 5) == 0).alias("held_out")
+    if fitted is None:
+        scored = toxicity.scored(docs, None).select("doc_id", held_out, F.col("toxicity").alias("score"))
+    else:
+        _, limits, raw = fitted
+        scored = raw.select("doc_id", held_out, toxicity.score(F.col("raw"), F.col("language"), limits).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 

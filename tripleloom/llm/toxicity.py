@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripleloom.llm.common import Adam, labelled_rows, sampled, sigmoid, slices, word_hashes
+from tripleloom.llm.common import Adam, cut, id_and_text, known_labels, labelled_sample, sigmoid, slices, word_hashes
 
 WORDS, HEADS, HEAD = 1 << 17, 1 << 15, 5
 SIZE, WIDTHS, FILTERS = 8, (1, 2, 3), 8
@@ -230,24 +230,28 @@ def score(raw: Column, language: Column, limits: np.ndarray) -> Column:
     return 1 / (1 + F.exp(-F.greatest(F.least(raw - limit, F.lit(40.0)), F.lit(-40.0))))
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample: int = 3000, folds: int = 5) -> tuple[Classifier, np.ndarray] | None:
-    """The classifier and its thresholds from the labelled rows outside fold 0; the filters from at most `sample` of them."""
-    rows = labelled_rows(docs, labels, "toxic", folds)
-    total, words, heads = label_counts(rows)
+def fit(
+    docs: DataFrame, labels: DataFrame, sample: int = 3000, counted: int = 20_000, folds: int = 5
+) -> tuple[Classifier, np.ndarray, DataFrame] | None:
+    """The classifier, its thresholds, and (doc_id, raw, language) of all rows; None without rows of both labels.
+
+    Only labels outside fold 0 are read: the words' first values come from at most `counted` rows, the filters
+    from at most `sample` of these, and the thresholds from all of them.
+    """
+    total, words, heads = label_counts(labelled_sample(docs, labels, "toxic", folds, counted))
     if not total.all():
         return None
-    chosen = sampled(rows, sample)
-    label = np.array([float(r["label"] > 0.5) for r in chosen])
-    model = trained([r["text"] or "" for r in chosen], label, log_odds(total, words), log_odds(total, heads))
-    return model, thresholds(with_raw(rows, model))
+    rows = sorted(labelled_sample(docs, labels, "toxic", folds, sample).collect(), key=lambda r: (r["doc_id"], r["text"] or ""))
+    label = np.array([float(r["label"] > 0.5) for r in rows])
+    model = trained([r["text"] or "" for r in rows], label, log_odds(total, words), log_odds(total, heads))
+    raw = cut(with_raw(id_and_text(docs), model))
+    return model, thresholds(raw.join(known_labels(labels, "toxic", folds), "doc_id")), raw
 
 
-def scored(docs: DataFrame, fitted: tuple[Classifier, np.ndarray] | None, keep_text: bool = True) -> DataFrame:
-    """`docs` with the column `toxicity`; their texts go unless `keep_text`."""
-    kept = [c for c in docs.columns if keep_text or c != "text"]
+def scored(docs: DataFrame, fitted: tuple[Classifier, np.ndarray, DataFrame] | None) -> DataFrame:
+    """`docs` with the column `toxicity`."""
     if fitted is None:
-        return docs.select(*kept, F.lit(0.25).alias("toxicity"))
-    model, limits = fitted
-    rows = docs.withColumn("\0kept", F.col("text")) if keep_text else docs
-    raw = with_raw(rows, model).withColumnRenamed("\0kept", "text")
-    return raw.select(*kept, score(F.col("raw"), F.col("language"), limits).alias("toxicity"))
+        return docs.withColumn("toxicity", F.lit(0.25))
+    model, limits, _ = fitted
+    raw = with_raw(docs.withColumn("\0kept", F.col("text")), model).withColumnRenamed("\0kept", "text")
+    return raw.select(*docs.columns, score(F.col("raw"), F.col("language"), limits).alias("toxicity"))
