@@ -5,6 +5,7 @@ from tripleloom.functions import terms as t
 from tripleloom.operators import patterns as q
 from tripleloom.operators.lift import StoredGraph
 from tripleloom.sources.constants import constant_triples
+from tripleloom.sources.driver_views import DriverViews
 
 S = t.XSD_STRING
 ROWS = [
@@ -89,3 +90,14 @@ def test_constant_patterns_are_conditions(graph):
     assert q.bgp(graph, both).count() == 3
     assert q.bgp(graph, [("?m", "title", "?t"), ("m1", "by", "p2")]).count() == 0
     assert q.ask(q.bgp(graph, [("m1", "by", "p1"), ("m2", "by", "p2")])).first()[0] is True
+
+
+def test_a_constant_subject_reaches_the_scan(spark, tiny):
+    views = DriverViews(spark, tiny)
+    plan = q.describe(views.graph, t.RES + "movie/42")._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line]
+    assert 0 < len(scans) <= 14 and any("EqualTo(o_orderkey,42)" in line for line in scans)
+    assert all("EqualTo(" in line for line in scans if "o_orderkey" in line or "l_orderkey" in line)
+    for strange in (t.RES + "movie/042", t.RES + "movie/x", "http://elsewhere/1"):
+        assert q.describe(views.graph, strange).count() == 0
+    assert q.describe(views.graph, t.RES + "person/9").count() >= 3

@@ -9,10 +9,12 @@ A `TripleMap` states once how a row becomes triples. It is used in two ways:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import IntegralType
 
 from tripleloom.functions import terms as t
 from tripleloom.functions.text import slug
@@ -21,12 +23,31 @@ from tripleloom.sources.constants import constant_triples
 
 @dataclass(frozen=True)
 class Rule:
-    """One triple per row; `when` keeps it out for rows without the value."""
+    """One triple per row; `when` keeps it out for rows without the value.
+
+    `of` says how the subject is minted: its prefix, and the key column whose text follows if that is all
+    (else None). A question about one resource then becomes a filter on the key, which reaches the scan.
+    """
 
     s: Column
     p: str
     o: t.Term
     when: Column | None = None
+    of: tuple[str, str | None] | None = None
+
+    def about(self, rows: DataFrame, subject: str) -> DataFrame | None:
+        """The rows whose subject it is, None if there can be none."""
+        if self.of is None:
+            return rows.where(self.s == subject)
+        prefix, key = self.of
+        if not subject.startswith(prefix):
+            return None
+        if key is None:
+            return rows.where(self.s == subject)
+        rest = subject[len(prefix):]
+        if isinstance(rows.schema[key].dataType, IntegralType):
+            return rows.where(F.col(key) == int(rest)) if re.fullmatch(r"0|-?[1-9]\d{0,17}", rest) else None
+        return rows.where(F.col(key).cast("string") == rest)
 
     def columns(self) -> list[Column]:
         return [self.s.alias("s"), F.lit(self.p).alias("p"), *self.o.columns()]
@@ -46,12 +67,26 @@ class TripleMap:
         ]
         return self.rows.select(F.inline(F.array(*made))).where(F.col("s").isNotNull())
 
-    def match(self, p: str) -> list[DataFrame]:
-        return [
-            (self.rows if r.when is None else self.rows.where(r.when)).select(*r.columns())
-            for r in self.rules
-            if r.p == p
-        ]
+    def match(self, p: str, subject: str | None = None) -> list[DataFrame]:
+        """The rows of each rule for a predicate, of one subject where it is given."""
+        found = []
+        for r in self.rules:
+            if r.p == p:
+                rows = self.rows if subject is None else r.about(self.rows, subject)
+                if rows is not None:
+                    found.append((rows if r.when is None else rows.where(r.when)).select(*r.columns()))
+        return found
+
+    def about(self, subject: str) -> list[DataFrame]:
+        """All triples of one subject: a pass over the rows for each way to mint subjects that can give it."""
+        found = []
+        for of in dict.fromkeys(r.of for r in self.rules if r.of):
+            same = [r for r in self.rules if r.of == of]
+            rows = same[0].about(self.rows, subject)
+            if rows is not None:
+                found.append(replace(self, rows=rows, rules=same).triples().where(F.col("s") == subject))
+        other = [r for r in self.rules if r.of is None]
+        return found + ([replace(self, rules=other).triples().where(F.col("s") == subject)] if other else [])
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -74,11 +109,14 @@ class MappedGraph:
         shared = [m.triples() for m in self.maps if not m.unique]
         return union_all(own + ([as_set(union_all(shared))] if shared else []))
 
-    def match(self, p: str, as_bag: bool = False) -> DataFrame:
-        """Triples of one predicate. `as_bag` leaves out the set-making for uses that do not mind
-        repeated triples, such as a minimum."""
-        own = [d for m in self.maps if m.unique or as_bag for d in m.match(p)]
-        shared = [d for m in self.maps if not (m.unique or as_bag) for d in m.match(p)]
+    def match(self, p: str | None, as_bag: bool = False, subject: str | None = None) -> DataFrame:
+        """Triples of one predicate (None: of all, about `subject`). `as_bag` leaves out the set-making for uses that do not
+        mind repeated triples, such as a minimum. With `subject` only tables that can have it are read."""
+        def found(m: TripleMap) -> list[DataFrame]:
+            return m.about(subject) if p is None else m.match(p, subject)
+
+        own = [d for m in self.maps if m.unique or as_bag for d in found(m)]
+        shared = [d for m in self.maps if not (m.unique or as_bag) for d in found(m)]
         frames = own + ([as_set(union_all(shared))] if shared else [])
         if not frames:
             return constant_triples(self.maps[0].rows.sparkSession, [])
@@ -94,8 +132,9 @@ class StoredGraph:
     def triples(self) -> DataFrame:
         return self.stored
 
-    def match(self, p: str, as_bag: bool = False) -> DataFrame:
-        return self.stored.where(F.col("p") == p).select(*t.TERM)
+    def match(self, p: str | None, as_bag: bool = False, subject: str | None = None) -> DataFrame:
+        rows = self.stored if p is None else self.stored.where(F.col("p") == p)
+        return (rows if subject is None else rows.where(F.col("s") == subject)).select(*t.TERM)
 
 
 class MergedGraph:
@@ -107,8 +146,8 @@ class MergedGraph:
     def triples(self) -> DataFrame:
         return as_set(union_all([g.triples().select(*t.TERM) for g in self.graphs]))
 
-    def match(self, p: str, as_bag: bool = False) -> DataFrame:
-        rows = union_all([g.match(p, as_bag).select(*t.TERM) for g in self.graphs])
+    def match(self, p: str | None, as_bag: bool = False, subject: str | None = None) -> DataFrame:
+        rows = union_all([g.match(p, as_bag, subject).select(*t.TERM) for g in self.graphs])
         return rows if as_bag else as_set(rows)
 
 
@@ -197,6 +236,11 @@ def role_label() -> Column:
 # --- mappings -----------------------------------------------------------------------------------
 
 
+def minted(rules: list[Rule], prefix: str, key: str | None) -> list[Rule]:
+    """The rules with what is known of their common subject."""
+    return [replace(r, of=(prefix, key)) for r in rules]
+
+
 def dimension_iri(kind: str, label: Column) -> Column:
     if kind == "genre":
         return t.mint(t.ONT + "genre_", slug(label, "_"))
@@ -216,7 +260,7 @@ def movie_map(films: DataFrame, unique: bool = True) -> TripleMap:
     ]
     for kind, p in (("genre", t.GENRE), ("studio", t.STUDIO), ("country", t.COUNTRY)):
         rules.append(Rule(movie, p, t.iri(dimension_iri(kind, F.col(kind))), t.present(F.col(kind))))
-    return TripleMap(films, rules, unique)
+    return TripleMap(films, minted(rules, t.RES + "movie/", "id"), unique)
 
 
 def cast_map(cast: DataFrame, unique: bool = True) -> TripleMap:
@@ -225,20 +269,17 @@ def cast_map(cast: DataFrame, unique: bool = True) -> TripleMap:
     actor = t.mint(t.RES + "person/", F.col("actor_id"))
     role = role_iri()
     first = F.col("billing_order") == F.col("first_order")
-    return TripleMap(
-        cast,
-        [
-            Rule(movie, t.STARRING, t.iri(actor), first),
-            Rule(role, t.TYPE, t.iri(t.ONT + "CastRole")),
-            Rule(movie, t.HAS_ROLE, t.iri(role)),
-            Rule(role, t.ROLE_IN, t.iri(movie)),
-            Rule(role, t.PLAYED_BY, t.iri(actor)),
-            Rule(role, t.BILLING, t.integer(F.col("billing_order"))),
-            Rule(role, t.LABEL, t.tagged(role_label(), "en")),
-            Rule(role, t.CHARACTER, t.text(F.col("character")), t.present(F.col("character"))),
-        ],
-        unique,
-    )
+    of_movie = [Rule(movie, t.STARRING, t.iri(actor), first), Rule(movie, t.HAS_ROLE, t.iri(role))]
+    of_role = [
+        Rule(role, t.TYPE, t.iri(t.ONT + "CastRole")),
+        Rule(role, t.ROLE_IN, t.iri(movie)),
+        Rule(role, t.PLAYED_BY, t.iri(actor)),
+        Rule(role, t.BILLING, t.integer(F.col("billing_order"))),
+        Rule(role, t.LABEL, t.tagged(role_label(), "en")),
+        Rule(role, t.CHARACTER, t.text(F.col("character")), t.present(F.col("character"))),
+    ]
+    rules = minted(of_movie, t.RES + "movie/", "movie_id") + minted(of_role, t.RES + "role/", None)
+    return TripleMap(cast, rules, unique)
 
 
 def person_maps(films: DataFrame, cast: DataFrame) -> list[TripleMap]:
@@ -250,16 +291,12 @@ def person_maps(films: DataFrame, cast: DataFrame) -> list[TripleMap]:
         ("Actor", cast.select(F.col("actor_id").alias("pid"), F.col("actor_name").alias("pname"))),
     ):
         person = t.mint(t.RES + "person/", F.col("pid"))
-        maps.append(
-            TripleMap(
-                people.distinct(),
-                [
-                    Rule(person, t.TYPE, t.iri(t.PERSON)),
-                    Rule(person, t.TYPE, t.iri(t.ONT + cls)),
-                    Rule(person, t.NAME, t.text(F.col("pname"))),
-                ],
-            )
-        )
+        rules = [
+            Rule(person, t.TYPE, t.iri(t.PERSON)),
+            Rule(person, t.TYPE, t.iri(t.ONT + cls)),
+            Rule(person, t.NAME, t.text(F.col("pname"))),
+        ]
+        maps.append(TripleMap(people.distinct(), minted(rules, t.RES + "person/", "pid")))
     return maps
 
 
@@ -267,13 +304,11 @@ def dimension_map(films: DataFrame, kind: str) -> TripleMap:
     """Genre, studio or country nodes; labels with one slug share a node and all stay."""
     node = dimension_iri(kind, F.col("label"))
     rows = films.where(t.present(F.col(kind))).select(F.col(kind).alias("label")).distinct()
-    return TripleMap(
-        rows,
-        [
-            Rule(node, t.TYPE, t.iri(t.ONT + kind.capitalize())),
-            Rule(node, t.LABEL, t.tagged(F.col("label"), "en")),
-        ],
-    )
+    rules = [
+        Rule(node, t.TYPE, t.iri(t.ONT + kind.capitalize())),
+        Rule(node, t.LABEL, t.tagged(F.col("label"), "en")),
+    ]
+    return TripleMap(rows, minted(rules, t.ONT + ("genre_" if kind == "genre" else f"{kind}/"), None))
 
 
 def film_graph(films: DataFrame, cast: DataFrame, unique_ids: bool = False) -> MappedGraph:

@@ -122,13 +122,18 @@ def link_choice(expected: DataFrame, same: DataFrame) -> DataFrame:
     return _chosen(expected, same).select("kind", "item", "resource").where(F.col("resource").isNotNull())
 
 
-def link(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
+def link(keys: DataFrame, items: DataFrame, same: DataFrame, narrow: bool = False) -> DataFrame:
     """Keys with `wikidata` and `dbpedia`, NULL where there is no link.
 
+    `narrow` first keeps the items and statements of the given keys: right for a handful of keys.
+
     One chain of left joins. A key without an item gets its own IRI as a stand-in, which matches no
     statement and keeps the unlinked keys from meeting in one task as NULLs would.
     """
-    known = keys.join(regroup(unambiguous_items(items), ["kind", "id"]), ["kind", "id"], "left").withColumns(
+    own = unambiguous_items(items, keys if narrow else None)
+    if narrow:
+        same = same.join(own.select("item").distinct(), "item", "left_semi")
+    known = keys.join(regroup(own, ["kind", "id"]), ["kind", "id"], "left").withColumns(
         {
             "found": F.col("item"),
             "item": F.coalesce("item", "uri"),
@@ -140,6 +145,18 @@ def link(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
     )
 
 
+def sharing(seeds: DataFrame, keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
+    """(id, dbp): every key that is linked with one of the resources `seeds` (dbp).
+
+    Only keys whose item has a statement about such a resource can be, so all others are left out before
+    anything is grouped.
+    """
+    about = same.select("item", F.coalesce("redirect_target", "res").alias("dbp")).join(seeds, "dbp", "left_semi")
+    ids = items.join(about.select("item").distinct(), "item", "left_semi").select(F.col("id_value").alias("id")).distinct()
+    found = link(keys.join(ids, "id", "left_semi"), items, same, narrow=True)
+    return found.select("id", F.col("dbpedia").alias("dbp")).join(seeds, "dbp", "left_semi").select("id", "dbp")
+
+
 def link_report(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
     """Every resource with the links found; a missing link is ''."""
     blank = F.lit("")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators.lift import as_set, union_all
+from tripleloom.operators.lift import MappedGraph, as_set, union_all
 
 Pattern = tuple[str, str, "str | t.Term"]
 PARTS = {"o": "", "o_kind": "__kind", "o_dt": "__dt", "o_lang": "__lang"}
@@ -33,7 +33,8 @@ def resource_variables(patterns: list[Pattern]) -> set[str]:
 def scan(graph, pattern: Pattern, resources: set[str]) -> DataFrame:
     """Solutions of one pattern as a filter and projection of the triples."""
     s, p, o = pattern
-    rows = graph.triples() if is_variable(p) else graph.match(p)
+    one = None if is_variable(s) else s
+    rows = graph.match(None if is_variable(p) else p, subject=one) if one or not is_variable(p) else graph.triples()
     out: dict[str, Column] = {}
     conditions: list[Column] = []
 
@@ -151,7 +152,15 @@ def construct(solutions: DataFrame, template: list[tuple[Column, Column | str, t
 
 def describe(graph, resource: str) -> DataFrame:
     """DESCRIBE: the triples of a resource and of the blank nodes it points to."""
-    triples = graph.triples()
-    own = triples.where(F.col("s") == resource).select(*t.TERM)
+    own = graph.match(None, subject=resource).select(*t.TERM)
     nodes = own.where(F.col("o_kind") == "bnode").select(F.col("o").alias("s")).distinct()
-    return as_set(union_all([own, triples.join(nodes, "s", "left_semi").select(*t.TERM)]))
+    if not has_blank_subjects(graph):
+        return as_set(own)
+    return as_set(union_all([own, graph.triples().join(nodes, "s", "left_semi").select(*t.TERM)]))
+
+
+def has_blank_subjects(graph) -> bool:
+    """Whether a subject can be a blank node: not where every rule mints its subjects in a name space."""
+    return not isinstance(graph, MappedGraph) or any(
+        r.of is None or r.of[0].startswith("_:") for m in graph.maps for r in m.rules
+    )

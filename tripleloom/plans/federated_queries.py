@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tripleloom.functions import terms as t
 from tripleloom.functions.text import name_of_resource, year_value
 from tripleloom.operators.joins import bind_join
-from tripleloom.operators.linking import link, link_by_id
+from tripleloom.operators.linking import link, link_by_id, sharing
 from tripleloom.plans.graph_queries import DIRECTOR, FILM, YEAR
 from tripleloom.sources.driver_views import DriverViews
 
@@ -39,16 +39,10 @@ def item_of(v: DriverViews, people: DataFrame, narrow: bool = True) -> DataFrame
     return link_by_id(v.person_keys(people), v.person_items(), narrow).select(F.col("id").cast("long"), "item")
 
 
-def movie_links(v: DriverViews) -> DataFrame:
-    """(movie_id, dbp) of all movies."""
-    linked = link(v.movie_keys(), v.movie_items(), v.movie_same()).where(F.col("dbpedia").isNotNull())
-    return linked.select(F.col("id").cast("long").alias("movie_id"), F.col("dbpedia").alias("dbp"))
-
-
-def person_links(v: DriverViews) -> DataFrame:
-    """(id, dbp) of all people."""
-    linked = link(v.person_keys(), v.person_items(), v.person_same()).where(F.col("dbpedia").isNotNull())
-    return linked.select(F.col("id").cast("long"), F.col("dbpedia").alias("dbp"))
+def linked_to(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
+    """(dbp): what a handful of keys is linked to."""
+    found = link(keys, items, same, narrow=True)
+    return found.where(F.col("dbpedia").isNotNull()).select(F.col("dbpedia").alias("dbp")).distinct()
 
 
 def movies_of_director(v: DriverViews) -> DataFrame:
@@ -57,10 +51,16 @@ def movies_of_director(v: DriverViews) -> DataFrame:
 
 def seen_by_director(v: DriverViews) -> tuple[DataFrame, DataFrame]:
     """The linked IRIs of the director's movies, and every local movie that shares one of them."""
-    links = movie_links(v)
-    seeds = links.join(movies_of_director(v), "movie_id").select("dbp").distinct()
-    back = links.join(seeds, "dbp").join(v.movie().select("movie_id", "title", "year"), "movie_id")
-    return seeds, back.select("dbp", "title", "year")
+    keys, items, same = v.movie_keys(), v.movie_items(), v.movie_same()
+    own = keys.join(movies_of_director(v).select(F.col("movie_id").cast("string").alias("id")), "id", "left_semi")
+    seeds = linked_to(own, items, same)
+    back = sharing(seeds, keys, items, same).select(F.col("id").cast("long").alias("movie_id"), "dbp")
+    return seeds, back.join(v.movie(), "movie_id").select("dbp", "title", "year")
+
+
+def of_seeds(facts: DataFrame, seeds: DataFrame) -> DataFrame:
+    """The facts about `seeds` (dbp), with the subject as `dbp`."""
+    return facts.withColumnRenamed("s", "dbp").join(seeds, "dbp", "left_semi")
 
 
 def director_birth(v: DriverViews) -> DataFrame:
@@ -121,11 +121,11 @@ def budget_and_gross(v: DriverViews) -> DataFrame:
     facts = v.dbpedia
 
     def largest(p: str, name: str) -> DataFrame:
-        return facts.match(p).groupBy(F.col("s").alias("dbp")).agg(F.max(number()).alias(name))
+        return of_seeds(facts.match(p), seeds).groupBy("dbp").agg(F.max(number()).alias(name))
 
-    labels = english(facts.match(t.LABEL)).select(F.col("s").alias("dbp"), F.col("o").alias("label"))
+    labels = of_seeds(english(facts.match(t.LABEL)), seeds).select("dbp", F.col("o").alias("label"))
     remote = (
-        seeds.join(labels, "dbp").join(largest(t.DBO + "budget", "budget"), "dbp", "left")
+        labels.join(largest(t.DBO + "budget", "budget"), "dbp", "left")
         .join(largest(t.DBO + "gross", "gross"), "dbp", "left")
     )
     return (
@@ -137,9 +137,10 @@ def budget_and_gross(v: DriverViews) -> DataFrame:
 def year_check(v: DriverViews) -> DataFrame:
     chosen = v.movie().where(F.col("year") == YEAR)
     keys = chosen.select(F.lit("movie").alias("kind"), F.col("movie_id").cast("string").alias("id"), "title", "year")
-    linked = link_by_id(keys, v.movie_items())
+    linked = link_by_id(keys, v.movie_items(), narrow=True)
     first = (
-        v.wikidata.match(t.WDT + "P577", as_bag=True).groupBy(F.col("s").alias("item"))
+        v.wikidata.match(t.WDT + "P577", as_bag=True).withColumnRenamed("s", "item")
+        .join(linked.select("item").distinct(), "item", "left_semi").groupBy("item")
         .agg(F.min(year_value(F.col("o"))).alias("wikidataYear"))
     )
     return (
@@ -152,9 +153,9 @@ def endpoint_probe(v: DriverViews) -> DataFrame:
     facts = v.dbpedia
 
     def of(p: str, name: str) -> DataFrame:
-        return facts.match(p).where(F.col("s") == PROBE).select("s", number().alias(name))
+        return facts.match(p, subject=PROBE).select("s", number().alias(name))
 
-    labels = english(facts.match(t.LABEL)).where(F.col("s") == PROBE).select("s", F.col("o").alias("label"))
+    labels = english(facts.match(t.LABEL, subject=PROBE)).select("s", F.col("o").alias("label"))
     return (
         labels.join(of(t.DBO + "budget", "budget"), "s", "left").join(of(t.DBO + "gross", "gross"), "s", "left")
         .select("label", "budget", "gross")
@@ -166,7 +167,7 @@ def links_exist(v: DriverViews) -> DataFrame:
     facts = v.dbpedia
     named = english(facts.match(t.LABEL)).select(F.col("s").alias("dbp"), F.col("o").alias("label"))
     moved = facts.match(t.DBO + "wikiPageRedirects").select(F.col("s").alias("dbp"), F.col("o").alias("redirectsTo"))
-    remote = seeds.join(named.unionByName(moved, allowMissingColumns=True), "dbp")
+    remote = named.unionByName(moved, allowMissingColumns=True).join(seeds, "dbp", "left_semi")
     return (
         back.join(remote, "dbp").select("title", "year", "label", "redirectsTo")
         .orderBy("year", "title", "label", "redirectsTo")
@@ -175,9 +176,9 @@ def links_exist(v: DriverViews) -> DataFrame:
 
 def abstracts(v: DriverViews) -> DataFrame:
     seeds, back = seen_by_director(v)
-    told = english(v.dbpedia.match(t.DBO + "abstract")).select(F.col("s").alias("dbp"), F.col("o").alias("abstract"))
+    told = of_seeds(english(v.dbpedia.match(t.DBO + "abstract")), seeds).select("dbp", F.col("o").alias("abstract"))
     return (
-        back.join(seeds.join(told, "dbp"), "dbp")
+        back.join(told, "dbp")
         .select("title", "year", F.substring("abstract", 1, 150).alias("start")).orderBy("year", "title", "start")
     )
 
@@ -185,13 +186,12 @@ def abstracts(v: DriverViews) -> DataFrame:
 def cast_birth_year(v: DriverViews) -> DataFrame:
     film = v.movie().where(F.col("title") == FILM)
     starring = v.starring(only=film.select("movie_id"))
-    links = person_links(v).withColumnRenamed("id", "actor_id")
-    seeds = links.join(starring.select("actor_id").distinct(), "actor_id", "left_semi").select("dbp").distinct()
-    dates = v.dbpedia.match(t.DBO + "birthDate").where(F.col("o_dt") == t.XSD_DATE)
-    born = (
-        seeds.join(dates.withColumnRenamed("s", "dbp"), "dbp", "inner")
-        .groupBy("dbp").agg(F.min(year_value(F.col("o"))).alias("born"))
-    )
+    items, same = v.person_items(), v.person_same()
+    cast = v.person_keys(starring.select(F.col("actor_id").alias("id")).distinct())
+    seeds = linked_to(cast, items, same)
+    dates = of_seeds(v.dbpedia.match(t.DBO + "birthDate").where(F.col("o_dt") == t.XSD_DATE), seeds)
+    born = dates.groupBy("dbp").agg(F.min(year_value(F.col("o"))).alias("born"))
+    links = sharing(seeds, cast, items, same).select(F.col("id").cast("long").alias("actor_id"), "dbp")
     back = links.join(born, "dbp").join(v.actors(), "actor_id").join(starring, "actor_id").join(film, "movie_id")
     return (
         back.groupBy("title", "actor", "year").agg(F.min("born").alias("birthYear"))
@@ -201,13 +201,13 @@ def cast_birth_year(v: DriverViews) -> DataFrame:
 
 
 def birthplaces(v: DriverViews) -> DataFrame:
-    links = person_links(v)
-    names = v.person_keys().select(F.col("id").cast("long"), F.col("label").alias("name"))
-    who = names.where(F.col("name") == DIRECTOR)
-    seeds = links.join(who.select("id"), "id").select("dbp").distinct()
+    keys, items, same = v.person_keys(), v.person_items(), v.person_same()
+    seeds = linked_to(keys.where(F.col("label") == DIRECTOR), items, same)
+    links = sharing(seeds, keys, items, same)
+    names = keys.select("id", F.col("label").alias("name"))
     facts = v.dbpedia
     places = facts.match(t.DBO + "birthPlace").unionByName(facts.match(t.DBP + "birthPlace"))
-    found = seeds.join(places.withColumnRenamed("s", "dbp"), "dbp").select(
+    found = of_seeds(places, seeds).select(
         "dbp", name_of_resource(F.col("o"), F.col("o_kind"), t.DBR).alias("place")
     ).distinct()
     return (

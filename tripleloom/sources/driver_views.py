@@ -322,7 +322,11 @@ class DriverViews:
         )
         abstracts = [Rule(film, t.DBO + "abstract", t.tagged(F.col("text"), F.col("lang")))]
         return MappedGraph(
-            [TripleMap(people, person), TripleMap(orders, facts, True), TripleMap(told, abstracts, True)]
+            [
+                TripleMap(people, lift.minted(person, t.DBR + "Person", None)),
+                TripleMap(orders, lift.minted(facts, t.DBR + "Order_", "o_orderkey"), True),
+                TripleMap(told, lift.minted(abstracts, t.DBR + "Order_", "o_orderkey"), True),
+            ]
         )
 
     # --- graphs ---------------------------------------------------------------------------------
