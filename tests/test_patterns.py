@@ -101,3 +101,8 @@ def test_a_constant_subject_reaches_the_scan(spark, tiny):
     for strange in (t.RES + "movie/042", t.RES + "movie/x", "http://elsewhere/1"):
         assert q.describe(views.graph, strange).count() == 0
     assert q.describe(views.graph, t.RES + "person/9").count() >= 3
+
+
+def test_a_year_reaches_the_scan_as_a_range_of_dates(spark, tiny):
+    plan = DriverViews(spark, tiny).movie(after=1995, until=1996)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan

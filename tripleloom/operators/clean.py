@@ -86,7 +86,9 @@ def clean_movies(
     chosen = movies.where(F.col("vote_count").cast("long") >= min_votes).where(
         (F.coalesce("title", F.lit("")) != "") & (F.coalesce("release_date", F.lit("")) != "")
     )
-    joined = chosen.join(compact_credits(credits, strict), "id").where(F.col("director").isNotNull())
+    # credits of other movies are left out before their cells are parsed
+    own = credits.join(chosen.select(F.col("id").alias("movie_id")).distinct(), "movie_id", "left_semi")
+    joined = chosen.join(compact_credits(own, strict), "id").where(F.col("director").isNotNull())
     best = joined.orderBy(
         F.desc(F.col("vote_average").cast("double")), F.desc(F.col("vote_count").cast("long")), F.asc("ordinal")
     )

@@ -135,7 +135,7 @@ def budget_and_gross(v: DriverViews) -> DataFrame:
 
 
 def year_check(v: DriverViews) -> DataFrame:
-    chosen = v.movie().where(F.col("year") == YEAR)
+    chosen = v.movie(after=YEAR - 1, until=YEAR)
     keys = chosen.select(F.lit("movie").alias("kind"), F.col("movie_id").cast("string").alias("id"), "title", "year")
     linked = link_by_id(keys, v.movie_items(), narrow=True)
     first = (

@@ -23,7 +23,7 @@ def movies_by_director(v: DriverViews) -> DataFrame:
 
 
 def movies_after_year(v: DriverViews) -> DataFrame:
-    return v.movie().where(F.col("year") > YEAR).select("title", "year")
+    return v.movie(after=YEAR).select("title", "year")
 
 
 def top_directors_by_name(v: DriverViews) -> DataFrame:

@@ -70,9 +70,15 @@ class DriverViews:
 
     # --- property tables ------------------------------------------------------------------------
 
-    def movie(self) -> DataFrame:
-        """(movie_id, title, year, director_id), from the orders alone."""
-        return self.table("orders").select(
+    def movie(self, after: int | None = None, until: int | None = None) -> DataFrame:
+        """(movie_id, title, year, director_id), from the orders alone; with bounds, of the years after `after`
+        and up to `until`, as a range of dates that the scan can prune by."""
+        rows, day = self.table("orders"), F.col("o_orderdate")
+        if after is not None:
+            rows = rows.where(day >= F.lit(f"{after + 1}-01-01").cast("timestamp"))
+        if until is not None:
+            rows = rows.where(day < F.lit(f"{until + 1}-01-01").cast("timestamp"))
+        return rows.select(
             F.col("o_orderkey").alias("movie_id"),
             movie_title(F.col("o_orderkey")).alias("title"),
             F.year("o_orderdate").cast("long").alias("year"),
@@ -95,6 +101,10 @@ class DriverViews:
             F.col("n_name").alias("country"),
         )
 
+    def genres(self) -> DataFrame:
+        """(id, genre), from the orders alone."""
+        return self.table("orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderpriority").alias("genre"))
+
     def billed(self, only: DataFrame | None = None) -> DataFrame:
         """(movie_id, actor_id, part_id, billing_order): the first-billed rows per movie, of all
         movies or of those in `only`."""
