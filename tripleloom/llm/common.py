@@ -33,6 +33,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def if_small(ids: DataFrame, most: int = 1_000_000) -> DataFrame:
+    """A table of ids as it is, marked for a broadcast where it has at most `most` rows (some 16 MB).
+
+    Then the rows it is joined with, whole texts for example, stay where they are; else both are shuffled.
+    """
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
+
+
 def fold(doc_id: Column, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`: a split that follows the row and not its place."""
     return F.crc32(doc_id.cast("string").cast("binary")) % folds

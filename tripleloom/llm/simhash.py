@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripleloom.llm.common import cut, id_and_text
+from tripleloom.llm.common import cut, id_and_text, if_small, mixed
 from tripleloom.llm.groups import block_pairs, forest, with_components
 
 _SEED = 42
@@ -62,28 +62,52 @@ def fingerprint(found: np.ndarray, at_once: int = 1 << 16) -> np.uint64:
     return np.packbits(ones * 2 > len(found), bitorder="little").view("<u8")[0]
 
 
-def fingerprints(docs: DataFrame, words: int, sets: bool = False) -> DataFrame:
-    """(doc_id, fp) of all rows; with `sets` also the sorted different shingle hashes and their digest."""
+def of_lane(found: np.ndarray, lane: int) -> np.ndarray:
+    """The hashes themselves for lane 0, else hashes of them that are independent of other lanes'."""
+    return mixed(found * np.uint64(2 * lane + 1) + np.uint64(lane)) if lane else found
+
+
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, fp) of all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks = [fingerprint(hashes(t.as_py(), words)) for t in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(marks, np.uint64).view(np.int64))], ["doc_id", "fp"])
+
+    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+
+
+def lane_fingerprints(docs: DataFrame, words: int, lanes: int) -> DataFrame:
+    """(doc_id, fps, digest): fingerprints of the different shingles by hashes of each lane, and the digest of these."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            marks, digests = [], []
+            for text in batch.column(1):
+                found = np.unique(hashes(text.as_py(), words))
+                marks += [fingerprint(of_lane(found, k)) for k in range(lanes)]
+                digests.append(xxhash.xxh128_digest(found.tobytes()))
+            offsets = np.arange(0, len(marks) + 1, lanes, dtype=np.int32)
+            lists = pa.ListArray.from_arrays(offsets, np.array(marks, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(digests, pa.binary())], ["doc_id", "fps", "digest"])
+
+    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, fps array<long>, digest binary")
+
+
+def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
+    """(node, shingles): by document, 32 bits of the hash of each different shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, 1000):
                 batch = whole.slice(start, 1000)
-                found = [hashes(t, words) for t in batch.column(1).to_pylist()]
-                marks = pa.array(np.array([fingerprint(h) for h in found], np.uint64).view(np.int64))
-                if not sets:
-                    yield pa.RecordBatch.from_arrays([batch.column(0), marks], ["doc_id", "fp"])
-                    continue
-                unique = [np.unique(h) for h in found]
-                offsets = np.cumsum([0, *map(len, unique)]).astype(np.int32)
-                arrays = pa.ListArray.from_arrays(offsets, np.concatenate([*unique, np.zeros(0, np.uint64)]).view(np.int64))
-                digest = pa.array([xxhash.xxh128_digest(u.tobytes()) for u in unique], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), marks, arrays, digest], ["doc_id", "fp", "shingles", "digest"]
-                )
-
-    kind = "doc_id long, fp long" + ", shingles array<long>, digest binary" * sets
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, kind)
+                sets = [np.unique(hashes(t.as_py(), words).astype(np.uint32)).view(np.int32) for t in batch.column(1)]
+                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(offsets, np.concatenate([*sets, np.zeros(0, np.int32)]))
+                yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "shingles"])
+
+    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "node long, shingles array<int>")
 
 
 @dataclass(frozen=True)
@@ -132,25 +156,30 @@ def ring_for(nodes: int, max_bits: int = 4) -> Ring:
     return Ring(9, max_bits, 4) if nodes < 1 << 24 else Ring(13, max_bits, 9)
 
 
+def near_ring_for(nodes: int) -> Ring:
+    """Keys of 16, 21 or 26 bits that leave 2, 3 or 4 segments equal, by the number of fingerprints."""
+    return Ring(8, 6, 5) if nodes < 1 << 20 else Ring(9, 6, 9) if nodes < 1 << 26 else Ring(10, 6, 10)
+
+
 def keyed(nodes: DataFrame, ring: Ring) -> DataFrame:
-    """(key, start, node, fp, ...): a row for each key of each node of (node, fp, ...), where the key has others."""
+    """(kind, part, node, fp): a row for each key (kind, part) of each node of (node, lane, fp)."""
     keys = F.array(*[
         F.struct(
-            F.lit(i).cast("int").alias("kind"), F.lit(start).cast("int").alias("start"),
+            (F.col("lane") * len(ring.keys()) + i).cast("int").alias("kind"),
             F.col("fp").bitwiseAND(F.lit(signed(mask)).cast("long")).alias("part"),
         )
-        for i, (start, mask) in enumerate(ring.keys())
+        for i, (_, mask) in enumerate(ring.keys())
     ])
-    return nodes.select(F.inline(keys), "*")
+    return nodes.select(F.inline(keys), "node", "fp")
 
 
 def near(a: str, b: str, ring: Ring, max_bits: int) -> F.Column:
     """The chain budgets from the key's start, shortest chain first; the last one is the full Hamming check."""
-    chains = ring.chains(max_bits)
+    chains = [ring.chains(max_bits)[start] for start, _ in ring.keys()]
     differs = F.col(a).bitwiseXOR(F.col(b))
     found = F.lit(True)
     for n in range(ring.segments):
-        of_start = F.element_at(F.array(*[F.lit(signed(c[n][0])).cast("long") for c in chains]), F.col("start") + 1)
+        of_start = F.element_at(F.array(*[F.lit(signed(c[n][0])).cast("long") for c in chains]), F.col("kind") % len(chains) + 1)
         found &= F.bit_count(differs.bitwiseAND(of_start)) <= chains[0][n][1]
     return found
 
@@ -165,7 +194,7 @@ def near_matrix(fp: np.ndarray, start: int, ring: Ring, max_bits: int) -> np.nda
 
 
 def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two sorted arrays without repeats; 1 for two empty ones."""
+    """Jaccard similarity of two arrays without repeats; 1 for two empty ones."""
     common = len(np.intersect1d(a, b, assume_unique=True))
     total = len(a) + len(b) - common
     return common / total if total else 1.0
@@ -199,42 +228,50 @@ def sure_forest(fp: np.ndarray, sets: list[np.ndarray], close: np.ndarray, least
     return out
 
 
-def links(nodes: DataFrame, ring: Ring, max_bits: int, sets: DataFrame | None = None, least: float = 0.0) -> DataFrame:
-    """Links (a, b) that connect the nodes (node, fp) which differ in few bits.
+def links(nodes: DataFrame, ring: Ring, max_bits: int, docs: DataFrame | None = None, words: int = 5, least: float = 0.0) -> DataFrame:
+    """Links (a, b) that connect the nodes (node, lane, fp) which differ in few bits in some lane.
 
-    With `sets` (node, shingles), a link also needs `least` Jaccard similarity of the shingles.
+    With `docs` (doc_id, text), whose ids the nodes are, a link also needs `least` Jaccard similarity of the
+    documents' shingles.
     """
     rows = keyed(nodes, ring)
-    sizes = rows.groupBy("kind", "part").agg(F.count("*").alias("n")).where("n > 1")
-    shared = cut(rows.join(sizes, ["kind", "part"]))
-    few = shared.where(F.col("n") <= SMALL)
+    starts = [start for start, _ in ring.keys()]
+    key = ["kind", "part"]
+    large = cut(rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > SMALL))
+    few = rows.join(large.select(*key), key, "left_anti")
     pairs = (
-        few.select("kind", "part", "start", F.col("node").alias("a"), F.col("fp").alias("fa"))
-        .join(few.select("kind", "part", F.col("node").alias("b"), F.col("fp").alias("fb")), ["kind", "part"])
+        few.select(*key, F.col("node").alias("a"), F.col("fp").alias("fa"))
+        .join(few.select(*key, F.col("node").alias("b"), F.col("fp").alias("fb")), key)
         .where((F.col("a") < F.col("b")) & near("fa", "fb", ring, max_bits))
         .select("a", "b").distinct()
     )
-    many = block_pairs(shared.where(F.col("n") > SMALL), F.col("n"), BLOCK, F.col("node"))
-    if sets is None:
+    many = rows.join(large, key)
+    tasks = [*key, "low", "high"]
+    if docs is None:
 
         def connect(group: pd.DataFrame) -> pd.DataFrame:
             fp, node = group["fp"].to_numpy().view(np.uint64), group["node"].to_numpy()
-            found = np.array(forest(near_matrix(fp, int(group["start"].iloc[0]), ring, max_bits)), np.int64).reshape(-1, 2)
+            close = near_matrix(fp, starts[int(group["kind"].iloc[0]) % len(starts)], ring, max_bits)
+            found = np.array(forest(close), np.int64).reshape(-1, 2)
             return pd.DataFrame({"a": node[found[:, 0]], "b": node[found[:, 1]]})
 
-        return pairs.union(many.groupBy("kind", "part", "low", "high").applyInPandas(connect, "a long, b long"))
+        blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).groupBy(*tasks)
+        return pairs.union(blocks.applyInPandas(connect, "a long, b long"))
 
     def verify(group: pd.DataFrame) -> pd.DataFrame:
         fp, node = group["fp"].to_numpy().view(np.uint64), group["node"].to_numpy()
-        close = near_matrix(fp, int(group["start"].iloc[0]), ring, max_bits)
+        close = near_matrix(fp, starts[int(group["kind"].iloc[0]) % len(starts)], ring, max_bits)
         found = np.array(sure_forest(fp, list(group["shingles"]), close, least), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": node[found[:, 0]], "b": node[found[:, 1]]})
 
+    pairs, many = cut(pairs), cut(many)
+    asked = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(many.select("node")).distinct())
+    sets = cut(shingle_sets(docs.join(if_small(asked), "doc_id", "left_semi"), words))
     of_a, of_b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     common = F.size(F.array_intersect("sa", "sb"))
     total = F.size("sa") + F.size("sb") - common
     sure = pairs.join(of_a, "a").join(of_b, "b").where(common >= F.lit(least) * total).select("a", "b")
-    blocks = many.join(sets, "node").groupBy("kind", "part", "low", "high")
+    blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).join(sets, "node").groupBy(*tasks)
     return sure.union(blocks.applyInPandas(verify, "a long, b long"))
 
 
@@ -247,26 +284,25 @@ def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> Da
     marked = cut(fingerprints(id_and_text(docs), words))
     nodes = marked.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"))
     nodes = nodes.withColumn("fp", F.col("node"))
-    found = links(nodes.select("node", "fp"), ring_for(nodes.count(), max_bits), max_bits)
+    found = links(nodes.select("node", F.lit(0).alias("lane"), "fp"), ring_for(nodes.count(), max_bits), max_bits)
     grouped = with_components(nodes, "node", found)
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     of_fp = grouped.join(least, "component").select("fp", "component_id")
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 14) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 14, lanes: int = 3) -> DataFrame:
     """(doc_id, keeper): the smallest id of the group of near copies that a row belongs to.
 
     Rows are linked when their shingles of `words` words have a Jaccard similarity of `least`; candidates
-    are rows whose fingerprints differ in at most `max_bits` bits. Pairs up to 6 bits apart are surely
-    found; of those further apart, the ones whose differences leave two segments equal.
+    are rows whose fingerprints differ in at most `max_bits` bits in one of `lanes` independent lanes.
+    In each lane pairs up to 6 bits apart are surely found; of those further apart, the ones whose
+    differences leave some segments equal.
     """
-    marked = cut(fingerprints(id_and_text(docs).where("doc_id is not null"), words, sets=True))
-    nodes = cut(
-        marked.groupBy("digest", "fp").agg(F.min("doc_id").alias("node"), F.first("shingles").alias("shingles"))
-    )
-    found = links(nodes.select("node", "fp"), Ring(8, 6, 5), max_bits, nodes.select("node", "shingles"), least)
-    grouped = with_components(nodes.select("digest", "fp", "node"), "node", found)
-    return marked.select("doc_id", "digest", "fp").join(grouped, ["digest", "fp"]).select(
-        "doc_id", F.col("component").alias("keeper")
-    )
+    rows = id_and_text(docs).where("doc_id is not null")
+    marked = cut(lane_fingerprints(rows, words, lanes))
+    nodes = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("fps").alias("fps")))
+    marks = nodes.select("node", F.posexplode("fps").alias("lane", "fp"))
+    found = links(marks, near_ring_for(nodes.count()), max_bits, rows, words, least)
+    grouped = with_components(nodes.select("digest", "node"), "node", found)
+    return marked.select("doc_id", "digest").join(grouped, "digest").select("doc_id", F.col("component").alias("keeper"))
