@@ -33,7 +33,7 @@ from tripleloom.llm.groups import block_pairs, forest, with_components
 
 _SEED = 42
 #: A key with more fingerprints than this is cut into blocks of BLOCK.
-SMALL, BLOCK = 48, 1024
+SMALL, BLOCK = 16, 1024
 
 
 def shingles(text: str | None, words: int) -> list[bytes]:
@@ -238,14 +238,15 @@ def links(nodes: DataFrame, ring: Ring, max_bits: int, docs: DataFrame | None =
     starts = [start for start, _ in ring.keys()]
     key = ["kind", "part"]
     large = cut(rows.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > SMALL))
-    few = rows.join(large.select(*key), key, "left_anti")
+    # few in number as they are, the large keys can be told at the rows' places, which are shuffled once then
+    few = rows.join(if_small(large.select(*key)), key, "left_anti")
     pairs = (
         few.select(*key, F.col("node").alias("a"), F.col("fp").alias("fa"))
         .join(few.select(*key, F.col("node").alias("b"), F.col("fp").alias("fb")), key)
         .where((F.col("a") < F.col("b")) & near("fa", "fb", ring, max_bits))
         .select("a", "b").distinct()
     )
-    many = rows.join(large, key)
+    many = rows.join(if_small(large), key)
     tasks = [*key, "low", "high"]
     if docs is None:
 
@@ -291,7 +292,7 @@ def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> Da
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 14, lanes: int = 3) -> DataFrame:
+def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 12, lanes: int = 3) -> DataFrame:
     """(doc_id, keeper): the smallest id of the group of near copies that a row belongs to.
 
     Rows are linked when their shingles of `words` words have a Jaccard similarity of `least`; candidates
