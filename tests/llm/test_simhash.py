@@ -113,3 +113,15 @@ def test_hamming_of_fingerprint_halves():
     h = np.array([0b1011, 0b0011, 0b0001], np.uint64)
     assert simhash.fingerprint(h) == 0b0011 and simhash.fingerprint(h[:2]) == 0b0011
     assert simhash.fingerprint(h[:0]) == 0 and simhash.fingerprint(np.repeat(h, 50_000)) == 0b0011
+
+
+@pytest.mark.parametrize("size,common", [(100, 80), (100, 82), (100, 85), (5, 4), (15, 12)])
+def test_bands_find_pairs_of_the_least_similarity(size, common):
+    """The bands depend on no number of texts, so this is the share of pairs that an input of any size finds."""
+    rng = np.random.default_rng(size)
+    count, pairs = simhash.bands_for(0.8), 3000
+    found = 0
+    for _ in range(pairs):
+        both = rng.integers(0, 2**64, size, np.uint64)
+        found += bool(np.any(simhash.bands(both, count) == simhash.bands(both[:common], count)))
+    assert found >= 0.998 * pairs

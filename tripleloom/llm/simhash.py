@@ -10,6 +10,9 @@ the same start, and the last of these chains is the whole ring: the full Hamming
 Keys that many fingerprints share are cut into blocks. Every two blocks meet in one task, which
 returns links that connect what its pairs connect, so that nothing grows with the square of a group.
 
+The near copies of the pipeline are pairs of a Jaccard similarity, which a bound on differing bits loses some
+of. Their candidates share a band of smallest hashes instead, whose number follows from a stated recall.
+
 Null and empty texts have no word and the fingerprint zero; they are linked with each other like any
 other rows. Repeated rows have one fingerprint. Rows with a null id stay and are never the smallest.
 An empty table gives an empty result.
@@ -17,6 +20,7 @@ An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -34,6 +38,8 @@ from tripleloom.llm.groups import block_pairs, forest, with_components
 _SEED = 42
 #: A key with more fingerprints than this is cut into blocks of BLOCK.
 SMALL, BLOCK = 16, 1024
+#: Of the pairs whose similarity is just the least one, the share that becomes a candidate, and the minima in a band.
+RECALL, MINIMA = 0.9999, 5
 
 
 def shingles(text: str | None, words: int) -> list[bytes]:
@@ -62,11 +68,6 @@ def fingerprint(found: np.ndarray, at_once: int = 1 << 16) -> np.uint64:
     return np.packbits(ones * 2 > len(found), bitorder="little").view("<u8")[0]
 
 
-def of_lane(found: np.ndarray, lane: int) -> np.ndarray:
-    """The hashes themselves for lane 0, else hashes of them that are independent of other lanes'."""
-    return mixed(found * np.uint64(2 * lane + 1) + np.uint64(lane)) if lane else found
-
-
 def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     """(doc_id, fp) of all rows."""
 
@@ -78,25 +79,54 @@ def fingerprints(docs: DataFrame, words: int) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def lane_fingerprints(docs: DataFrame, words: int, lanes: int) -> DataFrame:
-    """(doc_id, fps, digest): fingerprints of the different shingles by hashes of each lane, and the digest of these."""
+def bands_for(least: float) -> int:
+    """Bands with which a pair of similarity `least` shares one in a share RECALL of cases, whatever its texts' length.
+
+    Two sets have the same smallest hash with a probability of just their Jaccard similarity.
+    """
+    return 1 if least >= 1 else math.ceil(math.log(1 - RECALL) / math.log(1 - least**MINIMA))
+
+
+def bands(found: np.ndarray, count: int, at_once: int = 1 << 11) -> np.ndarray:
+    """For each band the hash of its number and its minima over the (different) hashes of a text."""
+    lanes = count * MINIMA
+    factors = mixed(np.arange(1, lanes + 1, dtype=np.uint64) << np.uint64(20)) | np.uint64(1)
+    least = np.full(lanes, np.iinfo(np.uint64).max)
+    for start in range(0, len(found), at_once):
+        part = found[start : start + at_once]
+        least = np.minimum(least, mixed(part[:, None] * factors + (factors >> np.uint64(7))).min(0))
+    out = np.arange(count, dtype=np.uint64)
+    for k in range(MINIMA):
+        out = mixed(out * factors[k] + least[k::MINIMA])
+    return out
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """(doc_id, text_key, text): rows of one id are told by a hash of their text."""
+    return id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
+def banded(rows: DataFrame, words: int, count: int) -> DataFrame:
+    """(doc_id, text_key, node, bands) of keyed texts; the node is named by the set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, digests = [], []
-            for text in batch.column(1):
+            marks, nodes = [], []
+            for text in batch.column(2):
                 found = np.unique(hashes(text.as_py(), words))
-                marks += [fingerprint(of_lane(found, k)) for k in range(lanes)]
-                digests.append(xxhash.xxh128_digest(found.tobytes()))
-            offsets = np.arange(0, len(marks) + 1, lanes, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(offsets, np.array(marks, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(digests, pa.binary())], ["doc_id", "fps", "digest"])
+                marks.append(bands(found, count))
+                nodes.append(xxhash.xxh64_intdigest(found.tobytes(), _SEED))
+            offsets = np.arange(0, count * len(marks) + 1, count, dtype=np.int32)
+            lists = pa.ListArray.from_arrays(offsets, np.concatenate([*marks, np.zeros(0, np.uint64)]).view(np.int64))
+            names = ["doc_id", "text_key", "node", "bands"]
+            node = pa.array(np.array(nodes, np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), node, lists], names)
 
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, fps array<long>, digest binary")
+    return rows.mapInArrow(run, "doc_id long, text_key long, node long, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
-    """(node, shingles): by document, 32 bits of the hash of each different shingle."""
+def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
+    """(node, shingles) of (node, text): 32 bits of the hash of each different shingle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -107,7 +137,7 @@ def shingle_sets(docs: DataFrame, words: int) -> DataFrame:
                 lists = pa.ListArray.from_arrays(offsets, np.concatenate([*sets, np.zeros(0, np.int32)]))
                 yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "shingles"])
 
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "node long, shingles array<int>")
+    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
 
 
 @dataclass(frozen=True)
@@ -156,11 +186,6 @@ def ring_for(nodes: int, max_bits: int = 4) -> Ring:
     return Ring(9, max_bits, 4) if nodes < 1 << 24 else Ring(13, max_bits, 9)
 
 
-def near_ring_for(nodes: int) -> Ring:
-    """Keys of 16, 21 or 26 bits that leave 2, 3 or 4 segments equal, by the number of fingerprints."""
-    return Ring(8, 6, 5) if nodes < 1 << 20 else Ring(9, 6, 9) if nodes < 1 << 26 else Ring(10, 6, 10)
-
-
 def keyed(nodes: DataFrame, ring: Ring) -> DataFrame:
     """(kind, part, node, fp): a row for each key (kind, part) of each node of (node, lane, fp)."""
     keys = F.array(*[
@@ -193,47 +218,8 @@ def near_matrix(fp: np.ndarray, start: int, ring: Ring, max_bits: int) -> np.nda
     return found
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Jaccard similarity of two arrays without repeats; 1 for two empty ones."""
-    common = len(np.intersect1d(a, b, assume_unique=True))
-    total = len(a) + len(b) - common
-    return common / total if total else 1.0
-
-
-def sure_forest(fp: np.ndarray, sets: list[np.ndarray], close: np.ndarray, least: float) -> list[tuple[int, int]]:
-    """Links of at least `least` similarity that connect what all such links among the `close` pairs connect.
-
-    The pairs are taken in order of their Hamming distance, and those that others connect already
-    need no exact comparison.
-    """
-    parent = list(range(len(fp)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    a, b = np.nonzero(np.triu(close, 1))
-    size = np.array([len(s) for s in sets])
-    fits = np.minimum(size[a], size[b]) >= least * np.maximum(size[a], size[b])
-    a, b = a[fits], b[fits]
-    order = np.argsort(np.bitwise_count(fp[a] ^ fp[b]), kind="stable")
-    out = []
-    for i, j in zip(a[order].tolist(), b[order].tolist(), strict=True):
-        x, y = root(i), root(j)
-        if x != y and similarity(sets[i], sets[j]) >= least:
-            parent[max(x, y)] = min(x, y)
-            out.append((i, j))
-    return out
-
-
-def links(nodes: DataFrame, ring: Ring, max_bits: int, docs: DataFrame | None = None, words: int = 5, least: float = 0.0) -> DataFrame:
-    """Links (a, b) that connect the nodes (node, lane, fp) which differ in few bits in some lane.
-
-    With `docs` (doc_id, text), whose ids the nodes are, a link also needs `least` Jaccard similarity of the
-    documents' shingles.
-    """
+def links(nodes: DataFrame, ring: Ring, max_bits: int) -> DataFrame:
+    """Links (a, b) that connect the nodes (node, lane, fp) which differ in few bits in some lane."""
     rows = keyed(nodes, ring)
     starts = [start for start, _ in ring.keys()]
     key = ["kind", "part"]
@@ -247,32 +233,78 @@ def links(nodes: DataFrame, ring: Ring, max_bits: int, docs: DataFrame | None =
         .select("a", "b").distinct()
     )
     many = rows.join(if_small(large), key)
-    tasks = [*key, "low", "high"]
-    if docs is None:
-
-        def connect(group: pd.DataFrame) -> pd.DataFrame:
-            fp, node = group["fp"].to_numpy().view(np.uint64), group["node"].to_numpy()
-            close = near_matrix(fp, starts[int(group["kind"].iloc[0]) % len(starts)], ring, max_bits)
-            found = np.array(forest(close), np.int64).reshape(-1, 2)
-            return pd.DataFrame({"a": node[found[:, 0]], "b": node[found[:, 1]]})
-
-        blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).groupBy(*tasks)
-        return pairs.union(blocks.applyInPandas(connect, "a long, b long"))
 
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
+    def connect(group: pd.DataFrame) -> pd.DataFrame:
         fp, node = group["fp"].to_numpy().view(np.uint64), group["node"].to_numpy()
         close = near_matrix(fp, starts[int(group["kind"].iloc[0]) % len(starts)], ring, max_bits)
-        found = np.array(sure_forest(fp, list(group["shingles"]), close, least), np.int64).reshape(-1, 2)
+        found = np.array(forest(close), np.int64).reshape(-1, 2)
         return pd.DataFrame({"a": node[found[:, 0]], "b": node[found[:, 1]]})
 
-    pairs, many = cut(pairs), cut(many)
-    asked = cut(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).union(many.select("node")).distinct())
-    sets = cut(shingle_sets(docs.join(if_small(asked), "doc_id", "left_semi"), words))
+    blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).groupBy(*key, "low", "high")
+    return pairs.union(blocks.applyInPandas(connect, "a long, b long"))
+
+
+def similar_forest(sets: list[np.ndarray], least: float, at_once: int = 256) -> list[tuple[int, int]]:
+    """Links that connect what all pairs of at least `least` similarity connect.
+
+    A row is compared with all others at once by the places of its shingles, and only while rows are left.
+    """
+    size = np.array([len(s) for s in sets])
+    stops = np.cumsum(size)
+    place = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    order = np.argsort(place, kind="stable")
+    owner = np.repeat(np.arange(len(sets)), size)[order]
+    starts = np.searchsorted(place[order], np.arange(place.max(initial=-1) + 2))
+    left = np.ones(len(sets), bool)
+    out: list[tuple[int, int]] = []
+    for root in range(len(sets)):
+        if not left[root]:
+            continue
+        left[root] = False
+        queue = [root]
+        while queue and left.any():
+            row = queue.pop()
+            own = place[stops[row] - size[row] : stops[row]]
+            common = np.zeros(len(sets), np.int64)
+            for i in range(0, len(own), at_once):
+                common += np.bincount(np.concatenate([owner[starts[k] : starts[k + 1]] for k in own[i : i + at_once]]), minlength=len(sets))
+            new = np.flatnonzero(left & (common >= least * (size[row] + size - common)))
+            left[new] = False
+            out += [(row, n) for n in new.tolist()]
+            queue += new.tolist()
+    return out
+
+
+def similar_links(nodes: DataFrame, rows: DataFrame, words: int, least: float) -> DataFrame:
+    """Links (a, b) that connect the nodes (node, first, bands) of at least `least` Jaccard similarity.
+
+    `rows` are the keyed texts; `first` names the one that a node's shingles are read from. Bands that only one
+    node has go before the pairs are made.
+    """
+    marks = nodes.select(F.explode("bands").alias("band"), "node")
+    shared = cut(marks.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1))
+    hits = cut(marks.join(if_small(shared), "band"))
+    few, many = hits.where(F.col("n") <= SMALL), hits.where(F.col("n") > SMALL)
+    pairs = cut(
+        few.select("band", F.col("node").alias("a")).join(few.select("band", F.col("node").alias("b")), "band")
+        .where("a < b").select("a", "b").distinct()
+    )
+    asked = hits.select("node").distinct().join(nodes, "node")
+    asked = if_small(cut(asked.select("node", F.col("first.doc_id").alias("asked_id"), F.col("first.text_key").alias("asked_key"))))
+    same = rows["doc_id"].eqNullSafe(asked["asked_id"]) & (rows["text_key"] == asked["asked_key"])
+    # a row may be there more than once
+    sets = cut(shingle_sets(rows.join(asked, same), words).groupBy("node").agg(F.first("shingles").alias("shingles")))
     of_a, of_b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
     common = F.size(F.array_intersect("sa", "sb"))
     total = F.size("sa") + F.size("sb") - common
     sure = pairs.join(of_a, "a").join(of_b, "b").where(common >= F.lit(least) * total).select("a", "b")
-    blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).join(sets, "node").groupBy(*tasks)
+
+    def verify(group: pd.DataFrame) -> pd.DataFrame:
+        node = group["node"].to_numpy()
+        found = np.array(similar_forest(list(group["shingles"]), least), np.int64).reshape(-1, 2)
+        return pd.DataFrame({"a": node[found[:, 0]], "b": node[found[:, 1]]})
+
+    blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).join(sets, "node").groupBy("band", "low", "high")
     return sure.union(blocks.applyInPandas(verify, "a long, b long"))
 
 
@@ -292,18 +324,19 @@ def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> Da
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8, max_bits: int = 12, lanes: int = 3) -> DataFrame:
-    """(doc_id, keeper): the smallest id of the group of near copies that a row belongs to.
+def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
+    """(doc_id, text_key, keeper, keeper_key) of every row: the first row of its group of near copies.
 
-    Rows are linked when their shingles of `words` words have a Jaccard similarity of `least`; candidates
-    are rows whose fingerprints differ in at most `max_bits` bits in one of `lanes` independent lanes.
-    In each lane pairs up to 6 bits apart are surely found; of those further apart, the ones whose
-    differences leave some segments equal.
+    Rows are linked when their shingles of `words` words have a Jaccard similarity of `least`. The first row is
+    the one of the smallest id, nulls last, and then of the smallest hash of the text.
     """
-    rows = id_and_text(docs).where("doc_id is not null")
-    marked = cut(lane_fingerprints(rows, words, lanes))
-    nodes = cut(marked.groupBy("digest").agg(F.min("doc_id").alias("node"), F.first("fps").alias("fps")))
-    marks = nodes.select("node", F.posexplode("fps").alias("lane", "fp"))
-    found = links(marks, near_ring_for(nodes.count()), max_bits, rows, words, least)
-    grouped = with_components(nodes.select("digest", "node"), "node", found)
-    return marked.select("doc_id", "digest").join(grouped, "digest").select("doc_id", F.col("component").alias("keeper"))
+    rows = keyed_texts(docs)
+    marked = cut(banded(rows, words, bands_for(least)))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    nodes = cut(marked.groupBy("node").agg(F.min(order).alias("first"), F.first("bands").alias("bands")))
+    grouped = cut(with_components(nodes.select("node", "first"), "node", similar_links(nodes, rows, words, least)))
+    keeper = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
+    of_node = grouped.join(keeper, "component").select("node", "keeper")
+    return marked.join(of_node, "node").select(
+        "doc_id", "text_key", F.col("keeper.doc_id").alias("keeper"), F.col("keeper.text_key").alias("keeper_key")
+    )
