@@ -125,3 +125,17 @@ def test_bands_find_pairs_of_the_least_similarity(size, common):
         both = rng.integers(0, 2**64, size, np.uint64)
         found += bool(np.any(simhash.bands(both, count) == simhash.bands(both[:common], count)))
     assert found >= 0.998 * pairs
+
+
+def test_near_copies_of_short_and_long_texts_are_found(spark):
+    """Pairs of one text and the same with more words behind it: 4 of 5, 12 of 15, 160 of 200 and 170 of 200 shingles in both."""
+    rng = random.Random(17)
+    sizes, each, texts = [(4, 5), (12, 15), (160, 200), (170, 200)], 150, []
+    for common, size in sizes:
+        for _ in range(each):
+            words = [f"w{rng.randrange(10**9)}" for _ in range(size + 4)]
+            texts += [" ".join(words), " ".join(words[: common + 4])]
+    keeper = {r["doc_id"]: r["keeper"] for r in simhash.near_copies(documents(spark, list(enumerate(texts)))).collect()}
+    for k, shape in enumerate(sizes):
+        pairs = range(2 * each * k, 2 * each * (k + 1), 2)
+        assert sum(keeper[i + 1] == i for i in pairs) >= 0.99 * each, shape
