@@ -82,3 +82,25 @@ def test_scan(spark, awkward, no_documents):
         assert r["base_sha256"] == hashlib.sha256(spans.encode()).hexdigest() and r["spans"] == spans
     assert secrets.scan(awkward).where("spans <> ''").count() == 0 and secrets.scan(awkward).count() == 12
     assert secrets.scan(no_documents).count() == 0
+
+
+def test_paths_addresses_and_slugs_stay():
+    for text in ("static/images/2020/12/photo-of-bread", "articles/2021/05/how-to-bake-good-bread", "covid-19-related-hospital-visits",
+                 "sha256-based-fingerprints", "user_profile_page_v2_final", "https://a.example.com/watch/channel-7-evening-news",
+                 "how+to+bake+good+bread+in+2021", "items/123e4567-e89b-12d3-a456-426614174000/view2", "getUserProfilePageForAdmin2021Draft",
+                 "/usr/lib/python3/dist-packages/numpy/core/_multiarray_umath", "id=20210512&page=4/the-100-best-films-of-1999_part2"):
+        assert found(text) == [] and secrets.redacted(text) == text, text
+
+
+def test_random_keys_are_found_in_every_class():
+    rng = random.Random(19)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for letters, least in ((upper + digits, 0.95), ((upper + digits).lower(), 0.95), (upper + upper.lower() + digits + "+/", 0.97),
+                           (upper + upper.lower() + digits + "-_", 0.97), ("ABCDEF" + digits, 0.97)):
+        hit = total = 0
+        for _ in range(400):
+            key = "".join(rng.choice(letters) for _ in range(40))
+            text = f"see docs/2021/{key}/how-to-use"
+            total += len(key)
+            hit += sum(min(e, 14 + len(key)) - max(s, 14) for s, _, e in found(text) if not secrets.pattern_spans(text))
+        assert hit >= least * total, (letters, hit / total)

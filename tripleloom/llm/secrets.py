@@ -1,11 +1,13 @@
 """Scan for secrets: fixed patterns, and windows of high entropy.
 
-Besides the patterns, every run of at least WINDOW letters, digits and `+/_=-` is a candidate. Over its
-character class (hexadecimal, upper-case letters and digits, or mixed) a window slides, whose Shannon
-entropy is kept up to date by the counts of the character that enters and the one that leaves. Windows
+Besides the patterns, every run of at least WINDOW letters, digits and `+/_=-` is a candidate. It is cut at
+the signs into parts. Words, numbers, words with a number, and identifiers in the 8-4-4-4-12 form are no
+secrets, so that paths, addresses and slugs stay; what lies between them, signs included, is judged by its own
+character class (hexadecimal, upper case or lower case with digits, or mixed). A window slides over it, whose
+Shannon entropy is kept up to date by the counts of the character that enters and the one that leaves. Windows
 at or over the threshold of the class join to a span `entropy`, unless an allow-list suppresses the
-candidate: identifiers in the 8-4-4-4-12 form, numbers, words of one case, example values, and
-anything a pattern has found already. The allow-list never touches the patterns' spans.
+candidate: example values, and anything a pattern has found already. The allow-list never touches the
+patterns' spans.
 
 Null text counts as empty. Texts without secrets have no spans and the digest of the empty string.
 Places are code points, ends exclusive. Repeated rows give repeated results.
@@ -33,22 +35,53 @@ KINDS = ("assign", "access", "hex", "entropy")
 
 WINDOW = 20
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % WINDOW)
-#: Bits per character that a window of random characters of the class rarely falls below.
-THRESHOLDS = {"hex": 3.0, "upper": 3.4, "mixed": 3.6}
-ALLOWED = re.compile(
-    r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|[0-9+/_=-]+|.*(?:example|sample|placeholder|changeme).*"
-)
+#: Bits per character that one in a hundred windows of random characters of the class falls below.
+THRESHOLDS = {"hex": 2.9, "upper": 3.4, "lower": 3.4, "mixed": 3.6}
+ALLOWED = re.compile(r"(?i).*(?:example|sample|placeholder|changeme).*")
+PART = re.compile(r"(?<![A-Za-z0-9])(?:[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12})(?![A-Za-z0-9])|[A-Za-z0-9]+")
+SEGMENT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
+#: A word of up to so many letters inside random characters, or at their ends, is one of chance.
+INSIDE, AT_END = 8, 3
 _SHARE = [0.0, *(c * math.log2(c) for c in range(1, WINDOW + 2))]  # one more than a window holds: a character enters before one leaves
 
 
 def character_class(run: str) -> str | None:
-    """The class whose threshold holds for a candidate; None for words of one case, with signs or not."""
+    """The class whose threshold holds for a run without signs; None for words of one case."""
     digit, upper, lower = any(c.isdigit() for c in run), run != run.lower(), run != run.upper()
     if digit and re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", run):
         return "hex"
-    if digit and upper and not lower:
-        return "upper"
-    return "mixed" if digit and (upper or lower) or upper and lower and re.search("[a-z][A-Z]+[a-z]*[A-Z]", run) else None
+    if digit and upper != lower:
+        return "upper" if upper else "lower"
+    return "mixed" if upper and lower and (digit or re.search("[a-z][A-Z]+[a-z]*[A-Z]", run)) else None
+
+
+def word_like(part: str) -> bool:
+    """Whether a part is words or numbers: in random characters the case or kind changes after two or three."""
+    segments = len(SEGMENT.findall(part))
+    cases = part != part.lower() and part != part.upper()
+    return "-" in part or segments <= 2 or len(part) >= (3.5 if cases else 5) * segments
+
+
+def random_stretches(run: str) -> Iterator[tuple[int, int, str | None]]:
+    """(start, end, class) of what is left of a candidate without its words, if it has the length of a window."""
+    parts = [(m.start(), m.end(), word_like(m.group())) for m in PART.finditer(run)]
+    strange = [i for i, part in enumerate(parts) if not part[2]]
+    groups: list[list[int]] = []
+    for i in strange:
+        inner = parts[groups[-1][1] + 1 : i] if groups else []
+        if groups and all(b - a <= INSIDE for a, b, _ in inner):
+            groups[-1][1] = i
+        else:
+            groups.append([i, i])
+    for first, last in groups:
+        kind = character_class("".join(run[a:b] for a, b, known in parts[first : last + 1] if not known))
+        if first > 0 and parts[first - 1][1] - parts[first - 1][0] <= AT_END:
+            first -= 1
+        if last + 1 < len(parts) and parts[last + 1][1] - parts[last + 1][0] <= AT_END:
+            last += 1
+        start, end = parts[first][0], parts[last][1]
+        if end - start >= WINDOW:
+            yield start, end, kind
 
 
 def dense_windows(run: str, threshold: float) -> Iterator[tuple[int, int]]:
@@ -91,14 +124,13 @@ def entropy_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[in
     """Spans of dense windows that are neither allowed nor inside one of the `known` spans."""
     found = []
     for m in CANDIDATE.finditer(text):
-        run = m.group()
-        kind = character_class(run)
-        if kind is None or ALLOWED.fullmatch(run):
+        if ALLOWED.fullmatch(m.group()):
             continue
-        for a, b in dense_windows(run, THRESHOLDS[kind]):
-            a, b = a + m.start(), b + m.start()
-            if not any(s < b and a < e for s, _, e in known):
-                found.append((a, 3, b))
+        for start, end, kind in random_stretches(m.group()):
+            for a, b in dense_windows(m.group()[start:end], THRESHOLDS[kind]) if kind else ():
+                a, b = a + m.start() + start, b + m.start() + start
+                if not any(s < b and a < e for s, _, e in known):
+                    found.append((a, 3, b))
     return found
 
 
