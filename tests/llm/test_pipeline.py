@@ -83,6 +83,14 @@ def test_planted_copies_go_and_others_stay(spark, tiny, planted):
     assert kept.columns == planted.columns and sorted(r["doc_id"] for r in kept.collect()) == list(range(20))
 
 
+def test_repeated_and_null_ids_are_judged_by_row(spark, tiny):
+    a, b, c, d = (" ".join(f"{x}{n}" for n in range(60)) for x in "abcd")
+    rows = [(1, a), (2, a + " more"), (2, b), (3, c), (3, c), (None, c), (None, d), (None, d), (None, d + " more"), (None, a)]
+    kept = dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, documents(spark, rows), tiny)
+    found = sorted((str(r["doc_id"]), r["text"][0]) for r in kept.collect())
+    assert found == [("1", "a"), ("2", "b"), ("3", "c"), ("None", "d")]
+
+
 @pytest.mark.parametrize("name", ["toxicity", "quality", "simhash_near_dedup", "secrets", "best_fit_packing"])
 def test_awkward_rows_and_empty_tables(spark, tiny, awkward, no_documents, name):
     stage = dict(corpus_pipeline.STAGES)[name]
