@@ -104,3 +104,15 @@ def test_random_keys_are_found_in_every_class():
             total += len(key)
             hit += sum(min(e, 14 + len(key)) - max(s, 14) for s, _, e in found(text) if not secrets.pattern_spans(text))
         assert hit >= least * total, (letters, hit / total)
+
+
+def test_keys_beside_words_for_examples_and_around_patterns():
+    key = "x9Kq2LmZ7vTb4RwYc8Jd5Hn3Gp6Fs"
+    for before in ("com/samples/", "sample_key_", "example=", "changeme/2021/"):
+        (start, kind, end), = found(before + key)
+        assert kind == 3 and start <= len(before) and end == len(before) + len(key), before
+    assert found("x9Kq2LmZ7vTb4RwYexampleHn3Gp6Fs") == []
+    for inside in ("0123456789abcdef01234567", "AKIA" + "Q7W3E5R2T9Y4U6I8"):
+        text = "Zk" + key + "/" + inside + "/" + key
+        spans = secrets.redacted(text).replace("[secret]", "")
+        assert key[5:-5] not in spans and set(spans) <= set("/"), (text, spans)

@@ -5,9 +5,9 @@ the signs into parts. Words, numbers, words with a number, and identifiers in th
 secrets, so that paths, addresses and slugs stay; what lies between them, signs included, is judged by its own
 character class (hexadecimal, upper case or lower case with digits, or mixed). A window slides over it, whose
 Shannon entropy is kept up to date by the counts of the character that enters and the one that leaves. Windows
-at or over the threshold of the class join to a span `entropy`, unless an allow-list suppresses the
-candidate: example values, and anything a pattern has found already. The allow-list never touches the
-patterns' spans.
+at or over the threshold of the class join to a span `entropy`, unless the allow-list has it: spans
+with a word for examples inside. What a pattern has found already is left out of a span, the rest of which
+stays. The allow-list never touches the patterns' spans.
 
 Null text counts as empty. Texts without secrets have no spans and the digest of the empty string.
 Places are code points, ends exclusive. Repeated rows give repeated results.
@@ -69,7 +69,7 @@ def random_stretches(run: str) -> Iterator[tuple[int, int, str | None]]:
     groups: list[list[int]] = []
     for i in strange:
         inner = parts[groups[-1][1] + 1 : i] if groups else []
-        if groups and all(b - a <= INSIDE for a, b, _ in inner):
+        if groups and all(b - a <= INSIDE and not ALLOWED.fullmatch(run[a:b]) for a, b, _ in inner):
             groups[-1][1] = i
         else:
             groups.append([i, i])
@@ -121,17 +121,19 @@ def pattern_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def entropy_spans(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
-    """Spans of dense windows that are neither allowed nor inside one of the `known` spans."""
+    """Spans of dense windows that are not allowed, without what is inside one of the `known` spans."""
     found = []
     for m in CANDIDATE.finditer(text):
-        if ALLOWED.fullmatch(m.group()):
-            continue
         for start, end, kind in random_stretches(m.group()):
             for a, b in dense_windows(m.group()[start:end], THRESHOLDS[kind]) if kind else ():
                 a, b = a + m.start() + start, b + m.start() + start
-                if not any(s < b and a < e for s, _, e in known):
-                    found.append((a, 3, b))
-    return found
+                if ALLOWED.fullmatch(text[a:b]):
+                    continue
+                for s, _, e in sorted((k for k in known if k[0] < b and a < k[2]), key=lambda k: k[0]):
+                    found.append((a, 3, min(s, b)))
+                    a = max(a, e)
+                found.append((a, 3, b))
+    return [(a, k, b) for a, k, b in found if any(c.isalnum() for c in text[a:b])]
 
 
 def listed(spans: list[tuple[int, int, int]]) -> str:
