@@ -13,7 +13,7 @@ from tripleloom.llm.queries import llm_checks, llm_queries
 
 def test_names_and_checks():
     numbers = sorted(int(n[2:].split("_")[0]) for n in llm_queries())
-    assert numbers == list(range(1, 11)) and set(llm_checks()) <= set(llm_queries())
+    assert numbers == list(range(1, 14)) and set(llm_checks()) <= set(llm_queries())
     assert set(llm_queries()) | {"pipeline"} <= set(entry.queries()) and set(llm_checks()) <= set(entry.oracle_sql())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "quality", "simhash_near_dedup", "secrets", "best_fit_packing"]
 

@@ -13,12 +13,59 @@ from tripleloom.llm.binary_codes import near_vectors
 from tripleloom.llm.bit_sliced import top_k
 from tripleloom.llm.bpe import bpe_decode, bpe_encode
 from tripleloom.llm.common import fold, table
+from tripleloom.llm.first_fit import first_fit_packed
 from tripleloom.llm.packing import best_fit_packed
+from tripleloom.llm.prefix_trie import prefix_trie
 from tripleloom.llm.secrets import scan
 from tripleloom.llm.simhash import simhash_components
+from tripleloom.llm.whitening import whitened
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
-
+WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
+#: Nodes are named by the digest of their turns; a node adds to all its prefixes.
+CONVERSATIONS = """
+WITH RECURSIVE crc_steps(b, c, i) AS (
+  SELECT range, range, 0 FROM range(256)
+  UNION ALL
+  SELECT b, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i + 1 FROM crc_steps WHERE i < 8),
+crc_table AS (SELECT list(c ORDER BY b) AS t FROM crc_steps WHERE i = 8),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+named AS (SELECT *, sha256(length(role)::VARCHAR || ':' || role || text)[:32] AS id FROM turns),
+own AS (
+  SELECT conv_id, list({'id': id, 'bytes': strlen(text)} ORDER BY turn NULLS FIRST, id) AS turns FROM named GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, turns, xor(list_reduce(list_prepend(4294967295::BIGINT,
+      list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 9 AS h
+  FROM own CROSS JOIN crc_table),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+  FROM counted c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+paths AS (
+  SELECT conv_id, len(turns) AS length, turns, unnest(range(len(turns) + 1)) AS depth FROM rebuilt),
+prefixes AS (
+  SELECT conv_id, length, depth, turns[depth].bytes AS bytes,
+    sha256(list_aggregate(list_transform(turns[1:depth], lambda x: x.id), 'string_agg', '')) AS node,
+    sha256(list_aggregate(list_transform(turns[1:depth - 1], lambda x: x.id), 'string_agg', '')) AS parent
+  FROM paths),
+keyed AS (SELECT *, coalesce(node, 'root') AS k, CASE WHEN depth > 0 THEN coalesce(parent, 'root') END AS p FROM prefixes),
+nodes AS (
+  SELECT k, any_value(p) AS p, any_value(depth) AS depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+  FROM keyed GROUP BY k),
+children AS (SELECT p AS k, count(*) AS n_children FROM nodes WHERE p IS NOT NULL GROUP BY p),
+gains AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE (n_convs - 1) * bytes END AS gain
+  FROM nodes n LEFT JOIN children USING (k)),
+-- a node's ancestors are the prefixes of its smallest member's path
+above AS (
+  SELECT a.k, sum(CASE WHEN g.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(g.gain) AS saved_tokens
+  FROM gains g JOIN keyed a ON a.conv_id = g.conv_id AND a.depth <= g.depth GROUP BY a.k)
+SELECT g.conv_id, g.depth::BIGINT AS depth, q.conv_id AS parent_conv_id, g.n_convs::BIGINT AS n_convs,
+  g.n_children::BIGINT AS n_children, a.n_leaves::BIGINT AS n_leaves, a.saved_tokens::BIGINT AS saved_tokens, g.ends_sha256
+FROM gains g JOIN above a USING (k) LEFT JOIN nodes q ON q.k = g.p"""
 
 TOP_K = """
 WITH usable AS (
@@ -104,6 +151,22 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op11_burst_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie of all rebuilt conversations."""
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_first_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents packed into sequences of 2048 tokens without padding."""
+    return first_fit_packed(table(spark, sf_dir, "documents"), WORD_VOCABULARY)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 16 first whitened components of each vector; a deviation beyond a long is null."""
+    found = whitened(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": op1_simhash,
@@ -116,8 +179,11 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bit_sliced_top_k": op8_bit_sliced_top_k,
         "op9_bpe": op9_bpe,
         "op10_language": op10_language,
+        "op11_burst_trie": op11_burst_trie,
+        "op12_first_fit": op12_first_fit,
+        "op13_whitening": op13_whitening,
     }
 
 
 def llm_checks() -> dict[str, str]:
-    return {"op4_hash_tree": shard_tree.sql(shard_tree.ShardTree()), "op8_bit_sliced_top_k": TOP_K}
+    return {"op4_hash_tree": shard_tree.sql(shard_tree.ShardTree()), "op8_bit_sliced_top_k": TOP_K, "op11_burst_trie": CONVERSATIONS}
