@@ -1,8 +1,8 @@
 import random
 
-import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from tests_llm_helpers import documents
 from tripleloom.llm import simhash
@@ -48,7 +48,7 @@ def some_texts(rng):
     return texts
 
 
-@pytest.mark.parametrize("ring,bits", [(Ring(9, 4, 4), 4), (Ring(13, 4, 9), 4), (Ring(8, 6, 5), 6), (Ring(9, 6, 9), 6), (Ring(10, 6, 10), 6)])
+@pytest.mark.parametrize("ring,bits", [(Ring(9, 4, 4), 4), (Ring(11, 4, 5), 4), (Ring(8, 6, 5), 6), (Ring(9, 6, 9), 6), (Ring(10, 6, 10), 6)])
 def test_keys_lose_no_pair(ring, bits):
     """Every two fingerprints that differ in few bits share a key whose chains they keep."""
     rng = random.Random(1)
@@ -63,7 +63,7 @@ def test_keys_lose_no_pair(ring, bits):
 
 
 def test_shared_masks_keep_every_start():
-    for ring in (Ring(9, 4, 4), Ring(13, 4, 9)):
+    for ring in (Ring(9, 4, 4), Ring(11, 4, 5)):
         assert len({m for _, m in ring.keys()}) == len(ring.keys())
 
 
@@ -83,20 +83,34 @@ def test_large_keys_give_the_same_components(spark, monkeypatch):
     rng = random.Random(6)
     docs = documents(spark, list(enumerate(some_texts(rng))))
     plain = {tuple(r) for r in simhash.simhash_components(docs).collect()}
-    near = {tuple(r) for r in simhash.near_copies(docs).collect()}
     monkeypatch.setattr(simhash, "SMALL", 1)
     monkeypatch.setattr(simhash, "BLOCK", 3)
     assert {tuple(r) for r in simhash.simhash_components(docs).collect()} == plain
-    assert {tuple(r) for r in simhash.near_copies(docs).collect()} == near
 
 
-def test_near_copies_match_brute_force(spark):
+def test_every_ring_gives_the_same_components(spark, monkeypatch):
+    rng = random.Random(8)
+    texts = list(enumerate(some_texts(rng)))
+    rows = [(i, slow_fingerprint(x, 4)) for i, x in texts]
+    expected = slow_components(rows, lambda a, b: (a[1] ^ b[1]).bit_count() <= 4)
+    rings = {simhash.ring_for(n) for n in (0, 1 << 24, 1 << 40)}
+    assert len(rings) == 2 and max(len(r.keys()) for r in rings) <= 36
+    for ring in rings:
+        monkeypatch.setattr(simhash, "ring_for", lambda nodes, max_bits, ring=ring: ring)
+        found = simhash.simhash_components(documents(spark, texts)).collect()
+        assert sorted((r["doc_id"], r["component_id"]) for r in found) == [(i, c) for (i, _), c in zip(texts, expected)]
+
+
+def test_one_row_of_each_component_stays(spark):
     rng = random.Random(7)
     texts = list(enumerate(some_texts(rng) + ["", "", "short text", "Short  Text"]))
-    sets = [(i, frozenset(simhash.shingles(x, 5))) for i, x in texts]
-    expected = slow_components(sets, lambda a, b: len(a[1] & b[1]) >= 0.8 * len(a[1] | b[1]))
-    found = {r["doc_id"]: r["keeper"] for r in simhash.near_copies(documents(spark, texts)).collect()}
-    assert found == {i: c for (i, _), c in zip(texts, expected)}
+    rows = [(i, slow_fingerprint(x, 4)) for i, x in texts]
+    expected = set(slow_components(rows, lambda a, b: (a[1] ^ b[1]).bit_count() <= 4))
+    docs = documents(spark, texts).withColumn("m", F.create_map(F.lit("k"), "text"))
+    kept = simhash.without_near_copies(docs)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(expected)
+    twice = simhash.without_near_copies(docs.unionByName(docs)).collect()
+    assert sorted(r["doc_id"] for r in twice) == sorted(expected)
 
 
 def test_awkward_rows(awkward, no_documents):
@@ -105,37 +119,15 @@ def test_awkward_rows(awkward, no_documents):
     by_id = {r["doc_id"]: r for r in found}
     assert [by_id[i]["fp"] for i in (1, 2, 3)] == [0, 0, 0] and {by_id[i]["component_id"] for i in (1, 2, 3)} == {1}
     assert by_id[8]["component_id"] == by_id[9]["component_id"] == 8 and by_id[None]["component_id"] is None
-    assert {r["doc_id"]: r["keeper"] for r in simhash.near_copies(awkward).collect()}[9] == 8
-    assert simhash.simhash_components(no_documents).count() == simhash.near_copies(no_documents).count() == 0
-
-
-def test_hamming_of_fingerprint_halves():
-    h = np.array([0b1011, 0b0011, 0b0001], np.uint64)
-    assert simhash.fingerprint(h) == 0b0011 and simhash.fingerprint(h[:2]) == 0b0011
-    assert simhash.fingerprint(h[:0]) == 0 and simhash.fingerprint(np.repeat(h, 50_000)) == 0b0011
-
-
-@pytest.mark.parametrize("size,common", [(100, 80), (100, 82), (100, 85), (5, 4), (15, 12)])
-def test_bands_find_pairs_of_the_least_similarity(size, common):
-    """The bands depend on no number of texts, so this is the share of pairs that an input of any size finds."""
-    rng = np.random.default_rng(size)
-    count, pairs = simhash.bands_for(0.8), 3000
-    found = 0
-    for _ in range(pairs):
-        both = rng.integers(0, 2**64, size, np.uint64)
-        found += bool(np.any(simhash.bands(both, count) == simhash.bands(both[:common], count)))
-    assert found >= 0.998 * pairs
-
-
-def test_near_copies_of_short_and_long_texts_are_found(spark):
-    """Pairs of one text and the same with more words behind it: 4 of 5, 12 of 15, 160 of 200 and 170 of 200 shingles in both."""
-    rng = random.Random(17)
-    sizes, each, texts = [(4, 5), (12, 15), (160, 200), (170, 200)], 150, []
-    for common, size in sizes:
-        for _ in range(each):
-            words = [f"w{rng.randrange(10**9)}" for _ in range(size + 4)]
-            texts += [" ".join(words), " ".join(words[: common + 4])]
-    keeper = {r["doc_id"]: r["keeper"] for r in simhash.near_copies(documents(spark, list(enumerate(texts)))).collect()}
-    for k, shape in enumerate(sizes):
-        pairs = range(2 * each * k, 2 * each * (k + 1), 2)
-        assert sum(keeper[i + 1] == i for i in pairs) >= 0.99 * each, shape
+    kept = sorted((r["doc_id"] for r in simhash.without_near_copies(awkward).collect()), key=str)
+    assert kept == [1, 10, 11, 4, 5, 7, 8, None]
+    assert simhash.simhash_components(no_documents).count() == simhash.without_near_copies(no_documents).count() == 0
+
+
+@pytest.mark.parametrize("run", [1, 3, 1 << 16])
+def test_fingerprints_by_runs(run):
+    for text in [None, "", "a", "a b c", "a b c d", "A b C d e", "a b c d e f g h " * 5]:
+        whole = [s for part in simhash.shingles(text, 4, run) for s in part]
+        parts = (text or "").lower().encode().split()
+        assert whole == ([b" ".join(parts[i : i + 4]) for i in range(max(1, len(parts) - 3))] if parts else [])
+        assert int(simhash.fingerprint(text, 4)) == slow_fingerprint(text, 4)

@@ -10,17 +10,15 @@ the same start, and the last of these chains is the whole ring: the full Hamming
 Keys that many fingerprints share are cut into blocks. Every two blocks meet in one task, which
 returns links that connect what its pairs connect, so that nothing grows with the square of a group.
 
-The near copies of the pipeline are pairs of a Jaccard similarity, which a bound on differing bits loses some
-of. Their candidates share a band of smallest hashes instead, whose number follows from a stated recall.
-
 Null and empty texts have no word and the fingerprint zero; they are linked with each other like any
 other rows. Repeated rows have one fingerprint. Rows with a null id stay and are never the smallest.
-An empty table gives an empty result.
+Of further columns, whatever their names and types, `without_near_copies` returns each as it was, and
+`simhash_components` none. The hashes of a text are made in runs, so that a long one needs memory
+for its words and no more. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import combinations
@@ -29,115 +27,55 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripleloom.llm.common import cut, id_and_text, if_small, mixed
+from tripleloom.llm.common import cut, id_and_text, if_small
 from tripleloom.llm.groups import block_pairs, forest, with_components
 
 _SEED = 42
 #: A key with more fingerprints than this is cut into blocks of BLOCK.
 SMALL, BLOCK = 16, 1024
-#: Of the pairs whose similarity is just the least one, the share that becomes a candidate, and the minima in a band.
-RECALL, MINIMA = 0.9999, 5
 
 
-def shingles(text: str | None, words: int) -> list[bytes]:
-    """The word shingles of a text, repeats included: A-Z lower-cased, words cut at ASCII white space."""
+def shingles(text: str | None, words: int, run: int = 1 << 16) -> Iterator[list[bytes]]:
+    """The word shingles of a text in runs, repeats included: A-Z lower-cased, words cut at ASCII white space."""
     parts = (text or "").encode().lower().split()
     if len(parts) < words:
-        return [b" ".join(parts)] if parts else []
-    joined = b" ".join(parts)
-    stops = np.cumsum([len(p) + 1 for p in parts])
-    starts = np.append(0, stops[:-1])
-    pairs = zip(starts[: len(parts) - words + 1].tolist(), (stops[words - 1 :] - 1).tolist(), strict=True)
-    return [joined[a:b] for a, b in pairs]
-
-
-def hashes(text: str | None, words: int) -> np.ndarray:
+        if parts:
+            yield [b" ".join(parts)]
+        return
+    for first in range(0, len(parts) - words + 1, run):
+        some = parts[first : first + run + words - 1]
+        joined = b" ".join(some)
+        stops = np.cumsum([len(p) + 1 for p in some])
+        starts = np.append(0, stops[:-1])
+        pairs = zip(starts[: len(some) - words + 1].tolist(), (stops[words - 1 :] - 1).tolist(), strict=True)
+        yield [joined[a:b] for a, b in pairs]
+
+
+def fingerprint(text: str | None, words: int) -> np.uint64:
+    """Bit by bit, whether over half of the shingles' hashes have it; zero without words."""
     digest = xxhash.xxh64_intdigest
-    return np.array([digest(s, _SEED) for s in shingles(text, words)], np.uint64)
-
-
-def fingerprint(found: np.ndarray, at_once: int = 1 << 16) -> np.uint64:
-    """Bit by bit, whether over half of the hashes have it; zero without hashes."""
-    ones = np.zeros(64, np.int64)
-    for start in range(0, len(found), at_once):
-        part = found[start : start + at_once]
-        ones += np.unpackbits(part.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
-    return np.packbits(ones * 2 > len(found), bitorder="little").view("<u8")[0]
-
-
-def fingerprints(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, fp) of all rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            marks = [fingerprint(hashes(t.as_py(), words)) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(marks, np.uint64).view(np.int64))], ["doc_id", "fp"])
-
-    return docs.select(docs["doc_id"].cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
-
-
-def bands_for(least: float) -> int:
-    """Bands with which a pair of similarity `least` shares one in a share RECALL of cases, whatever its texts' length.
-
-    Two sets have the same smallest hash with a probability of just their Jaccard similarity.
-    """
-    return 1 if least >= 1 else math.ceil(math.log(1 - RECALL) / math.log(1 - least**MINIMA))
-
-
-def bands(found: np.ndarray, count: int, at_once: int = 1 << 11) -> np.ndarray:
-    """For each band the hash of its number and its minima over the (different) hashes of a text."""
-    lanes = count * MINIMA
-    factors = mixed(np.arange(1, lanes + 1, dtype=np.uint64) << np.uint64(20)) | np.uint64(1)
-    least = np.full(lanes, np.iinfo(np.uint64).max)
-    for start in range(0, len(found), at_once):
-        part = found[start : start + at_once]
-        least = np.minimum(least, mixed(part[:, None] * factors + (factors >> np.uint64(7))).min(0))
-    out = np.arange(count, dtype=np.uint64)
-    for k in range(MINIMA):
-        out = mixed(out * factors[k] + least[k::MINIMA])
-    return out
+    ones, n = np.zeros(64, np.int64), 0
+    for run in shingles(text, words):
+        found = np.array([digest(s, _SEED) for s in run], "<u8")
+        ones += np.unpackbits(found.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, np.int64)
+        n += len(run)
+    return np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0]
 
 
-def keyed_texts(docs: DataFrame) -> DataFrame:
-    """(doc_id, text_key, text): rows of one id are told by a hash of their text."""
-    return id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
-
-
-def banded(rows: DataFrame, words: int, count: int) -> DataFrame:
-    """(doc_id, text_key, node, bands) of keyed texts; the node is named by the set of shingles."""
+def fingerprints(rows: DataFrame, words: int) -> DataFrame:
+    """`rows` with `fp` in place of `text`, their last column."""
+    names = [*rows.columns[:-1], "fp"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks, nodes = [], []
-            for text in batch.column(2):
-                found = np.unique(hashes(text.as_py(), words))
-                marks.append(bands(found, count))
-                nodes.append(xxhash.xxh64_intdigest(found.tobytes(), _SEED))
-            offsets = np.arange(0, count * len(marks) + 1, count, dtype=np.int32)
-            lists = pa.ListArray.from_arrays(offsets, np.concatenate([*marks, np.zeros(0, np.uint64)]).view(np.int64))
-            names = ["doc_id", "text_key", "node", "bands"]
-            node = pa.array(np.array(nodes, np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), node, lists], names)
-
-    return rows.mapInArrow(run, "doc_id long, text_key long, node long, bands array<long>")
+            marks = np.array([fingerprint(t.as_py(), words) for t in batch.column(batch.num_columns - 1)], np.uint64)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(marks.view(np.int64))], names)
 
-
-def shingle_sets(texts: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of (node, text): 32 bits of the hash of each different shingle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 1000):
-                batch = whole.slice(start, 1000)
-                sets = [np.unique(hashes(t.as_py(), words).astype(np.uint32)).view(np.int32) for t in batch.column(1)]
-                offsets = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-                lists = pa.ListArray.from_arrays(offsets, np.concatenate([*sets, np.zeros(0, np.int32)]))
-                yield pa.RecordBatch.from_arrays([batch.column(0), lists], ["node", "shingles"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, shingles array<int>")
+    kind = ", ".join(f"{c} {k}" for c, k in [*rows.dtypes[:-1], ("fp", "long")])
+    return rows.mapInArrow(run, kind)
 
 
 @dataclass(frozen=True)
@@ -182,8 +120,11 @@ def signed(n: int) -> int:
 
 
 def ring_for(nodes: int, max_bits: int = 4) -> Ring:
-    """Keys of about 21 bits up to some ten million fingerprints, of about 34 bits beyond; none loses a pair."""
-    return Ring(9, max_bits, 4) if nodes < 1 << 24 else Ring(13, max_bits, 9)
+    """Up to some ten million fingerprints 18 keys each of about 21 bits, beyond 33 of about 23; neither loses a pair.
+
+    A key row is 28 bytes, so a document has 0.5 KB or 0.9 KB of them. Longer keys would be many more: 34 bits take 156.
+    """
+    return Ring(9, max_bits, 4) if nodes < 1 << 24 else Ring(11, max_bits, 5)
 
 
 def keyed(nodes: DataFrame, ring: Ring) -> DataFrame:
@@ -198,7 +139,7 @@ def keyed(nodes: DataFrame, ring: Ring) -> DataFrame:
     return nodes.select(F.inline(keys), "node", "fp")
 
 
-def near(a: str, b: str, ring: Ring, max_bits: int) -> F.Column:
+def near(a: str, b: str, ring: Ring, max_bits: int) -> Column:
     """The chain budgets from the key's start, shortest chain first; the last one is the full Hamming check."""
     chains = [ring.chains(max_bits)[start] for start, _ in ring.keys()]
     differs = F.col(a).bitwiseXOR(F.col(b))
@@ -244,68 +185,15 @@ def links(nodes: DataFrame, ring: Ring, max_bits: int) -> DataFrame:
     return pairs.union(blocks.applyInPandas(connect, "a long, b long"))
 
 
-def similar_forest(sets: list[np.ndarray], least: float, at_once: int = 256) -> list[tuple[int, int]]:
-    """Links that connect what all pairs of at least `least` similarity connect.
-
-    A row is compared with all others at once by the places of its shingles, and only while rows are left.
-    """
-    size = np.array([len(s) for s in sets])
-    stops = np.cumsum(size)
-    place = np.unique(np.concatenate(sets), return_inverse=True)[1]
-    order = np.argsort(place, kind="stable")
-    owner = np.repeat(np.arange(len(sets)), size)[order]
-    starts = np.searchsorted(place[order], np.arange(place.max(initial=-1) + 2))
-    left = np.ones(len(sets), bool)
-    out: list[tuple[int, int]] = []
-    for root in range(len(sets)):
-        if not left[root]:
-            continue
-        left[root] = False
-        queue = [root]
-        while queue and left.any():
-            row = queue.pop()
-            own = place[stops[row] - size[row] : stops[row]]
-            common = np.zeros(len(sets), np.int64)
-            for i in range(0, len(own), at_once):
-                common += np.bincount(np.concatenate([owner[starts[k] : starts[k + 1]] for k in own[i : i + at_once]]), minlength=len(sets))
-            new = np.flatnonzero(left & (common >= least * (size[row] + size - common)))
-            left[new] = False
-            out += [(row, n) for n in new.tolist()]
-            queue += new.tolist()
-    return out
-
-
-def similar_links(nodes: DataFrame, rows: DataFrame, words: int, least: float) -> DataFrame:
-    """Links (a, b) that connect the nodes (node, first, bands) of at least `least` Jaccard similarity.
-
-    `rows` are the keyed texts; `first` names the one that a node's shingles are read from. Bands that only one
-    node has go before the pairs are made.
-    """
-    marks = nodes.select(F.explode("bands").alias("band"), "node")
-    shared = cut(marks.groupBy("band").agg(F.count("*").alias("n")).where(F.col("n") > 1))
-    hits = cut(marks.join(if_small(shared), "band"))
-    few, many = hits.where(F.col("n") <= SMALL), hits.where(F.col("n") > SMALL)
-    pairs = cut(
-        few.select("band", F.col("node").alias("a")).join(few.select("band", F.col("node").alias("b")), "band")
-        .where("a < b").select("a", "b").distinct()
-    )
-    asked = hits.select("node").distinct().join(nodes, "node")
-    asked = if_small(cut(asked.select("node", F.col("first.doc_id").alias("asked_id"), F.col("first.text_key").alias("asked_key"))))
-    same = rows["doc_id"].eqNullSafe(asked["asked_id"]) & (rows["text_key"] == asked["asked_key"])
-    # a row may be there more than once
-    sets = cut(shingle_sets(rows.join(asked, same), words).groupBy("node").agg(F.first("shingles").alias("shingles")))
-    of_a, of_b = (sets.select(F.col("node").alias(c), F.col("shingles").alias(f"s{c}")) for c in "ab")
-    common = F.size(F.array_intersect("sa", "sb"))
-    total = F.size("sa") + F.size("sb") - common
-    sure = pairs.join(of_a, "a").join(of_b, "b").where(common >= F.lit(least) * total).select("a", "b")
-
-    def verify(group: pd.DataFrame) -> pd.DataFrame:
-        node = group["node"].to_numpy()
-        found = np.array(similar_forest(list(group["shingles"]), least), np.int64).reshape(-1, 2)
-        return pd.DataFrame({"a": node[found[:, 0]], "b": node[found[:, 1]]})
-
-    blocks = block_pairs(many, F.col("n"), BLOCK, F.col("node")).join(sets, "node").groupBy("band", "low", "high")
-    return sure.union(blocks.applyInPandas(verify, "a long, b long"))
+def components_of(marked: DataFrame, least: Column, max_bits: int) -> DataFrame:
+    """(fp, first): for each fingerprint of `marked` the smallest value of `least` in its component."""
+    nodes = cut(marked.groupBy(F.col("fp").alias("node")).agg(F.min(least).alias("least")).withColumn("fp", F.col("node")))
+    found = links(nodes.select("node", F.lit(0).alias("lane"), "fp"), ring_for(nodes.count(), max_bits), max_bits)
+    grouped = cut(with_components(nodes, "node", found))
+    first = grouped.groupBy("component").agg(F.min("least").alias("first"))
+    # written once more under another name, so that a component of very many rows can be split
+    named = grouped.select("fp", F.col("component").alias("of"))
+    return cut(named.join(if_small(cut(first)), F.col("of") == F.col("component")).select("fp", "first"))
 
 
 def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
@@ -314,29 +202,35 @@ def simhash_components(docs: DataFrame, words: int = 4, max_bits: int = 4) -> Da
     `component_id` is the smallest id that can be reached through links, the row's own included; it is
     null only where no row of the component has an id.
     """
-    marked = cut(fingerprints(id_and_text(docs), words))
-    nodes = marked.groupBy(F.col("fp").alias("node")).agg(F.min("doc_id").alias("least"))
-    nodes = nodes.withColumn("fp", F.col("node"))
-    found = links(nodes.select("node", F.lit(0).alias("lane"), "fp"), ring_for(nodes.count(), max_bits), max_bits)
-    grouped = with_components(nodes, "node", found)
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_fp = grouped.join(least, "component").select("fp", "component_id")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    marked = cut(fingerprints(id_and_text(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text"), words))
+    of_fp = components_of(marked, F.col("doc_id"), max_bits)
+    return marked.join(if_small(of_fp), "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
-def near_copies(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
-    """(doc_id, text_key, keeper, keeper_key) of every row: the first row of its group of near copies.
+def without_near_copies(docs: DataFrame, words: int = 4, max_bits: int = 4) -> DataFrame:
+    """One row of each component of `simhash_components`: that of the smallest id, nulls last, then of the least text hash.
 
-    Rows are linked when their shingles of `words` words have a Jaccard similarity of `least`. The first row is
-    the one of the smallest id, nulls last, and then of the smallest hash of the text.
+    Of rows that are equal in both, the one whose columns are first as JSON.
     """
-    rows = keyed_texts(docs)
-    marked = cut(banded(rows, words, bands_for(least)))
+    doc_id, key = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
+    rows = docs.select(doc_id.alias("doc_id"), key.alias("text_key"), docs["text"].alias("text"))
+    marked = cut(fingerprints(rows, words))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
-    nodes = cut(marked.groupBy("node").agg(F.min(order).alias("first"), F.first("bands").alias("bands")))
-    grouped = cut(with_components(nodes.select("node", "first"), "node", similar_links(nodes, rows, words, least)))
-    keeper = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
-    of_node = grouped.join(keeper, "component").select("node", "keeper")
-    return marked.join(of_node, "node").select(
-        "doc_id", "text_key", F.col("keeper.doc_id").alias("keeper"), F.col("keeper.text_key").alias("keeper_key")
+    of_fp = components_of(marked, order, max_bits).select(
+        F.col("fp").alias("of_fp"), F.col("first.doc_id").alias("keeper"), F.col("first.text_key").alias("keeper_key")
     )
+    first = F.col("doc_id").eqNullSafe(F.col("keeper")) & (F.col("text_key") == F.col("keeper_key"))
+    counted = marked.groupBy("fp", "doc_id", "text_key").agg(F.count("*").alias("n"))
+    judged = cut(counted.join(if_small(of_fp), F.col("fp") == F.col("of_fp")).select(
+        F.col("doc_id").alias("\0id"), F.col("text_key").alias("\0key"), first.alias("first"), "n"
+    ))
+    gone = if_small(judged.where("not first").select("\0id", "\0key"))
+    twice = judged.where("first and n > 1").select("\0id", "\0key")
+    of = lambda keys: doc_id.eqNullSafe(keys["\0id"]) & (key == keys["\0key"])
+    left = docs.join(gone, of(gone), "left_anti")
+    if twice.isEmpty():
+        return left
+    repeated = if_small(twice)
+    whole = F.struct(*[docs[c] for c in docs.columns])
+    single = docs.join(repeated, of(repeated)).groupBy("\0id", "\0key").agg(F.min_by(whole, F.to_json(whole)).alias("row"))
+    return left.join(repeated, of(repeated), "left_anti").unionByName(single.select("row.*"))
