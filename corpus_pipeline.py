@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripleloom.llm import quality, toxicity
-from tripleloom.llm.common import cut, if_small, table
+from tripleloom.llm.common import table
 from tripleloom.llm.packing import best_fit_packed
 from tripleloom.llm.secrets import redacted
-from tripleloom.llm.simhash import near_copies
+from tripleloom.llm.simhash import without_near_copies
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,22 +37,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near copies stays: the one of the smallest id, nulls last, then of the least text hash."""
-    own_id, own_key = docs["doc_id"].cast("long"), F.xxhash64(docs["text"])
-    found = near_copies(docs)
-    first = F.col("doc_id").eqNullSafe(F.col("keeper")) & (F.col("text_key") == F.col("keeper_key"))
-    named = [F.col("doc_id").alias("\0id"), F.col("text_key").alias("\0key")]
-    gone = cut(found.where(~first).select(*named).distinct())
-    # rows of the same id and text, of which one stays
-    twice = cut(found.where(first).groupBy(*named).agg(F.count("*").alias("n")).where("n > 1").drop("n"))
-    repeated = if_small(twice)
-    of = lambda keys: own_id.eqNullSafe(keys["\0id"]) & (own_key == keys["\0key"])
-    left = docs.join(if_small(gone), of(gone), "left_anti")
-    if twice.isEmpty():
-        return left
-    single = docs.join(repeated, of(repeated)).groupBy("\0id", "\0key").agg(F.min(F.struct(*[docs[c] for c in docs.columns])).alias("row"))
-    # `left` and what stays of the repeated rows have no row in common
-    return left.join(repeated, of(repeated), "left_anti").unionByName(single.select("row.*"))
+    """One row of each group stays whose SimHash fingerprints over 4 words are linked by 4 or fewer differing bits."""
+    return without_near_copies(docs, words=4, max_bits=4)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
