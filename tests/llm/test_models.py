@@ -3,9 +3,10 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tests_llm_helpers import documents
 
-from tripleloom.llm import language, quality, toxicity
+from tripleloom.llm import common, language, quality, toxicity
 from tripleloom.llm.common import slices, word_hashes
 from tripleloom.llm.queries import op2_quality, op6_toxicity, op10_language
 
@@ -176,3 +177,30 @@ def test_weights_are_sparse():
     model = language.trained(texts, ["de", "en"] * 30, np.ones(language.BUCKETS))
     assert 0 < np.count_nonzero(model.weights.any(1)) < 0.02 * language.BUCKETS
     assert model.predict(["der hund", "the dog", "...", None])[0] == ["de", "en", "und", "und"]
+
+
+def test_a_rare_language_is_learned(spark):
+    rows = [(i, "der hund und die katze sind im haus" if i % 2 else "the dog and the cat are home", "de" if i % 2 else "en") for i in range(3000)]
+    rows += [(5000 + i, "le chien et le chat sont dans la maison", "fr") for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert language.fit(docs, sample=100).names == ["de", "en", "fr"]
+    assert language.fit(docs, sample=100, least=0).names == ["de", "en"]
+    rows += [(9000 + i, "x y z", f"junk{i}") for i in range(50)]
+    assert set(language.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 100, languages=3).names) >= {"de", "en", "fr"}
+
+
+def test_a_labelled_id_with_many_texts_is_one_row(spark):
+    docs = documents(spark, [(1, f"text {i}") for i in range(500)] + [(2, "b"), (3, None)])
+    known = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (None, 1)], "doc_id long, quality int")
+    rows = common.labelled_sample(docs, known, "quality", 1_000_003, 10).collect()
+    assert sorted(map(tuple, rows)) == [(1, "text 0", 0.0), (2, "b", 1.0), (3, None, 1.0)]
+
+
+def test_columns_of_inner_names_do_no_harm(spark, middle):
+    docs = spark.read.parquet(f"{middle}/documents.parquet").limit(50)
+    known = spark.read.parquet(f"{middle}/labels.parquet")
+    fitted = toxicity.fit(spark.read.parquet(f"{middle}/documents.parquet"), known)
+    plain = {r["doc_id"]: r["score"] for r in toxicity.scored(docs, fitted, "score").collect()}
+    more = docs.withColumns({c: F.lit("x") for c in ("language", "raw", "toxicity", "value", "label")}).withColumn("m", F.create_map(F.lit(1), "text"))
+    kept = toxicity.scored(more, fitted, "score")
+    assert kept.columns == [*more.columns, "score"] and {r["doc_id"]: r["score"] for r in kept.collect()} == plain

@@ -114,6 +114,20 @@ def test_top_k_matches_brute_force(spark, part, parts, chunk):
     assert sorted(tuple(r) for r in found.collect()) == slow_top(rows, 7)
 
 
+def test_top_k_of_huge_components(spark):
+    """Scores beyond 2^40, 2^63 and 2^1000: no crash, no two true scores tied, null where no long holds the score."""
+    rng = np.random.default_rng(6)
+    rows = [(i, [float(c) for c in v]) for i, v in enumerate(rng.normal(size=(30, 3)) * [1.0, 1e9, 1e3])]
+    rows += [(100, [1e9, 1e9, 0.0]), (101, [3e10, 0.0, 1.0]), (102, [4e10, 0.0, 1.0]), (103, [1e300, -1e300, 5.0]), (120, [1e300, 2.0, 1e-300])]
+    kind = "vec_id long, embedding array<double>"
+    found = bit_sliced.top_k(spark.createDataFrame(rows, kind), F.col("vec_id") % 20 == 0, k=40).collect()
+    exact = {i: [bit_sliced.floored(c, 64.0) for c in x] for i, x in rows}
+    for q in (0, 20, 100, 120):
+        scored = sorted((-sum(a * b for a, b in zip(exact[q], x)), j) for j, x in exact.items() if j != q)
+        expected = [(n + 1, j, -s if -(2**63) <= -s < 2**63 else None) for n, (s, j) in enumerate(scored)]
+        assert sorted((r["rank"], r["vec_id"], r["score"]) for r in found if r["query_id"] == q) == expected
+
+
 def test_top_k_of_nothing(spark):
     assert bit_sliced.top_k(table(spark, []), F.col("vec_id") % 20 == 0).count() == 0
     assert bit_sliced.top_k(table(spark, [(1, [1.0]), (2, [2.0])]), F.col("vec_id") % 20 == 0).count() == 0

@@ -12,30 +12,44 @@ meet in tasks of bounded size, each of which returns its k best rows of each que
 
 Vectors that are null, empty or hold null or non-finite components take no part, as query or as
 candidate. Vectors of different lengths have no inner product and don't meet. Rows that repeat an id
-count each, and all rows of the query's own id are left out. Quantised components beyond 2^40 count as
-2^40. An empty table gives an empty result.
+count each, and all rows of the query's own id are left out. Components of any finite size are whole numbers
+of their own, so scores differ wherever the true ones do and ranks follow them; a score beyond the range of a
+long is null, its rank stays. Further columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import math
+from fractions import Fraction
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_MOST = float(1 << 40)
+#: Integers of fewer bits are numpy's; larger ones are Python's, in arrays of objects.
+_PLAIN = 52
+
+
+def floored(x: float, scale: float) -> int:
+    return math.floor(Fraction(x) * Fraction(scale))
 
 
 def quantised(vectors: np.ndarray, scale: float) -> np.ndarray:
-    return np.clip(np.floor(vectors.astype(np.float64) * scale), -_MOST, _MOST).astype(np.int64)
+    scaled = vectors.astype(np.float64) * scale
+    if not scaled.size or np.abs(scaled).max() < 2.0**_PLAIN:
+        return np.floor(scaled).astype(np.int64)
+    exact = [floored(x, scale) for x in vectors.astype(np.float64).ravel().tolist()]
+    return np.array([*exact, None], object)[:-1].reshape(vectors.shape)
 
 
 def packed(values: np.ndarray, low: int, digits: int) -> np.ndarray:
     """Bitmaps of a matrix of integers from `low`: [d, j] has digit j of component d, a bit for each row."""
-    shifted = (values - low).astype(np.uint64)
+    plain = digits <= _PLAIN + 1 and abs(low) < 2**_PLAIN
+    shifted = values.astype(np.int64) - low if plain else values.astype(object) - low
     bits = np.zeros((values.shape[1], digits, -(-len(values) // 64) * 8), np.uint8)
     for j in range(digits):
-        plane = ((shifted >> np.uint64(j)) & np.uint64(1)).astype(np.uint8)
+        plane = ((shifted >> j) & 1).astype(np.uint8)
         bits[:, j, : -(-len(values) // 8)] = np.packbits(plane.T, axis=1, bitorder="little")
     return bits.view(np.uint64)
 
@@ -59,7 +73,7 @@ def score_slices(query: np.ndarray, low: int, slices: np.ndarray) -> tuple[list[
     full = (1 << digits) - 1
     plus: dict[int, list[tuple[int, int]]] = {}
     minus: dict[int, list[tuple[int, int]]] = {}
-    constant = low * int(query.sum())
+    constant = low * sum(query.tolist())
     for d, value in enumerate(query.tolist()):
         for weight, sign in signed_digits(value):
             constant -= (full << weight) if sign < 0 else 0
@@ -138,7 +152,7 @@ def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 def top_k(
     vectors: DataFrame, queries: F.Column, k: int = 20, scale: float = 64.0, id_col: str = "vec_id",
-    vector_col: str = "embedding", part: int = 1024, parts: int = 64, chunk: int = 64,
+    vector_col: str = "embedding", part: int = 1024, parts: int = 64, chunk: int = 512,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all other rows for each row that meets `queries`.
 
@@ -147,8 +161,10 @@ def top_k(
     """
     rows = usable(vectors, id_col, vector_col).withColumn("length", F.size("v"))
     n, least, most = rows.agg(F.count("*"), F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
-    low, high = (int(x) for x in quantised(np.array([least or 0.0, most or 0.0]), scale))
+    low, high = (floored(x or 0.0, scale) for x in (least, most))
     digits = max(1, (high - low).bit_length())
+    # scores as bytes of one width, in whose order they fall; a vector's length is below 2^31
+    width = (2 * max(abs(low), abs(high)).bit_length() + 31 + 2) // 8 + 1
     asked = rows.where(queries)
     pieces, chunks = max(1, -(-n // part)), max(1, -(-asked.count() // chunk))
     blocks = -(-pieces // parts)
@@ -175,8 +191,11 @@ def top_k(
                 others = np.packbits(taken & (ids != query_id), bitorder="little").view(np.uint64)
                 places = top_rows(sums, others, ids, k)
                 scores = scores_at(sums, constant, places)
-                found += zip([query_id] * len(scores), ids[places].tolist(), scores, strict=True)
-        return pd.DataFrame(found, columns=["query_id", "vec_id", "score"]).astype("int64")
+                keys = [(s + (1 << (8 * width - 1))).to_bytes(width) for s in scores]
+                plain = [s if -(1 << 63) <= s < 1 << 63 else None for s in scores]
+                found += zip([query_id] * len(scores), ids[places].tolist(), plain, keys, strict=True)
+        out = pd.DataFrame(found, columns=["query_id", "vec_id", "score", "key"], dtype=object)
+        return out.astype({"query_id": "int64", "vec_id": "int64", "score": "Int64"})
 
     index = rows.withColumn("piece", F.pmod(place, F.lit(pieces))).groupBy("length", "piece").applyInPandas(
         pack, "length int, block int, ids binary, bits binary"
@@ -184,8 +203,8 @@ def top_k(
     given = asked.withColumn("chunk", F.pmod(place, F.lit(chunks)).cast("int"))
     met = index.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))).groupBy("length", "block", "chunk")
     asking = given.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).groupBy("length", "block", "chunk")
-    best = met.cogroup(asking).applyInPandas(search, "query_id long, vec_id long, score long")
+    best = met.cogroup(asking).applyInPandas(search, "query_id long, vec_id long, score long, key binary")
     ranked = best.selectExpr(
-        "query_id", "row_number() over (partition by query_id order by score desc, vec_id) as rank", "vec_id", "score"
+        "query_id", "row_number() over (partition by query_id order by key desc, vec_id) as rank", "vec_id", "score"
     )
     return ranked.where(F.col("rank") <= k)

@@ -168,10 +168,12 @@ def chosen(rows: DataFrame, bound: int) -> DataFrame:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, bound: int, longest: int = 200_000) -> DataFrame:
-    """(doc_id, text, label) of at most `bound` labelled ids, found without a shuffle of the texts.
+    """(doc_id, text, label) of at most `bound` labelled ids, one row each, found without a shuffle of the texts.
 
-    The labels are broadcast: `bound` limits their size. Texts of over `longest` characters are scored like all
+    The labels are broadcast: `bound` limits their size. An id that repeats counts with its least text, which is
+    found in the map tasks first. Texts of over `longest` characters are scored like all
     others but not learned from, which bounds what the driver holds while it fits a model.
     """
     few = F.broadcast(chosen(known_labels(labels, label, folds), bound))
-    return id_and_text(docs).where(F.length(F.coalesce("text", F.lit(""))) <= longest).join(few, "doc_id")
+    rows = id_and_text(docs).where(F.length(F.coalesce("text", F.lit(""))) <= longest).join(few, "doc_id")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")

@@ -13,6 +13,7 @@ a letter is of that language. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
 from collections.abc import Iterator
@@ -159,18 +160,34 @@ def trained(
     return Languages(known, w[:-1] * (idf * 20)[:, None], bias, float(grid[int(np.argmin(loss))]))
 
 
-def fit(docs: DataFrame, sample: int = 3000, folds: int = 4, held: int = 2, longest: int = 200_000) -> Languages:
+def fit(
+    docs: DataFrame, sample: int = 3000, least: int = 50, languages: int = 200, folds: int = 4, held: int = 2, longest: int = 200_000
+) -> Languages:
     """A model learned from text and lang of rows outside fold `held`.
 
-    The weights come from at most `sample` of them, each of at most `longest` characters.
+    The weights come from at most `sample` of them, each of at most `longest` characters, and of at most `least`
+    further rows of every language, so that one that is rare among very many rows is learned as well. The
+    `languages` most frequent ones have such rows, which bounds the sample where `lang` holds anything else.
     """
     rows = docs.select(docs["doc_id"].alias("doc_id"), docs["text"].alias("text"), docs["lang"].alias("lang")).where(
         F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull() & (fold(F.col("doc_id"), folds) != held)
     )
     total, seen = document_frequencies(rows)
     idf = np.log((1 + total) / (1 + seen)) + 0.05
-    few = chosen(rows.where(F.length("text") <= longest), sample).collect()
-    return trained([r["text"] for r in few], [r["lang"] for r in few], idf)
+    short = rows.where(F.length("text") <= longest)
+    few = {(r["doc_id"], r["text"], r["lang"]) for r in chosen(short, sample).collect()}
+    most = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    few |= {(r["doc_id"], r["text"], r["lang"]) for r in first_of_each(short, least, [r["lang"] for r in most.collect()]).collect()}
+    few = sorted(few, key=lambda r: (hashlib.sha256(f"{r[0]}".encode()).digest(), r))
+    return trained([text for _, text, _ in few], [lang for _, _, lang in few], idf)
+
+
+def first_of_each(rows: DataFrame, least: int, languages: list[str]) -> DataFrame:
+    """At most `least` rows of (doc_id, text, lang) of each of the languages, by a hash of the id."""
+    rank = F.xxhash64(F.lit("language"), "doc_id")
+    order = "row_number() over (partition by lang order by rank, doc_id, text)"
+    # the rank filter runs in the map tasks before the shuffle, which so moves few rows of a frequent language
+    return rows.where(F.col("lang").isin(languages)).withColumn("rank", rank).withColumn("place", F.expr(order)).where(F.col("place") <= least).drop("rank", "place")
 
 
 def predicted(docs: DataFrame, model: Languages) -> DataFrame:

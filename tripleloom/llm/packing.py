@@ -134,7 +134,9 @@ def best_fit_packed(
     """
     cut_docs = cut(pieces(id_and_text(docs), path, room, end_id))
     partitions = max(1, -(-cut_docs.count() // at_once))
-    placed = cut(packed_round(cut_docs, partitions, room, ["doc_id", "piece", "ids_crc32"]))
+    # dealt by their place in the written table, so that rows of one content spread over all partitions
+    dealt = cut_docs.withColumn("row", F.monotonically_increasing_id())
+    placed = cut(packed_round(dealt, partitions, room, ["row"]))
     under = placed.where(F.col("fill") < room - slack).groupBy("bin").agg(F.max("fill").alias("length"))
     moved = under.select("bin", F.col("bin").alias("sequence"), F.lit(0).cast("long").alias("base"))
     items = under.select(F.col("bin").alias("item"), "length")

@@ -248,10 +248,13 @@ def fit(
     return model, thresholds(raw.join(known_labels(labels, "toxic", folds), "doc_id")), raw
 
 
-def scored(docs: DataFrame, fitted: tuple[Classifier, np.ndarray, DataFrame] | None) -> DataFrame:
-    """`docs` with the column `toxicity`."""
+def scored(docs: DataFrame, fitted: tuple[Classifier, np.ndarray, DataFrame] | None, name: str = "toxicity") -> DataFrame:
+    """`docs` with the column `name`; their own columns may have any names."""
     if fitted is None:
-        return docs.withColumn("toxicity", F.lit(0.25))
+        return docs.withColumn(name, F.lit(0.25))
     model, limits, _ = fitted
-    raw = with_raw(docs.withColumn("\0kept", F.col("text")), model).withColumnRenamed("\0kept", "text")
-    return raw.select(*docs.columns, score(F.col("raw"), F.col("language"), limits).alias("toxicity"))
+    own = [f"\0{i}" for i in range(len(docs.columns))]
+    text = F.col(own[docs.columns.index("text")]).alias("text")
+    raw = with_raw(docs.toDF(*own).select(*own, text), model)
+    back = [F.col(c).alias(n) for c, n in zip(own, docs.columns, strict=True)]
+    return raw.select(*back, score(F.col("raw"), F.col("language"), limits).alias(name))
