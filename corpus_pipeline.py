@@ -27,7 +27,8 @@ from tripleloom.llm.simhash import without_near_copies
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity reaches 0.5 go."""
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, fitted).where("toxicity < 0.5").select(docs.columns)
+    judged = toxicity.scored(docs, fitted, "\0toxicity")
+    return judged.where(F.col("\0toxicity") < 0.5).drop("\0toxicity")
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
