@@ -64,15 +64,31 @@ def test_words_give_the_librarys_ids():
     texts += ["".join(chr(rng.choice([32, 9, rng.randrange(33, 600), rng.randrange(0x300, 0x3000)])) for _ in range(80)) for _ in range(200)]
     for run in (7, 1_000_000):
         coder = ff.WordEncoder(WORDS)
-        for text in texts + texts:
-            assert coder.ids(text, run).tolist() == library.encode(text or "", add_special_tokens=False).ids
+        for _ in range(2):
+            found = [ids.tolist() for ids in coder.encode(texts, run)]
+            assert found == [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+
+
+def test_merges_of_every_kind_of_word():
+    """Runs of marks and letters, whole entries of the vocabulary and joined ones, and the words of the given documents."""
+    library, coder = Tokenizer.from_file(WORDS), ff.WordEncoder(WORDS)
+    rng = random.Random(9)
+    marks = [chr(c) for c in [*range(33, 127), *range(0xA1, 0x180), *range(0x2010, 0x2028), 0x20AC]]
+    words = [m * n for m in marks for n in (1, 2, 3, 5, 8, 13, 40)]
+    entries = [t.replace("</w>", "") for t in library.get_vocab() if t.isascii() and "<|" not in t]
+    words += rng.sample(entries, 8000) + ["".join(rng.sample(entries, 2)) for _ in range(8000)]
+    words += ["".join(rng.choice(marks) * rng.randint(1, 4) for _ in range(rng.randint(1, 8))) for _ in range(8000)]
+    words += ["".join(rng.choice("aeinrst'") for _ in range(rng.randint(1, 30))) for _ in range(8000)]
+    text = " ".join(words)
+    assert next(coder.encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert sum(bool(ff.PLAIN.fullmatch(w)) for w in words) > 0.95 * len(words)
 
 
 def test_a_full_memory_of_words_changes_nothing(monkeypatch):
     monkeypatch.setattr(ff, "REMEMBERED", 3)
     library, coder = Tokenizer.from_file(WORDS), ff.WordEncoder(WORDS)
     for text in ["a b c d e", "c d e f g", "a a g", "x y z a b"]:
-        assert coder.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert next(coder.encode([text])).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
 def valid(rows, texts, room=2048):

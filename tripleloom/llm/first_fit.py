@@ -20,63 +20,121 @@ single word without white space is given to the library as a whole. An empty tab
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from tripleloom.llm.bpe import byte_letters
 from tripleloom.llm.common import cut, id_and_text, if_small
 from tripleloom.session import cut_lineage
 
 #: Words that a worker remembers, and the longest of them in bytes.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 400_000, 64
+#: What stands for the end of a word in the merges; no word that is merged here holds it.
+END = b"\0"
+#: Words that are cut and merged here: Latin letters whose lower case and composed form are one letter each, and marks.
+PLAIN = re.compile("[\n!-~\xa1-\u012f\u0131-\u017f\u2010-\u2027\u20ac]+")
+SPACE = re.compile(r"[ \t\n\r]")
+#: The vocabulary's pattern over these words, and the line end that parts them.
+_LETTERS, _NUMBERS = "a-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
+PARTS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|\n|[^\n{_LETTERS}{_NUMBERS}]+")
 
 
 class WordEncoder:
-    """Ids of whole texts by the library, which sees each frequent word once.
+    """Ids of whole texts, where each frequent word is encoded once.
 
-    The vocabulary's pattern never joins what white space parts, so a text's ids are those of its words.
+    The vocabulary's pattern never joins what white space parts, so a text's ids are those of its words. Words of
+    Latin letters and common marks are cut by the same pattern here and merged many at a time, with a
+    byte that they can't hold in place of the mark of a word's end; all others go through the library.
     """
 
     def __init__(self, path: str) -> None:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.known: dict[bytes, tuple[int, ...]] = {}
-
-    def _learn(self, words: list[bytes]) -> dict[bytes, tuple[int, ...]]:
-        new = list({w for w in words if w not in self.known})
-        coded = self.library.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-        found = {w: tuple(c.ids) for w, c in zip(new, coded, strict=True)}
-        if len(self.known) + len(new) > REMEMBERED:
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        letters = byte_letters()
+        of_letter = {c: bytes([b]) for c, b in letters.items()}
+        suffix = model["end_of_word_suffix"]
+
+        def spelled(token: str) -> bytes:
+            ends = token.endswith(suffix)
+            return b"".join(of_letter[c] for c in token.removesuffix(suffix)) + (END if ends else b"")
+
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        # a letter joins the end mark before anything else happens to it
+        tokens = [*letters, *[c + suffix for c in letters], *["".join(p) for p in pairs]]
+        ranks = {spelled(t): i for i, t in enumerate(tokens)}
+        self.id_of_rank = np.array([model["vocab"][t] for t in tokens], "<u4")
+        self.merges = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        self.line = model["vocab"][next(c for c, b in letters.items() if b == 10) + suffix]
+        self.known: dict[bytes, bytes] = {}
+
+    def _learn(self, new: list[bytes]) -> None:
+        lines = b"\n".join(new).decode()
+        if PLAIN.fullmatch(lines) and "<|" not in lines:
+            plain, rest = new, []
+        else:
+            apart = [bool(PLAIN.fullmatch(t)) and "<|" not in t for t in lines.split("\n")]
+            plain = [w for w, p in zip(new, apart, strict=True) if p]
+            rest = [w for w, p in zip(new, apart, strict=True) if not p]
+            lines = b"\n".join(plain).decode()
+        if plain:
+            parts = PARTS.findall(lines.lower() + "\n")
+            ids = self.id_of_rank[self.merges.encode_to_numpy("\0".join(parts) + "\0")]
+            stops = np.flatnonzero(ids == self.line) * 4
+            starts, data = np.append(0, stops[:-1] + 4).tolist(), ids.tobytes()
+            self.known.update(zip(plain, [data[a:b] for a, b in zip(starts, stops.tolist(), strict=True)], strict=True))
+        if rest:
+            coded = self.library.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
+            self.known.update((w, np.array(c.ids, "<u4").tobytes()) for w, c in zip(rest, coded, strict=True))
+
+    def encode(self, texts: list[str | None], run: int = 500_000) -> Iterator[np.ndarray]:
+        """The ids of each text; about `run` characters are worked on together."""
+        held: list[tuple[bool, list[bytes]]] = []  # whether a text ends here, and words
+        size, parts = 0, []
+        for place, text in enumerate(texts):
+            text, start = text or "", 0
+            while True:
+                space = SPACE.search(text, start + run) if len(text) - start > run else None
+                stop = space.start() if space else len(text)
+                held.append((stop == len(text), text[start:stop].encode().split()))
+                size += stop - start
+                if size >= run or (place == len(texts) - 1 and stop == len(text)):
+                    self._know([words for _, words in held])
+                    for ends, words in held:
+                        parts.append(b"".join(map(self.known.__getitem__, words)))
+                        if ends:
+                            yield np.frombuffer(b"".join(parts), "<u4")
+                            parts = []
+                    self._forget([words for _, words in held])
+                    held, size = [], 0
+                start = stop
+                if stop == len(text):
+                    break
+
+    def _know(self, lists: list[list[bytes]]) -> None:
+        missing = set().union(*lists).difference(self.known)
+        if missing:
+            self._learn(list(missing))
+
+    def _forget(self, lists: list[list[bytes]]) -> None:
+        if len(self.known) > REMEMBERED:
             self.known = {}
-        self.known |= {w: ids for w, ids in found.items() if len(w) <= LONGEST}
-        return found
-
-    def ids(self, text: str | None, run: int = 1_000_000) -> np.ndarray:
-        text, parts, start = text or "", [], 0
-        while start < len(text):
-            space = re.compile(r"[ \t\n\r]").search(text, start + run)
-            stop = space.start() if space else len(text)
-            words = text[start:stop].encode().split()
-            try:
-                listed = [self.known[w] for w in words]
-            except KeyError:
-                before = self.known
-                new = self._learn(words)
-                listed = [new[w] if w in new else before[w] for w in words]
-            parts.append(np.fromiter(chain.from_iterable(listed), "<u4"))
-            start = stop
-        return np.concatenate([*parts, np.zeros(0, "<u4")])
+        for w in {w for words in lists for w in words if len(w) > LONGEST}:
+            self.known.pop(w, None)
 
 
 @lru_cache(maxsize=2)
@@ -100,8 +158,9 @@ def encoded(docs: DataFrame, path: str, room: int, end_id: int) -> DataFrame:
             for first in range(0, whole.num_rows, 1000):
                 batch = whole.slice(first, 1000)
                 out: list[tuple] = []
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    ids = np.concatenate([known.ids(text.as_py()), end])
+                coded = known.encode(batch.column(1).to_pylist())
+                for doc_id, found in zip(batch.column(0).to_pylist(), coded, strict=True):
+                    ids = np.concatenate([found, end])
                     for a in range(0, len(ids), room):
                         data = ids[a : a + room].tobytes()
                         item = data if len(data) < 4 * room else None
