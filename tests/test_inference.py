@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators import inference
+from tripleloom.operators import closure, inference, ontology
 from tripleloom.operators.joins import regroup, set_difference_counts
 from tripleloom.operators.lift import StoredGraph
 from tripleloom.operators.ontology import AXIOMS, axioms, class_closure, ontology_triples
@@ -34,7 +35,7 @@ def types_of(types):
 
 
 def test_materialise_reaches_the_fixpoint(spark):
-    types, facts = inference.materialise(graph(spark, FACTS), axioms(spark))
+    types, facts = closure.materialise(graph(spark, FACTS), axioms(spark))
     got = types_of(types)
     assert got["m1"] == {"Movie", t.MOVIE, "ActionMovie"}
     assert got["m2"] == {"Movie", t.MOVIE, "ComedyMovie"}
@@ -47,7 +48,7 @@ def test_materialise_reaches_the_fixpoint(spark):
     assert added == {
         (R + "r1", t.ROLE_IN, R + "m1"), (R + "m1", t.STARRING, R + "p1"), (R + "m2", t.HAS_ROLE, R + "r2"),
         (R + "m2", t.STARRING, R + "p3"), (R + "m2", t.GENRE, O + "genre_comedy")}
-    again, none = inference.materialise(graph(spark, FACTS + sorted(added)), axioms(spark))
+    again, none = closure.materialise(graph(spark, FACTS + sorted(added)), axioms(spark))
     assert types_of(again) == got and none.isEmpty()
 
 
@@ -142,7 +143,7 @@ def test_hot_key_is_split_at_run_time(spark):
 def test_rules_feed_each_other(spark):
     """An inverse fact completes a chain, the chain a class, and all of these facts are returned."""
     facts = [(R + "r1", t.ROLE_IN, R + "m1"), (R + "r1", t.PLAYED_BY, R + "p1"), (R + "m1", t.DIRECTOR, R + "p1")]
-    types, added = inference.materialise(graph(spark, facts), axioms(spark))
+    types, added = closure.materialise(graph(spark, facts), axioms(spark))
     assert "ActorDirector" in types_of(types)["p1"]
     assert {(r["s"], r["p"], r["o"]) for r in added.collect()} == {
         (R + "m1", t.HAS_ROLE, R + "r1"), (R + "m1", t.STARRING, R + "p1")}
@@ -152,7 +153,7 @@ def test_rules_feed_each_other(spark):
 def test_absent_axiom_kinds(spark, kind):
     ax = axioms(spark).where(f"kind <> '{kind}'")
     g = graph(spark, FACTS)
-    types, _ = inference.materialise(g, ax)
+    types, _ = closure.materialise(g, ax)
     assert "Movie" in types_of(types)["m1"]
     for rows in (inference.functional_same(g, ax), inference.functional_clashes(g, ax), inference.disjoint_clashes(types, ax)):
         assert rows.count() >= 0
@@ -164,7 +165,7 @@ def test_classes_over_defined_classes(spark):
     rows += [("subclass", f"{O}C0", None, f"{O}Base", None)]
     ax = constant_rows(spark, AXIOMS, rows)
     chain = [(R + "x0", t.TYPE, O + "C0")] + [(R + f"x{i + 1}", O + "next", R + f"x{i}") for i in range(12)]
-    types, _ = inference.materialise(graph(spark, chain), ax)
+    types, _ = closure.materialise(graph(spark, chain), ax)
     got = types_of(types)
     assert got["x0"] == {"C0", "Base"} and all(got[f"x{i}"] == {f"C{i}"} for i in range(1, 13))
 
@@ -179,3 +180,112 @@ def test_a_cluster_without_shared_folder_is_an_error(spark):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(Elsewhere)
+
+
+def test_values_of_a_functional_property_are_one_individual(spark):
+    """Two players of one role are one person, who then directs and stars; the smaller name stands for both."""
+    facts = [(R + "r1", t.PLAYED_BY, R + "a"), (R + "r1", t.PLAYED_BY, R + "b"), (R + "m1", t.DIRECTOR, R + "a"), (R + "m1", t.STARRING, R + "b")]
+    apart = types_of(closure.close(graph(spark, facts), axioms(spark)).types())
+    assert "ActorDirector" not in apart["a"] | apart["b"]
+    found = closure.close(graph(spark, facts), axioms(spark), equal=True)
+    got = types_of(found.types())
+    assert got["a"] == {"Person", t.PERSON, "Director", "Actor", "ActorDirector"} and "b" not in got
+    assert {tuple(r) for r in found.clusters.collect()} == {(R + "a", R + "a"), (R + "b", R + "a")}
+    assert (R + "m1", t.STARRING, R + "a") in {(r["s"], r["p"], r["o"]) for r in found.facts().collect()}
+
+
+def test_a_merge_leads_to_the_next_one(spark):
+    """r1 and r2 are one role once their movies' names are, and then their players are one person."""
+    facts = [(R + "q", t.ROLE_IN, R + "m1"), (R + "q", t.ROLE_IN, R + "m2"), (R + "m2", t.PLAYED_BY, R + "x"), (R + "m1", t.PLAYED_BY, R + "y"),
+             (R + "z", t.SAME_AS, R + "x"), (R + "m0", t.DIRECTOR, R + "z"), (R + "m0", t.STARRING, R + "y")]
+    found = closure.close(graph(spark, facts), axioms(spark), equal=True)
+    assert {tuple(r) for r in found.clusters.collect()} == {
+        (R + "m1", R + "m1"), (R + "m2", R + "m1"), (R + "x", R + "x"), (R + "y", R + "x"), (R + "z", R + "x")}
+    assert "ActorDirector" in types_of(found.types())["x"]
+
+
+def test_a_clash_across_names(spark):
+    """Each name alone is in one of two disjoint classes."""
+    facts = [(R + "r", t.ROLE_IN, R + "m1"), (R + "r", t.ROLE_IN, R + "m2"),
+             (R + "m1", t.GENRE, O + "genre_action"), (R + "m2", t.GENRE, O + "genre_comedy")]
+    ax = axioms(spark)
+    assert inference.disjoint_clashes(closure.close(graph(spark, facts), ax).types(), ax).isEmpty()
+    clashes = inference.disjoint_clashes(closure.close(graph(spark, facts), ax, equal=True).types(), ax)
+    assert [tuple(r) for r in clashes.collect()] == [(R + "m1", O + "ComedyMovie", O + "ActionMovie")]
+
+
+def slow_equal(facts, functional, chain, ends):
+    """Equality, chain, both-ends membership by sets alone."""
+    facts, parent, members = set(facts), {}, set()
+
+    def root(x):
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    while True:
+        facts = {(root(s), p, root(o)) for s, p, o in facts}
+        members = {root(x) for x in members}
+        before = (set(facts), dict(parent), set(members))
+        for s, p, o in list(facts):
+            for s2, p2, o2 in list(facts):
+                if (s, p) == (s2, p2) and p in functional and root(o) != root(o2):
+                    low, high = sorted((root(o), root(o2)))
+                    parent[high] = low
+                if (p, p2) == chain[1:] and o == s2:
+                    facts.add((s, chain[0], o2))
+                if (p, p2) == ends and (s, o) == (s2, o2):
+                    members.add(o)
+        if (facts, parent, members) == before:
+            return members, {x: root(x) for x in parent}
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_equality_against_brute_force(spark, seed):
+    rng = random.Random(seed)
+    rows = {(f"{R}{a}{rng.randrange(9)}", p, f"{R}{b}{rng.randrange(9)}") for _ in range(14) for a, p, b in (
+        ("m", t.HAS_ROLE, "r"), ("r", t.PLAYED_BY, "p"), ("m", t.DIRECTOR, "p"))}
+    ax = axioms(spark).where("kind IN ('functional', 'chain', 'both ends', 'object property')")
+    found = closure.close(graph(spark, sorted(rows)), ax, equal=True)
+    members, names = slow_equal(rows, {t.ROLE_IN, t.PLAYED_BY}, (t.STARRING, t.HAS_ROLE, t.PLAYED_BY), (t.DIRECTOR, t.STARRING))
+    got = found.types().where(F.col("class") == O + "ActorDirector").collect()
+    assert {r["s"] for r in got} == members
+    assert {r["node"]: r["cluster"] for r in found.clusters.where("node <> cluster").collect()} == {x: y for x, y in names.items() if x != y}
+
+
+def test_rounds_read_what_the_last_one_added(spark):
+    found = closure.close(graph(spark, FACTS), axioms(spark))
+    assert len(found.sizes) >= 3 and found.sizes == sorted(found.sizes, reverse=True)
+    given = {tuple(r) for r in graph(spark, FACTS).triples().collect()}
+    added = [tuple(r)[:6] for r in found.added().collect()]
+    assert len(added) == len(set(added)) == sum(found.sizes) and not given & set(added)
+
+
+def test_derivations_lead_to_given_triples(spark):
+    facts = [(R + "r1", t.ROLE_IN, R + "m1"), (R + "r1", t.PLAYED_BY, R + "p1"), (R + "m1", t.DIRECTOR, R + "p1"), (R + "m9", t.GENRE, O + "g")]
+    found = closure.close(graph(spark, facts), axioms(spark), explained=True)
+    asked = constant_rows(spark, dict.fromkeys(["of", "s", "p", "o"], "string"), [
+        ("both", R + "p1", t.TYPE, O + "ActorDirector"), ("inverse", R + "m1", t.HAS_ROLE, R + "r1"),
+        ("given", R + "m9", t.GENRE, O + "g"), ("above", R + "p1", t.TYPE, t.PERSON)])
+    got = {}
+    for r in found.explain(asked).collect():
+        got.setdefault(r["of"], set()).add((r["s"], r["p"], r["o"]))
+    above = got.pop("above")
+    assert got == {"both": set(facts[:3]), "inverse": {facts[0]}, "given": {facts[3]}} and len(above) >= 1 and above <= set(facts)
+    one = {(r["s"], r["p"], r["o"]): (r["rule"], len(r["premises"])) for r in found.added().collect()}
+    assert one[(R + "m1", t.STARRING, R + "p1")] == ("chain", 2) and one[(R + "m1", t.HAS_ROLE, R + "r1")] == ("inverse", 1)
+
+
+def test_a_long_chain_of_classes_closes_as_joins(spark):
+    rows = spark.range(2000).selectExpr(
+        "'subclass' AS kind", f"concat('{O}C', id) AS subject", "CAST(NULL AS STRING) AS property",
+        f"concat('{O}C', id + 1) AS object", "CAST(NULL AS ARRAY<STRING>) AS members")
+    reach = class_closure(rows)
+    assert reach.count() == 2001 * 2002 // 2
+    assert reach.where(F.col("class") == O + "C0").count() == 2001
+
+
+def test_joins_close_classes_as_the_driver_does(spark, monkeypatch):
+    one = {tuple(r) for r in class_closure(axioms(spark)).collect()}
+    monkeypatch.setattr(ontology, "SMALL", 0)
+    assert {tuple(r) for r in class_closure(axioms(spark)).collect()} == one

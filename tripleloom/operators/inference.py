@@ -196,78 +196,6 @@ def members(types: DataFrame, classes: list[str], base: str = t.RES) -> DataFram
     return types.where(F.col("class").isin(classes) & F.startswith("s", F.lit(base))).select("class", "s").distinct()
 
 
-def derived_facts(graph, ax: DataFrame) -> DataFrame:
-    """Property facts that follow from property axioms alone, a bag: inverses, and the chains over them too."""
-    inverse = inverse_triples(graph, ax)
-    return _facts([inverse, chain_triples(MergedGraph([graph, StoredGraph(inverse)]), ax)], ax)
-
-
-def derive_types(graph, ax: DataFrame) -> DataFrame:
-    """All memberships that follow from the facts of `graph`.
-
-    Memberships of classes defined over other classes are fed back until none is new. Facts are read as
-    bags, repeated ones give the same members.
-    """
-    named = [r["subject"] for r in of_kind(ax, "object property", "datatype property").collect()]
-    wanted = sorted({r["property"] for r in of_kind(ax, "has value").collect()})
-    types = cut_lineage(
-        with_superclasses(
-            _types(
-                [
-                    asserted_types(graph),
-                    property_types(_facts([graph.match(p, as_bag=True) for p in sorted(set(named))], ax), ax),
-                    has_value_members(_facts([graph.match(p, as_bag=True) for p in wanted], ax), ax),
-                    both_ends_members(graph, ax),
-                ],
-                ax,
-            ),
-            ax,
-        )
-    )
-    while True:
-        more = with_superclasses(some_values_members(types, graph, ax), ax)
-        new = cut_lineage(more.join(types, ["s", "class"], "left_anti"))
-        if new.isEmpty():
-            return types
-        types = cut_lineage(types.unionByName(new))
-
-
-def derivable(ax: DataFrame) -> list[str]:
-    """Predicates that some rule can add facts of."""
-    found = set()
-    for row in of_kind(ax, "inverse", "chain", "has value").collect():
-        found |= {row["property"]} if row["kind"] == "has value" else {row["subject"], row["object"]}
-    return sorted(found - {None})
-
-
-def materialise(graph, ax: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Types and all added property facts at the fixpoint, as (types, facts).
-
-    Every round derives facts from the graph and all facts added before it, first by inverse and chain,
-    then by membership of a has-value class; it ends when a round adds nothing, and as each one adds
-    facts over the given resources and values, it does end. What a round added is a written table,
-    which survives the loss of executors. The graph is read by predicate several times, so give it one
-    over stored tables.
-    """
-    has_value = [r["subject"] for r in of_kind(ax, "has value").collect()]
-    properties = derivable(ax)
-    facts, types = _facts([], ax), None
-    while True:
-        current = MergedGraph([graph, StoredGraph(facts)])
-        derived = [derived_facts(current, ax)]
-        if types is not None:
-            derived.append(has_value_triples(types.where(F.col("class").isin(has_value)), ax))
-        known = _facts([current.match(p, as_bag=True) for p in properties], ax)
-        new = cut_lineage(as_set(_facts(derived, ax)).join(known, t.TERM, "left_anti"))
-        changed = not new.isEmpty()
-        if types is not None and not changed:
-            return types, facts
-        if changed:
-            facts = cut_lineage(facts.unionByName(new))
-            current = MergedGraph([graph, StoredGraph(facts)])
-        types = derive_types(current, ax)
-
-
 def alias_clusters(links: DataFrame) -> DataFrame:
     """Connected components of (s, o) identity statements as (node, cluster); the cluster is its
     smallest node.

@@ -12,8 +12,11 @@ import re
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tripleloom.functions import terms as t
+from tripleloom.session import cut_lineage
 from tripleloom.sources.constants import constant_rows, constant_triples
 
+#: Class axioms up to this number are closed on the driver.
+SMALL = 200
 AXIOMS = {"kind": "string", "subject": "string", "property": "string", "object": "string", "members": "strings"}
 
 
@@ -85,26 +88,45 @@ def of_kind(ax: DataFrame, *kinds: str) -> DataFrame:
 
 
 def class_closure(ax: DataFrame) -> DataFrame:
-    """(class, super) for every class in a sub- or equivalent-class axiom: its ancestors, itself
-    included. The class graph is as small as the ontology, so it is closed here and the closure is
-    again a constant table; what is joined with the data is one broadcast of it.
+    """(class, super) for every class in a sub- or equivalent-class axiom: its ancestors, itself included."""
+    up = of_kind(ax, "subclass", "equivalent").select(
+        F.inline(F.array(
+            F.struct(F.col("subject").alias("class"), F.col("object").alias("super")),
+            F.struct(F.when(F.col("kind") == "equivalent", F.col("object")).alias("class"), F.col("subject").alias("super")),
+            F.struct(F.col("subject").alias("class"), F.col("subject").alias("super")),
+            F.struct(F.col("object").alias("class"), F.col("object").alias("super")),
+        ))
+    ).where("class IS NOT NULL AND super IS NOT NULL")
+    few = up.distinct().limit(SMALL + 1).collect()
+    if len(few) <= SMALL:  # as small as an ontology is, so it is closed at once; joins give the same
+        return constant_rows(ax.sparkSession, {"class": "string", "super": "string"}, sorted(_closed({tuple(r) for r in few})))
+    return joined_closure(up)
+
+
+def _closed(pairs: set[tuple[str, str]]) -> set[tuple[str, str]]:
+    while True:
+        above: dict[str, set[str]] = {}
+        for c, x in pairs:
+            above.setdefault(c, set()).add(x)
+        wider = pairs | {(c, y) for c, x in pairs for y in above.get(x, ())}
+        if wider == pairs:
+            return pairs
+        pairs = wider
+
+
+def joined_closure(pairs: DataFrame) -> DataFrame:
+    """The transitive closure of (class, super), which holds each class with itself.
+
+    Paths are joined with paths, so that a chain of n classes takes about log n rounds; what a round found
+    is a written table.
     """
-    up: dict[str, set[str]] = {}
-    for row in of_kind(ax, "subclass", "equivalent").collect():
-        up.setdefault(row["subject"], set()).add(row["object"])
-        up.setdefault(row["object"], set())
-        if row["kind"] == "equivalent":
-            up[row["object"]].add(row["subject"])
-    reach = {c: {c} | supers for c, supers in up.items()}
-    grew = True
-    while grew:
-        grew = False
-        for c, supers in reach.items():
-            wider = set().union(*(reach[x] for x in supers))
-            grew |= wider != supers
-            reach[c] = wider
-    pairs = sorted((c, x) for c, supers in reach.items() for x in supers)
-    return constant_rows(ax.sparkSession, {"class": "string", "super": "string"}, pairs)
+    reach = cut_lineage(pairs.distinct())
+    size, before = reach.count(), -1
+    while size != before:
+        on = reach.select(F.col("class").alias("super"), F.col("super").alias("next"))
+        reach = cut_lineage(reach.join(on, "super").select("class", F.col("next").alias("super")).distinct())
+        before, size = size, reach.count()
+    return reach
 
 
 def ontology_triples(ax: DataFrame) -> DataFrame:

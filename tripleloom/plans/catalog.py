@@ -88,6 +88,9 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("rule_members", "Local members of defined classes", r.rule_members),
     ("rule_closure", "Members per class at the fixpoint", r.rule_closure),
     ("rule_facts", "Facts added at the fixpoint", r.rule_facts),
+    ("rule_closure_equal", "Members per class with one name for each individual", r.rule_closure_equal),
+    ("rule_equal_names", "Individuals of several names", r.rule_equal_names),
+    ("rule_explain", "Given triples behind each clash", r.rule_explain),
     ("void_classes", "Class partitions", p.void_classes),
     ("void_properties", "Property partitions", p.void_properties),
     ("void_linksets", "Links per target", p.void_linksets),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators import inference, lift
+from tripleloom.operators import closure, inference, lift
 from tripleloom.operators.joins import set_difference_counts
 from tripleloom.operators.lift import MappedGraph, MergedGraph, Rule, TripleMap
 from tripleloom.operators.ontology import axioms
@@ -155,16 +155,56 @@ def rule_agreement(v: DriverViews) -> DataFrame:
 
 def rule_closure(v: DriverViews) -> DataFrame:
     """Members of every class at the fixpoint of all rules."""
-    types, _ = inference.materialise(with_awards(v), v.axioms)
+    types = closure.close(with_awards(v), v.axioms).types()
     return per_class(types.where(F.startswith("class", F.lit(t.ONT)) | F.col("class").isin(t.MOVIE, t.PERSON)))
 
 
 def rule_facts(v: DriverViews) -> DataFrame:
     """Facts that the closure adds, by predicate."""
-    _, facts = inference.materialise(with_awards(v), v.axioms)
+    facts = closure.close(with_awards(v), v.axioms).facts()
     return facts.groupBy("p").agg(F.count(F.lit(1)).alias("triples"))
 
 
+def line_roles(v: DriverViews) -> MappedGraph:
+    """A role for each line of every 499th movie. Lines of one number are one role, so their players are one person."""
+    line = t.mint(t.RES + "line/", F.col("l_orderkey"), F.lit("-"), F.col("l_linenumber"))
+    lines = v.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey").where(F.col("l_orderkey") % 499 == 0)
+    return MappedGraph([TripleMap(lines, [
+        Rule(line, t.PLAYED_BY, t.iri(person_iri(F.col("l_suppkey")))), Rule(line, t.ROLE_IN, t.iri(movie_iri(F.col("l_orderkey")))),
+    ])])
+
+
+def closed_with_names(v: DriverViews) -> closure.Closure:
+    return closure.close(MergedGraph([with_awards(v), line_roles(v)]), v.axioms, equal=True)
+
+
+def rule_closure_equal(v: DriverViews) -> DataFrame:
+    """Members of every class where several values of a functional property are one individual, by its smallest name."""
+    return per_class(closed_with_names(v).types().where(F.startswith("class", F.lit(t.ONT)) | F.col("class").isin(t.MOVIE, t.PERSON)))
+
+
+def rule_equal_names(v: DriverViews) -> DataFrame:
+    """Every individual of several names, and the smallest one."""
+    return closed_with_names(v).clusters.select("node", "cluster")
+
+
+def rule_explain(v: DriverViews) -> DataFrame:
+    """For each member of two disjoint classes, the given triples that it rests on."""
+    genre = t.mint(t.ONT + "genre_", F.lower("p_type"))
+    parts = v.table("lineitem").select("l_orderkey", F.col("l_partkey").alias("p_partkey")).join(
+        v.table("part").select("p_partkey", "p_type"), "p_partkey"
+    )
+    tagged = MappedGraph([TripleMap(parts, [Rule(movie_iri(F.col("l_orderkey")), t.GENRE, t.iri(genre))])])
+    ax = axioms(v.spark, "PROMO", "ECONOMY")
+    found = closure.close(tagged, ax, explained=True)
+    clashes = cut_lineage(inference.disjoint_clashes(found.types(), ax))
+    sides = clashes.select(F.inline(F.array(*[
+        F.struct(F.struct("s", "left_class", "right_class").alias("of"), F.col("s").alias("s"), F.lit(t.TYPE).alias("p"), F.col(c).alias("o"))
+        for c in ("left_class", "right_class")
+    ])))
+    return found.explain(sides).select("of.left_class", "of.right_class", "s", "p", "o")
+
+
 def rule_members(v: DriverViews) -> DataFrame:
     """Local members of the reported classes, in order."""
     return inference.members(reported_types(v), REPORTED).orderBy("class", "s")
