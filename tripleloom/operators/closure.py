@@ -19,9 +19,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tripleloom.functions import terms as t
 from tripleloom.operators.inference import alias_clusters
 from tripleloom.operators.joins import regroup
-from tripleloom.operators.lift import MappedGraph, MergedGraph, union_all
+from tripleloom.operators.lift import MappedGraph, MergedGraph, StoredGraph, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
-from tripleloom.session import cut_lineage, new_table_path
+from tripleloom.session import cut_lineage
 from tripleloom.sources.constants import constant_rows
 
 #: In place of a name for the members of an unnamed "some value" class.
@@ -309,19 +309,13 @@ def derivable(rules: DataFrame, ax: DataFrame) -> DataFrame:
     ]).distinct()
 
 
-def written_by_predicate(facts: DataFrame) -> DataFrame:
-    """`facts` as a table with a folder for each predicate, of which a join reads those it needs."""
-    path = new_table_path(facts.sparkSession)
-    facts.select(t.TERM).write.partitionBy("p").parquet(path)
-    rest = ", ".join(f"{c} string" for c in t.TERM if c != "p")
-    return facts.sparkSession.read.schema(f"{rest}, p string").parquet(path).select(t.TERM)
-
-
 def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) -> Closure:
     """The closure of `graph`: see the module's text."""
     single, pairs = cut_lineage(single_rules(ax)), PairRules.of(ax)
     reach = class_closure(ax)
-    base = written_by_predicate(as_bag(graph).join(used_predicates(ax), "p", "left_semi"))
+    used = as_bag(graph).where(F.col("p").isin([r["p"] for r in used_predicates(ax).collect()]))
+    # a stored graph is read where it is; of others the facts are computed once
+    base = used if isinstance(graph, StoredGraph) else cut_lineage(used)
     out = Closure(base, [], constant_rows(ax.sparkSession, NODES, []))
     links = constant_rows(ax.sparkSession, {"s": "string", "o": "string"}, [])
     made = [r["p"] for r in derivable(single, ax).collect()]
@@ -333,6 +327,7 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
         if first:  # later ones are given their superclasses as they are derived
             stated = base.where(F.col("p") == t.TYPE)
             direct = direct.unionByName(stated.withColumns({"rule": F.lit(""), "premises": F.array().cast(PREMISES)}))
+            direct = smallest(direct, explained)
         derived = with_superclasses(direct, reach)
         old = known if equal else known.where(F.col("p").isin(made))
         if equal:

@@ -23,7 +23,7 @@ def award_graph(v: DriverViews) -> MappedGraph:
 
 def with_awards(v: DriverViews) -> MergedGraph:
     """The graph with its gaps, and the awards: what the closure has to complete."""
-    return MergedGraph([v.gappy_graph, award_graph(v)])
+    return MergedGraph([v.with_gaps(v.films(), v.cast_rows()), award_graph(v)])
 
 
 def per_class(types: DataFrame) -> DataFrame:

@@ -348,11 +348,15 @@ class DriverViews:
 
     @cached_property
     def gappy_graph(self) -> MappedGraph:
+        """`with_gaps` over stored tables, for questions that read it several times."""
+        return self.with_gaps(cut_lineage(self.films()), cut_lineage(self.cast_rows()))
+
+    def with_gaps(self, films: DataFrame, cast: DataFrame) -> MappedGraph:
         """The lifted graph with statements left out that rules can restore: `hasCastRole` of every 19th movie
         and `starring` of every 17th."""
         left_out = {t.HAS_ROLE: 19, t.STARRING: 17}
         maps = []
-        for m in lift.film_graph(cut_lineage(self.films()), cut_lineage(self.cast_rows()), unique_ids=True).maps:
+        for m in lift.film_graph(films, cast, unique_ids=True).maps:
             rules = []
             for rule in m.rules:
                 if rule.p in left_out:
