@@ -117,14 +117,17 @@ def _closed(pairs: set[tuple[str, str]]) -> set[tuple[str, str]]:
 def joined_closure(pairs: DataFrame) -> DataFrame:
     """The transitive closure of (class, super), which holds each class with itself.
 
-    Paths are joined with paths, so that a chain of n classes takes about log n rounds; what a round found
-    is a written table.
+    A round joins all pairs so far with the pairs of just twice as many steps as the last one's, so that a chain
+    of n classes takes about log n rounds and each pair is found a few times. What a round found is a written table.
     """
     reach = cut_lineage(pairs.distinct())
+    steps = cut_lineage(reach.where("class <> super"))
     size, before = reach.count(), -1
     while size != before:
-        on = reach.select(F.col("class").alias("super"), F.col("super").alias("next"))
-        reach = cut_lineage(reach.join(on, "super").select("class", F.col("next").alias("super")).distinct())
+        on = steps.select(F.col("class").alias("super"), F.col("super").alias("next"))
+        longer = reach.join(on, "super").select("class", F.col("next").alias("super"))
+        reach = cut_lineage(reach.unionByName(longer).distinct())
+        steps = cut_lineage(steps.join(on, "super").select("class", F.col("next").alias("super")).distinct())
         before, size = size, reach.count()
     return reach
 
