@@ -5,7 +5,9 @@ import pytest
 
 from tripleloom.functions import terms as t
 from tripleloom.operators import linking
+from tripleloom.operators.joins import among, key_set
 from tripleloom.sources.constants import constant_rows
+from tripleloom.sources.driver_views import DriverViews
 
 WD, DBR, FR = t.WD, t.DBR, "http://fr.dbpedia.org/resource/"
 ITEM = {"item": "string", "id_property": "string", "id_value": "string", "article": "string"}
@@ -112,6 +114,42 @@ def test_narrow_lookup_is_the_same(spark):
     assert sorted(map(str, wide.collect())) == sorted(map(str, narrow.collect()))
 
 
+def test_key_sets_filter_or_join(spark):
+    """Few keys are listed, more are joined; both give the same rows."""
+    table = constant_rows(spark, {"a": "string"}, [("x",), ("y",), ("x",), (None,)])
+    other = constant_rows(spark, {"b": "string", "n": "long"}, [("x", 1), ("z", 2), (None, 3), ("y", 4), ("x", 5)])
+    few, many = key_set(table, "a"), key_set(table, "a", bound=1)
+    assert few.values == ["x", "y"] and many.values is None
+    for keys in (few, many):
+        assert sorted(r["n"] for r in among(other, "b", keys).collect()) == [1, 4, 5]
+    assert key_set(table.where("a = 'no'"), "a").values == []
+    assert among(other, "b", key_set(table.where("a = 'no'"), "a")).count() == 0
+
+
+def test_facts_of_a_key_set(spark, tiny):
+    """A few subjects become a filter on the key of their names; a large set gives the same facts."""
+    facts = DriverViews(spark, tiny).dbpedia
+    names = ["Order_42", "Order_7", "Order_007", "Order_x", "Person_9", "Person%5F9", "Nobody"]
+    table = constant_rows(spark, {"dbp": "string"}, [(DBR + n,) for n in names])
+    for p in ("budget", "birthDate", "abstract"):
+        few = facts.match_among(t.DBO + p, key_set(table, "dbp"))
+        many = facts.match_among(t.DBO + p, key_set(table, "dbp", bound=2))
+        assert sorted(map(str, few.collect())) == sorted(map(str, many.select(few.columns).collect()))
+    plan = facts.match_among(t.DBO + "budget", key_set(table, "dbp"))._jdf.queryExecution().executedPlan().toString()
+    assert "In(o_orderkey, [42,7])" in plan and "Join" not in plan
+    assert facts.match_among(t.DBO + "budget", key_set(table.where("dbp = ''"), "dbp")).count() == 0
+
+
+def test_narrow_links_with_many_keys(spark, monkeypatch):
+    """Beyond the bound every lookup is a join and finds the same."""
+    some = keys(spark, range(1, 13))
+    few = linking.link(some, items(spark, ITEMS), same(spark, STATEMENTS), narrow=True)
+    monkeypatch.setattr(linking, "key_set", lambda rows, column: key_set(rows, column, bound=1))
+    many = linking.link(some, items(spark, ITEMS), same(spark, STATEMENTS), narrow=True)
+    wide = linking.link(some, items(spark, ITEMS), same(spark, STATEMENTS))
+    assert sorted(map(str, few.collect())) == sorted(map(str, many.collect())) == sorted(map(str, wide.collect()))
+
+
 def test_candidates(spark):
     known = linking.link_by_id(keys(spark, range(1, 13)), items(spark, ITEMS))
     found = linking.link_candidates(linking.expected_names(known), same(spark, STATEMENTS)).collect()

@@ -5,6 +5,8 @@ from tripleloom.functions import terms as t
 from tripleloom.operators import patterns as q
 from tripleloom.operators.lift import StoredGraph
 from tripleloom.sources.constants import constant_triples
+from tripleloom.plans.catalog import named_queries
+from tripleloom.session import cut_lineage
 from tripleloom.sources.driver_views import DriverViews
 
 S = t.XSD_STRING
@@ -103,6 +105,28 @@ def test_a_constant_subject_reaches_the_scan(spark, tiny):
     assert q.describe(views.graph, t.RES + "person/9").count() >= 3
 
 
+def test_patterns_about_one_row_are_one_projection(spark, tiny):
+    """The same solutions as over the stored triples, where every pattern is a scan."""
+    views = DriverViews(spark, tiny)
+    stored = StoredGraph(cut_lineage(views.graph.triples()))
+    film = [("?m", t.TYPE, t.MOVIE), ("?m", t.TITLE, "?title"), ("?m", t.YEAR, "?year")]
+    role = [("?r", t.PLAYED_BY, "?a"), ("?r", t.BILLING, t.integer(1)), ("?r", t.CHARACTER, "?c")]
+    for patterns in (
+        film, role, film + [("?m", t.HAS_ROLE, "?r")] + role, film + [("?m", t.GENRE, t.ONT + "genre_1_urgent")],
+        role + [("?r", t.ROLE_IN, "?m"), ("?m", t.DIRECTOR, "?a")], [("?m", t.TITLE, "?x"), ("?m", t.YEAR, "?x")],
+        [("?r", t.PLAYED_BY, "?a"), ("?r", t.ROLE_IN, "?m"), ("?a", t.NAME, "?n"), ("?r", t.LABEL, t.tagged("no", "en"))],
+        [("?m", t.TITLE, t.text("Order 42")), ("?m", t.TYPE, t.PERSON)], [("?m", t.TITLE, "?v"), ("?m", t.DIRECTOR, "?v")],
+    ):
+        mine, plain = q.bgp(views.graph, patterns), q.bgp(stored, patterns)
+        assert sorted(mine.columns) == sorted(plain.columns)
+        assert mine.exceptAll(plain.select(mine.columns)).count() == 0 and mine.count() == plain.count(), patterns
+    groups, rest = q.stars(views.graph, film + role + [("?m", t.HAS_ROLE, "?r"), ("?a", t.NAME, "?n")])
+    assert [len(g) for g in groups] == [3, 3] and [p for _, p, _ in rest] == [t.HAS_ROLE, t.NAME]
+    assert q.stars(stored, film) == ([], film)
+    plan = named_queries()["bgp_star"](spark, tiny)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 3 and plan.count("orders.parquet") == 1 and "Exchange hashpartitioning" not in plan
+
+
 def test_a_year_reaches_the_scan_as_a_range_of_dates(spark, tiny):
     plan = DriverViews(spark, tiny).movie(after=1995, until=1996)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(o_orderdate" in plan and "LessThan(o_orderdate" in plan

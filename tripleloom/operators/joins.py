@@ -2,8 +2,42 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
+from tripleloom.session import cut_lineage
+
+# A filter lists at most so many keys; a larger set is a table that is joined.
+FEW = 1000
+
+
+@dataclass(frozen=True)
+class KeySet:
+    """Distinct keys of one column, computed and written once.
+
+    `values` lists them where there are at most `bound`, so that they become a filter that reaches the scan; beyond,
+    it is None and the written table is joined. The driver never sees more than `bound` + 1 keys.
+    """
+
+    table: DataFrame
+    column: str
+    values: list | None
+
+
+def key_set(keys: DataFrame, column: str, bound: int = FEW) -> KeySet:
+    """The distinct values of `column`; NULL is no key."""
+    table = cut_lineage(keys.select(column).where(F.col(column).isNotNull()).distinct())
+    found = [row[0] for row in table.limit(bound + 1).collect()]
+    return KeySet(table, column, sorted(found) if len(found) <= bound else None)
+
+
+def among(rows: DataFrame, column: str, keys: KeySet) -> DataFrame:
+    """The rows whose `column` is one of the keys: a filter for few of them, a semi-join for more."""
+    if keys.values is not None:
+        return rows.where(F.col(column).isin(keys.values))
+    return rows.join(keys.table.select(F.col(keys.column).alias(column)), column, "left_semi")
+
 
 def regroup(grouped: DataFrame, keys: list[str]) -> DataFrame:
     """A table with one row per key, made ready for a join with rows that may be skewed on the key.

@@ -18,9 +18,13 @@ from pyspark.sql.types import IntegralType
 
 from tripleloom.functions import terms as t
 from tripleloom.functions.text import slug
+from tripleloom.operators.joins import KeySet, among
 from tripleloom.sources.constants import constant_triples
 
 
+WHOLE_NUMBER = r"0|-?[1-9]\d{0,17}"
+
+
 @dataclass(frozen=True)
 class Rule:
     """One triple per row; `when` keeps it out for rows without the value.
@@ -46,9 +50,25 @@ class Rule:
             return rows.where(self.s == subject)
         rest = subject[len(prefix):]
         if isinstance(rows.schema[key].dataType, IntegralType):
-            return rows.where(F.col(key) == int(rest)) if re.fullmatch(r"0|-?[1-9]\d{0,17}", rest) else None
+            return rows.where(F.col(key) == int(rest)) if re.fullmatch(WHOLE_NUMBER, rest) else None
         return rows.where(F.col(key).cast("string") == rest)
 
+    def about_any(self, rows: DataFrame, subjects: list[str]) -> DataFrame | None:
+        """The rows whose subject is one of a few, None if there can be none."""
+        if self.of is None:
+            return rows.where(self.s.isin(subjects))
+        prefix, key = self.of
+        fitting = [s for s in subjects if s.startswith(prefix)]
+        if not fitting:
+            return None
+        if key is None:
+            return rows.where(self.s.isin(fitting))
+        rests = [s[len(prefix):] for s in fitting]
+        if isinstance(rows.schema[key].dataType, IntegralType):
+            numbers = [int(r) for r in rests if re.fullmatch(WHOLE_NUMBER, r)]
+            return rows.where(F.col(key).isin(numbers)) if numbers else None
+        return rows.where(F.col(key).cast("string").isin(rests))
+
     def columns(self) -> list[Column]:
         return [self.s.alias("s"), F.lit(self.p).alias("p"), *self.o.columns()]
 
@@ -59,6 +79,8 @@ class TripleMap:
     rules: list[Rule]
     # True when no two (row, rule) give the same triple, so that no set-making shuffle is needed.
     unique: bool = False
+    # The ways to mint subjects (`Rule.of`) that give each subject from one row at most.
+    single: frozenset[tuple[str, str | None]] = frozenset()
 
     def triples(self) -> DataFrame:
         made = [
@@ -67,12 +89,14 @@ class TripleMap:
         ]
         return self.rows.select(F.inline(F.array(*made))).where(F.col("s").isNotNull())
 
-    def match(self, p: str, subject: str | None = None) -> list[DataFrame]:
-        """The rows of each rule for a predicate, of one subject where it is given."""
+    def match(self, p: str, subject: str | None = None, subjects: list[str] | None = None) -> list[DataFrame]:
+        """The rows of each rule for a predicate, of one or of a few subjects where they are given."""
         found = []
         for r in self.rules:
             if r.p == p:
                 rows = self.rows if subject is None else r.about(self.rows, subject)
+                if rows is not None and subjects is not None:
+                    rows = r.about_any(rows, subjects)
                 if rows is not None:
                     found.append((rows if r.when is None else rows.where(r.when)).select(*r.columns()))
         return found
@@ -122,6 +146,16 @@ class MappedGraph:
             return constant_triples(self.maps[0].rows.sparkSession, [])
         return union_all(frames)
 
+    def match_among(self, p: str, subjects: KeySet, as_bag: bool = False) -> DataFrame:
+        """Triples of one predicate about the given subjects: few of them become a filter on the key that their
+        names are minted from, more are joined."""
+        if subjects.values is None:
+            return among(self.match(p, as_bag), "s", subjects)
+        own = [d for m in self.maps if m.unique or as_bag for d in m.match(p, subjects=subjects.values)]
+        shared = [d for m in self.maps if not (m.unique or as_bag) for d in m.match(p, subjects=subjects.values)]
+        frames = own + ([as_set(union_all(shared))] if shared else [])
+        return union_all(frames) if frames else constant_triples(self.maps[0].rows.sparkSession, [])
+
 
 class StoredGraph:
     """Triples that are kept in a table, best partitioned by predicate."""
@@ -260,7 +294,8 @@ def movie_map(films: DataFrame, unique: bool = True) -> TripleMap:
     ]
     for kind, p in (("genre", t.GENRE), ("studio", t.STUDIO), ("country", t.COUNTRY)):
         rules.append(Rule(movie, p, t.iri(dimension_iri(kind, F.col(kind))), t.present(F.col(kind))))
-    return TripleMap(films, minted(rules, t.RES + "movie/", "id"), unique)
+    single = frozenset({(t.RES + "movie/", "id")} if unique else ())
+    return TripleMap(films, minted(rules, t.RES + "movie/", "id"), unique, single)
 
 
 def cast_map(cast: DataFrame, unique: bool = True) -> TripleMap:
@@ -279,7 +314,7 @@ def cast_map(cast: DataFrame, unique: bool = True) -> TripleMap:
         Rule(role, t.CHARACTER, t.text(F.col("character")), t.present(F.col("character"))),
     ]
     rules = minted(of_movie, t.RES + "movie/", "movie_id") + minted(of_role, t.RES + "role/", None)
-    return TripleMap(cast, rules, unique)
+    return TripleMap(cast, rules, unique, frozenset({(t.RES + "role/", None)} if unique else ()))
 
 
 def person_maps(films: DataFrame, cast: DataFrame) -> list[TripleMap]:

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from tripleloom.functions import terms as t
 from tripleloom.functions.text import cut_prefix, percent_decode
-from tripleloom.operators.joins import regroup
+from tripleloom.operators.joins import KeySet, among, key_set, regroup
+from tripleloom.session import cut_lineage
 
 # Id property and class of each kind in the authorities.
 ID_PROPERTY = {"movie": "P4947", "person": "P4985"}
@@ -40,23 +41,24 @@ def unambiguous(candidates: DataFrame, key: list[str], fields: list[str]) -> Dat
     )
 
 
-def unambiguous_items(items: DataFrame, only: DataFrame | None = None) -> DataFrame:
+def unambiguous_items(items: DataFrame, only: KeySet | None = None) -> DataFrame:
     """(kind, id, item, article_name) for ids carried by exactly one (item, article). `only` first
-    keeps the items of the given (kind, id): right for a handful of keys."""
+    keeps the items of the given ids: right for a handful of keys."""
+    if only is not None:
+        items = among(items, "id_value", only)
     own = items.select(
         by_kind("id_property", ID_PROPERTY).alias("kind"),
         F.col("id_value").alias("id"),
         "item",
         percent_decode(cut_prefix(F.col("article"), t.ENWIKI)).alias("article_name"),
     ).where(F.col("kind").isNotNull())
-    if only is not None:
-        own = own.join(only.select("kind", "id").distinct(), ["kind", "id"], "left_semi")
     return unambiguous(own, ["kind", "id"], ["item", "article_name"])
 
 
 def link_by_id(keys: DataFrame, items: DataFrame, narrow: bool = False) -> DataFrame:
-    """The keys whose id names exactly one item of the first authority."""
-    found = unambiguous_items(items, keys if narrow else None)
+    """The keys whose id names exactly one item of the first authority. `narrow` first keeps the items of the given
+    keys: right for a handful of keys."""
+    found = unambiguous_items(items, key_set(keys, "id") if narrow else None)
     return keys.join(regroup(found, ["kind", "id"]), ["kind", "id"])
 
 
@@ -125,14 +127,17 @@ def link_choice(expected: DataFrame, same: DataFrame) -> DataFrame:
 def link(keys: DataFrame, items: DataFrame, same: DataFrame, narrow: bool = False) -> DataFrame:
     """Keys with `wikidata` and `dbpedia`, NULL where there is no link.
 
-    `narrow` first keeps the items and statements of the given keys: right for a handful of keys.
+    `narrow` first keeps the items and statements of the given keys: right for a handful of keys. Ids and items
+    are written once each, so that the lookups that follow read a table and do not repeat the plan before them.
 
     One chain of left joins. A key without an item gets its own IRI as a stand-in, which matches no
     statement and keeps the unlinked keys from meeting in one task as NULLs would.
     """
-    own = unambiguous_items(items, keys if narrow else None)
     if narrow:
-        same = same.join(own.select("item").distinct(), "item", "left_semi")
+        own = cut_lineage(unambiguous_items(items, key_set(keys, "id")))
+        same = among(same, "item", key_set(own, "item"))
+    else:
+        own = unambiguous_items(items)
     known = keys.join(regroup(own, ["kind", "id"]), ["kind", "id"], "left").withColumns(
         {
             "found": F.col("item"),
@@ -145,16 +150,17 @@ def link(keys: DataFrame, items: DataFrame, same: DataFrame, narrow: bool = Fals
     )
 
 
-def sharing(seeds: DataFrame, keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
-    """(id, dbp): every key that is linked with one of the resources `seeds` (dbp).
+def sharing(seeds: KeySet, keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
+    """(id, dbp): every key that is linked with one of the resources `seeds`.
 
     Only keys whose item has a statement about such a resource can be, so all others are left out before
     anything is grouped.
     """
-    about = same.select("item", F.coalesce("redirect_target", "res").alias("dbp")).join(seeds, "dbp", "left_semi")
-    ids = items.join(about.select("item").distinct(), "item", "left_semi").select(F.col("id_value").alias("id")).distinct()
-    found = link(keys.join(ids, "id", "left_semi"), items, same, narrow=True)
-    return found.select("id", F.col("dbpedia").alias("dbp")).join(seeds, "dbp", "left_semi").select("id", "dbp")
+    about = among(same.select("item", F.coalesce("redirect_target", "res").alias("dbp")), "dbp", seeds)
+    told = key_set(about, "item")
+    ids = key_set(among(items, "item", told).select(F.col("id_value").alias("id")), "id")
+    found = link(among(keys, "id", ids), items, same, narrow=True)
+    return among(found.select("id", F.col("dbpedia").alias("dbp")), "dbp", seeds)
 
 
 def link_report(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:

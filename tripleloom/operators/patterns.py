@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators.lift import MappedGraph, as_set, union_all
+from tripleloom.operators.lift import MappedGraph, Rule, TripleMap, as_set, union_all
 
 Pattern = tuple[str, str, "str | t.Term"]
 PARTS = {"o": "", "o_kind": "__kind", "o_dt": "__dt", "o_lang": "__lang"}
@@ -66,14 +66,78 @@ def scan(graph, pattern: Pattern, resources: set[str]) -> DataFrame:
     return rows.select(*[c.alias(n) for n, c in out.items()])
 
 
+def _answer(graph: MappedGraph, pattern: Pattern) -> tuple[TripleMap, Rule] | None:
+    """The one rule that alone can answer a pattern, if its map has one row at most for each subject.
+
+    Other rules of the predicate do not count where their object is another constant.
+    """
+    s, p, o = pattern
+    if not is_variable(s) or is_variable(p):
+        return None
+    wanted = None if is_variable(o) else o if isinstance(o, t.Term) else t.iri(o)
+
+    def possible(made: t.Term) -> bool:
+        if wanted is None:
+            return True
+        same = (made.kind, made.dt, made.lang) == (wanted.kind, wanted.dt, wanted.lang)
+        return same and (isinstance(made.value, Column) or made.value == wanted.value)
+
+    found = [(m, r) for m in graph.maps for r in m.rules if r.p == p and possible(r.o)]
+    return found[0] if len(found) == 1 and found[0][1].of in found[0][0].single else None
+
+
+def stars(graph, patterns: list[Pattern]) -> tuple[list[list[tuple[Pattern, TripleMap, Rule]]], list[Pattern]]:
+    """Groups of patterns about one subject that one row answers together, and the patterns left over."""
+    groups: dict[tuple, list[tuple[Pattern, TripleMap, Rule]]] = {}
+    rest = []
+    for pattern in patterns:
+        answer = _answer(graph, pattern) if isinstance(graph, MappedGraph) else None
+        if answer is None:
+            rest.append(pattern)
+        else:
+            groups.setdefault((pattern[0], id(answer[0]), answer[1].of), []).append((pattern, *answer))
+    rest += [g[0][0] for g in groups.values() if len(g) == 1]
+    return [g for g in groups.values() if len(g) > 1], [p for p in patterns if p in rest]
+
+
+def scan_star(star: list[tuple[Pattern, TripleMap, Rule]], resources: set[str]) -> DataFrame:
+    """Solutions of patterns about one subject as a projection of the rows they are mapped from, without a join."""
+    subject, rows = star[0][0][0], star[0][1].rows
+    out: dict[str, Column] = {subject[1:]: star[0][2].s}
+    conditions: list[Column] = [r.when for _, _, r in star if r.when is not None]
+    for (_, _, o), _, rule in star:
+        made = dict(zip(t.OBJECT, rule.o.columns()))
+        if is_variable(o) and o in resources:
+            columns = {o[1:]: made["o"]}
+            conditions += [] if rule.o.kind != "lit" else [F.lit(False)]
+        elif is_variable(o):
+            columns = {o[1:] + end: made[c] for c, end in PARTS.items()}
+        else:
+            term = o if isinstance(o, t.Term) else t.iri(o)
+            columns = {}
+            conditions.append(made["o"] == term.value)
+        for name, column in columns.items():
+            if name in out:
+                conditions.append(out[name] == column)
+            else:
+                out[name] = column
+    for condition in [*conditions, star[0][2].s.isNotNull()]:
+        rows = rows.where(condition)
+    return rows.select(*[c.alias(n) for n, c in out.items()])
+
+
 def bgp(graph, patterns: list[Pattern], resources: set[str] | None = None) -> DataFrame:
     """All solutions of a conjunction of patterns (a bag of bindings).
 
-    `resources` names further variables known to hold IRIs, e.g. those of an outer pattern. A pattern of
+    Patterns about one subject whose triples come from the same row (`stars`) are one projection of the rows; the
+    others are a scan each. `resources` names further variables known to hold IRIs, e.g. those of an outer pattern. A pattern of
     constants only is a condition: without its triple there is no solution.
     """
     known = resource_variables(patterns) | (resources or set())
-    todo = [scan(graph, p, known) for p in patterns]
+    together, alone = stars(graph, patterns)
+    scans = [(patterns.index(g[0][0]), scan_star(g, known)) for g in together]
+    scans += [(patterns.index(p), scan(graph, p, known)) for p in alone]
+    todo = [rows for _, rows in sorted(scans, key=lambda x: x[0])]
     conditions = [d.limit(1).select(F.lit(True).alias("_found")) for d in todo if not d.columns]
     todo = [d for d in todo if d.columns]
     if not todo:

@@ -2,8 +2,8 @@
 
 A remote call per row becomes one join with the extract. Facts are reduced to one row per subject
 before the join wherever the question aggregates them anyway; queries that show every value keep
-the multiplication. A question that starts from one name narrows the extract to the few IRIs it
-needs (`narrow`), one about all movies aggregates the extract first.
+the multiplication. A question that starts from one name finds its few IRIs first and writes them
+once (`key_set`); they filter every extract it needs. One about all movies aggregates the extract first.
 """
 
 from __future__ import annotations
@@ -12,9 +12,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.functions.text import name_of_resource, year_value
-from tripleloom.operators.joins import bind_join
+from tripleloom.operators.joins import KeySet, among, bind_join, key_set, regroup
 from tripleloom.operators.linking import link, link_by_id, sharing
+from tripleloom.operators.lift import MappedGraph, union_all
 from tripleloom.plans.graph_queries import DIRECTOR, FILM, YEAR
+from tripleloom.session import cut_lineage
 from tripleloom.sources.driver_views import DriverViews
 
 WITHOUT_PLACE = "Person 7"
@@ -39,49 +41,50 @@ def item_of(v: DriverViews, people: DataFrame, narrow: bool = True) -> DataFrame
     return link_by_id(v.person_keys(people), v.person_items(), narrow).select(F.col("id").cast("long"), "item")
 
 
-def linked_to(keys: DataFrame, items: DataFrame, same: DataFrame) -> DataFrame:
-    """(dbp): what a handful of keys is linked to."""
-    found = link(keys, items, same, narrow=True)
-    return found.where(F.col("dbpedia").isNotNull()).select(F.col("dbpedia").alias("dbp")).distinct()
+def linked_to(keys: DataFrame, items: DataFrame, same: DataFrame) -> KeySet:
+    """What a handful of keys is linked to."""
+    return key_set(link(keys, items, same, narrow=True), "dbpedia")
 
 
-def movies_of_director(v: DriverViews) -> DataFrame:
-    return v.movie().join(v.directors().where(F.col("name") == DIRECTOR), "director_id").select("movie_id")
+def movies_of_director(v: DriverViews) -> KeySet:
+    who = key_set(v.directors().where(F.col("name") == DIRECTOR), "director_id")
+    return key_set(among(v.movie(), "director_id", who), "movie_id")
 
 
-def seen_by_director(v: DriverViews) -> tuple[DataFrame, DataFrame]:
+def seen_by_director(v: DriverViews) -> tuple[KeySet, DataFrame]:
     """The linked IRIs of the director's movies, and every local movie that shares one of them."""
     keys, items, same = v.movie_keys(), v.movie_items(), v.movie_same()
-    own = keys.join(movies_of_director(v).select(F.col("movie_id").cast("string").alias("id")), "id", "left_semi")
-    seeds = linked_to(own, items, same)
-    back = sharing(seeds, keys, items, same).select(F.col("id").cast("long").alias("movie_id"), "dbp")
-    return seeds, back.join(v.movie(), "movie_id").select("dbp", "title", "year")
+    seeds = linked_to(v.movie_keys(movies_of_director(v)), items, same)
+    back = cut_lineage(sharing(seeds, keys, items, same).select(F.col("id").cast("long").alias("movie_id"), "dbp"))
+    shared = among(v.movie(), "movie_id", key_set(back, "movie_id"))
+    return seeds, back.join(shared, "movie_id").select("dbp", "title", "year")
 
 
-def of_seeds(facts: DataFrame, seeds: DataFrame) -> DataFrame:
-    """The facts about `seeds` (dbp), with the subject as `dbp`."""
-    return facts.withColumnRenamed("s", "dbp").join(seeds, "dbp", "left_semi")
+def of_seeds(facts: MappedGraph, p: str, seeds: KeySet) -> DataFrame:
+    """The facts of one predicate about the seeds, with the subject as `dbp`."""
+    return facts.match_among(p, seeds).withColumnRenamed("s", "dbp")
 
 
 def director_birth(v: DriverViews) -> DataFrame:
     who = v.directors().where(F.col("name").isin(DIRECTOR, WITHOUT_PLACE))
-    items = item_of(v, who.select(F.col("director_id").alias("id")))
+    items = cut_lineage(item_of(v, who.select(F.col("director_id").alias("id"))))
+    own = key_set(items, "item")
     facts = v.wikidata
     labels = english(facts.match(t.LABEL)).select(F.col("s").alias("place"), F.col("o").alias("birthPlace"))
     dates = (
-        bind_join(items, facts.match(t.WDT + "P569"), "item", "born")
+        bind_join(items, facts.match_among(t.WDT + "P569", own), "item", "born")
         .groupBy("id", "item").agg(F.collect_set(F.substring("born", 1, 10)).alias("dates"))
     )
     # the label filter belongs to the optional part: places without an English label do not count
     places = (
-        bind_join(items, facts.match(t.WDT + "P19"), "item", "place").join(labels, "place")
+        bind_join(items, facts.match_among(t.WDT + "P19", own), "item", "place").join(labels, "place")
         .groupBy("id").agg(F.collect_set("birthPlace").alias("places"))
     )
     known = dates.join(places, "id", "left").withColumn(
         "places", F.coalesce("places", F.array(F.lit("(unknown)")))
     ).join(who, F.col("id") == F.col("director_id"))
     return (
-        v.movie().join(known.drop("id", "item"), "director_id")
+        among(v.movie(), "director_id", key_set(items, "id")).join(known.drop("id", "item"), "director_id")
         .groupBy("name", "title", "year")
         .agg(concat_distinct("dates").alias("birthDates"), concat_distinct("places").alias("birthPlaces"))
         .select("name", "birthDates", "birthPlaces", "title", "year").orderBy("year", "title", "name")
@@ -107,10 +110,11 @@ def director_age_at_first(v: DriverViews) -> DataFrame:
 
 def cast_age(v: DriverViews) -> DataFrame:
     film = v.movie().where(F.col("title") == FILM)
-    cast = v.starring(only=film.select("movie_id")).join(film, "movie_id").join(v.actors(), "actor_id")
-    items = item_of(v, cast.select(F.col("actor_id").alias("id")).distinct()).withColumnRenamed("id", "actor_id")
+    cast = cut_lineage(v.starring(only=film.select("movie_id")).join(film, "movie_id").join(v.actors(), "actor_id"))
+    items = cut_lineage(item_of(v, cast.select(F.col("actor_id").alias("id")).distinct()))
+    born = v.wikidata.match_among(t.WDT + "P569", key_set(items, "item"))
     return (
-        bind_join(cast.join(items, "actor_id"), v.wikidata.match(t.WDT + "P569"), "item", "birthDate")
+        bind_join(cast.join(items.withColumnRenamed("id", "actor_id"), "actor_id"), born, "item", "birthDate")
         .select("title", "actor", "birthDate", (F.col("year") - year_value(F.col("birthDate"))).alias("ageAtRelease"))
         .orderBy(F.desc("ageAtRelease"), "actor", "birthDate")
     )
@@ -121,9 +125,9 @@ def budget_and_gross(v: DriverViews) -> DataFrame:
     facts = v.dbpedia
 
     def largest(p: str, name: str) -> DataFrame:
-        return of_seeds(facts.match(p), seeds).groupBy("dbp").agg(F.max(number()).alias(name))
+        return regroup(of_seeds(facts, p, seeds).groupBy("dbp").agg(F.max(number()).alias(name)), ["dbp"])
 
-    labels = of_seeds(english(facts.match(t.LABEL)), seeds).select("dbp", F.col("o").alias("label"))
+    labels = english(of_seeds(facts, t.LABEL, seeds)).select("dbp", F.col("o").alias("label"))
     remote = (
         labels.join(largest(t.DBO + "budget", "budget"), "dbp", "left")
         .join(largest(t.DBO + "gross", "gross"), "dbp", "left")
@@ -165,9 +169,9 @@ def endpoint_probe(v: DriverViews) -> DataFrame:
 def links_exist(v: DriverViews) -> DataFrame:
     seeds, back = seen_by_director(v)
     facts = v.dbpedia
-    named = english(facts.match(t.LABEL)).select(F.col("s").alias("dbp"), F.col("o").alias("label"))
-    moved = facts.match(t.DBO + "wikiPageRedirects").select(F.col("s").alias("dbp"), F.col("o").alias("redirectsTo"))
-    remote = named.unionByName(moved, allowMissingColumns=True).join(seeds, "dbp", "left_semi")
+    named = english(of_seeds(facts, t.LABEL, seeds)).select("dbp", F.col("o").alias("label"))
+    moved = of_seeds(facts, t.DBO + "wikiPageRedirects", seeds).select("dbp", F.col("o").alias("redirectsTo"))
+    remote = named.unionByName(moved, allowMissingColumns=True)
     return (
         back.join(remote, "dbp").select("title", "year", "label", "redirectsTo")
         .orderBy("year", "title", "label", "redirectsTo")
@@ -176,7 +180,7 @@ def links_exist(v: DriverViews) -> DataFrame:
 
 def abstracts(v: DriverViews) -> DataFrame:
     seeds, back = seen_by_director(v)
-    told = of_seeds(english(v.dbpedia.match(t.DBO + "abstract")), seeds).select("dbp", F.col("o").alias("abstract"))
+    told = english(of_seeds(v.dbpedia, t.DBO + "abstract", seeds)).select("dbp", F.col("o").alias("abstract"))
     return (
         back.join(told, "dbp")
         .select("title", "year", F.substring("abstract", 1, 150).alias("start")).orderBy("year", "title", "start")
@@ -185,12 +189,12 @@ def abstracts(v: DriverViews) -> DataFrame:
 
 def cast_birth_year(v: DriverViews) -> DataFrame:
     film = v.movie().where(F.col("title") == FILM)
-    starring = v.starring(only=film.select("movie_id"))
+    starring = cut_lineage(v.starring(only=film.select("movie_id")))
     items, same = v.person_items(), v.person_same()
     cast = v.person_keys(starring.select(F.col("actor_id").alias("id")).distinct())
     seeds = linked_to(cast, items, same)
-    dates = of_seeds(v.dbpedia.match(t.DBO + "birthDate").where(F.col("o_dt") == t.XSD_DATE), seeds)
-    born = dates.groupBy("dbp").agg(F.min(year_value(F.col("o"))).alias("born"))
+    dates = of_seeds(v.dbpedia, t.DBO + "birthDate", seeds).where(F.col("o_dt") == t.XSD_DATE)
+    born = regroup(dates.groupBy("dbp").agg(F.min(year_value(F.col("o"))).alias("born")), ["dbp"])
     links = sharing(seeds, cast, items, same).select(F.col("id").cast("long").alias("actor_id"), "dbp")
     back = links.join(born, "dbp").join(v.actors(), "actor_id").join(starring, "actor_id").join(film, "movie_id")
     return (
@@ -203,13 +207,11 @@ def cast_birth_year(v: DriverViews) -> DataFrame:
 def birthplaces(v: DriverViews) -> DataFrame:
     keys, items, same = v.person_keys(), v.person_items(), v.person_same()
     seeds = linked_to(keys.where(F.col("label") == DIRECTOR), items, same)
-    links = sharing(seeds, keys, items, same)
-    names = keys.select("id", F.col("label").alias("name"))
+    links = cut_lineage(sharing(seeds, keys, items, same))
+    names = among(keys, "id", key_set(links, "id")).select("id", F.col("label").alias("name"))
     facts = v.dbpedia
-    places = facts.match(t.DBO + "birthPlace").unionByName(facts.match(t.DBP + "birthPlace"))
-    found = of_seeds(places, seeds).select(
-        "dbp", name_of_resource(F.col("o"), F.col("o_kind"), t.DBR).alias("place")
-    ).distinct()
+    places = union_all([of_seeds(facts, p, seeds) for p in (t.DBO + "birthPlace", t.DBP + "birthPlace")])
+    found = places.select("dbp", name_of_resource(F.col("o"), F.col("o_kind"), t.DBR).alias("place")).distinct()
     return (
         links.join(found, "dbp").join(names, "id").select("name", "place").distinct()
         .groupBy("name").agg(F.array_join(F.array_sort(F.collect_list("place")), ", ").alias("birthPlaces"))

@@ -19,6 +19,7 @@ from pyspark.sql.types import StructType
 from tripleloom.functions import terms as t
 from tripleloom.operators import lift
 from tripleloom.operators.clean import TOP_CAST, top_cast_rows
+from tripleloom.operators.joins import KeySet, among
 from tripleloom.operators.lift import MappedGraph, Rule, TripleMap
 from tripleloom.operators.linking import link_report
 from tripleloom.operators.ontology import axioms
@@ -169,9 +170,9 @@ class DriverViews:
 
     # --- keys to link ---------------------------------------------------------------------------
 
-    def movie_keys(self) -> DataFrame:
-        key = F.col("o_orderkey")
-        return self.table("orders").select(
+    def movie_keys(self, only: KeySet | None = None) -> DataFrame:
+        key, rows = F.col("o_orderkey"), self.table("orders")
+        return (rows if only is None else among(rows, "o_orderkey", only)).select(
             F.lit("movie").alias("kind"), text_key(key).alias("id"), movie_iri(key).alias("uri"),
             movie_title(key).alias("label"),
         )
@@ -285,7 +286,7 @@ class DriverViews:
         award = [Rule(t.mint(t.WD + "Q", F.col("c_custkey")), t.WDT + "P166", t.iri(t.WD + "Q103360"))]
         return MappedGraph(
             [
-                TripleMap(people, birth, True),
+                TripleMap(people, lift.minted(birth, t.WD + "Q", "k"), True),
                 TripleMap(self.table("nation"), labels, True),
                 TripleMap(self.table("lineitem").select("l_orderkey", "l_shipdate"), shown),
                 TripleMap(holders, award, True),
