@@ -11,12 +11,13 @@ from tripleloom.functions.text import json_cell, slug, strip
 from tripleloom.operators.lift import MappedGraph
 from tripleloom.plans.federated_queries import english
 from tripleloom.plans.graph_queries import DIRECTOR, FILM
-from tripleloom.session import new_table_path
+from tripleloom.session import cut_lineage, new_table_path
 from tripleloom.sources.authority import award_claims
 from tripleloom.sources.driver_views import (
     DriverViews, every, movie_iri, movie_title, person_iri, person_name, text_key,
 )
-from tripleloom.sources.triples_io import read_ntriples, write_ntriples
+from tripleloom.sources.tabular import read_clean_movies, read_csv, read_link_report, result_table, write_csv
+from tripleloom.sources.triples_io import load_graph, read_ntriples, write_ntriples
 
 MIN_VOTES = 4
 
@@ -82,6 +83,26 @@ def clean_top_rated(v: DriverViews) -> DataFrame:
     return clean_movies(raw_movies(v), raw_credits(v), min_votes=MIN_VOTES)
 
 
+def clean_through_csv(v: DriverViews) -> DataFrame:
+    """Movies and credits as CSV files, cleaned, and the clean table as a file that the lift reads.
+
+    The credits come in two files. The first one has the next customer as director of every movie, the second one is
+    right; of several credits of a movie the last one counts.
+    """
+    folder = new_table_path(v.spark)
+    right = raw_credits(v).drop("ordinal")
+    who = F.get_json_object("crew", "$[0]")
+    write_csv(raw_movies(v).drop("ordinal"), f"{folder}/movies")
+    write_csv(right.withColumn("crew", F.concat(F.lit("["), F.replace(who, F.lit("Writer"), F.lit("Director")), F.lit("]"))), f"{folder}/credits/a")
+    write_csv(right, f"{folder}/credits/b")
+    movies = read_csv(v.spark, f"{folder}/movies", ordinal=True, line_breaks=False)
+    credits = read_csv(v.spark, [f"{folder}/credits/a", f"{folder}/credits/b"], ordinal=True, line_breaks=False)
+    write_csv(clean_movies(movies, credits, min_votes=MIN_VOTES, limit=None), f"{folder}/clean")
+    films = lift.split_cast(read_clean_movies(v.spark, f"{folder}/clean"))
+    entries = F.transform("cast", lambda c: F.concat(c["id"], F.lit(" as "), c["character"]))
+    return films.select("id", "title", "year", "director_id", "director_name", "genre", F.array_join(entries, "|").alias("cast"))
+
+
 def clean_top_cast(v: DriverViews) -> DataFrame:
     return v.billed().select("movie_id", "billing_order", "actor_id", "part_id")
 
@@ -230,6 +251,16 @@ def ntriples_roundtrip(v: DriverViews) -> DataFrame:
     )
 
 
+def graph_merge(v: DriverViews) -> DataFrame:
+    """Two files that both name the people, as one graph: a triple of both is one triple."""
+    folder = new_table_path(v.spark)
+    people = cut_lineage(v.graph.match(t.NAME))
+    write_ntriples(people.unionByName(v.graph.match(t.DIRECTOR)), f"{folder}/movies")
+    write_ntriples(people.unionByName(v.graph.match(t.TYPE)), f"{folder}/people")
+    merged = load_graph(v.spark, [f"{folder}/movies", f"{folder}/people"])
+    return merged.groupBy("p").agg(F.count(F.lit(1)).alias("triples"), F.count_distinct("s").alias("subjects"))
+
+
 # --- linking ------------------------------------------------------------------------------------
 
 
@@ -271,6 +302,22 @@ def link_gate(v: DriverViews) -> DataFrame:
     return linking.link_gate(MappedGraph([lift.same_as_map(links.where(~lost))]).match(t.SAME_AS), links, fail=False)
 
 
+def link_report_csv(v: DriverViews) -> DataFrame:
+    """The link report written as CSV and read back, as a result table."""
+    path = new_table_path(v.spark)
+    write_csv(report(v), path)
+    return result_table(read_link_report(v.spark, path))
+
+
+def link_gate_written(v: DriverViews) -> DataFrame:
+    """The gate over what was written: the links in the graph's file and the cells of the report's file."""
+    folder = new_table_path(v.spark)
+    write_csv(v.stored_report, f"{folder}/report")
+    write_ntriples(MappedGraph([lift.same_as_map(v.stored_report)]).triples(), f"{folder}/graph")
+    links = read_ntriples(v.spark, f"{folder}/graph").where(F.col("p") == t.SAME_AS)
+    return linking.link_gate(links, read_link_report(v.spark, f"{folder}/report"))
+
+
 def local_facts(v: DriverViews, rows: DataFrame) -> DataFrame:
     """A short description of each local resource: a movie's year and director; a person's first
     movie as director, else as actor."""

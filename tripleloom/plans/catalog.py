@@ -41,6 +41,7 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("stats_genres", "Movies per genre", p.stats_genres),
     ("stats_top_directors", "Directors with the most movies, by id", p.stats_top_directors),
     ("clean_top_rated", "Cleaned best-rated movies", b.clean_top_rated),
+    ("clean_through_csv", "Cleaning from and to files, credits given twice", b.clean_through_csv),
     ("clean_top_cast", "First-billed cast per movie", b.clean_top_cast),
     ("clean_crew_json", "Director from the crew cell", b.clean_crew_json),
     ("lift_triples", "Lifted triples by predicate", b.lift_triples),
@@ -58,6 +59,7 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("construct_pairs", "New graph from a pattern", b.construct_pairs),
     ("describe_movie", "Triples about a resource", b.describe_movie),
     ("ntriples_roundtrip", "Triples through their text form", b.ntriples_roundtrip),
+    ("graph_merge", "Files with common triples as one graph", b.graph_merge),
     ("link_ids", "People linked by id", b.link_ids),
     ("link_candidates", "Identity candidates", b.link_candidates),
     ("link_choice", "Chosen identities", b.link_choice),
@@ -65,6 +67,8 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("link_report_columns", "Non-empty cells of the link report", p.report_columns),
     ("link_coverage", "Link coverage per kind", b.link_coverage),
     ("link_gate", "Graph links against the report", b.link_gate),
+    ("link_gate_written", "Links of a written graph against a written report", b.link_gate_written),
+    ("link_report_csv", "Link report through its file", b.link_report_csv),
     ("link_sample", "Fixed sample with local facts", b.link_sample),
     ("link_precision", "Precision over a judged sample", b.link_precision),
     ("link_audit", "Outcome of linked IRIs", b.link_audit),
@@ -95,7 +99,8 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("void_properties", "Property partitions", p.void_properties),
     ("void_linksets", "Links per target", p.void_linksets),
     ("void_subjects", "Subjects and entities", p.void_subjects),
-    ("void_dataset", "Counted statements of the description", p.void_dataset),
+    ("void_dataset", "Description of the published files", p.void_dataset),
+    ("void_republished", "Manifest after a second publish", p.void_republished),
     ("bundle", "Publishable graph by predicate", p.bundle),
 ]
 

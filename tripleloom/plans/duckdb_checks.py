@@ -151,6 +151,13 @@ VIEWS: dict[str, str] = {
           ('owl', 'http://www.w3.org/2002/07/owl#'), ('dc', 'http://purl.org/dc/elements/1.1/'),
           ('dbo', 'http://dbpedia.org/ontology/'), ('foaf', 'http://xmlns.com/foaf/0.1/'),
           ('ont', 'http://kg.example/ontology/')) x(short, iri)""",
+    # bytes of a published triple as a line of N-Triples
+    "publine": """
+        SELECT g, p, strlen(s) + strlen(iri) + strlen(p) - strlen(short) - 1 + strlen(o) + 11
+                  + CASE WHEN p IN ('ont:releaseYear', 'ont:billingOrder') THEN 4 + strlen('http://www.w3.org/2001/XMLSchema#integer')
+                         WHEN p = 'rdfs:label' THEN strlen('@en') ELSE 0 END AS bytes
+        FROM pub JOIN prefix ON split_part(p, ':', 1) = short""",
+    "pubfile": "SELECT g, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes FROM publine GROUP BY g",
     # memberships before and after the closure
     "asserted": "SELECT s, o AS class FROM tri WHERE p = 'rdf:type' UNION SELECT s, o FROM awardtri WHERE p = 'rdf:type'",
     "super": """
@@ -183,6 +190,7 @@ VIEWS: dict[str, str] = {
 
 # Triples of the ontology, and how many of them the movie data states as well.
 ONTOLOGY_TRIPLES, SHARED = 115, 4
+XS = "http://www.w3.org/2001/XMLSchema#"
 
 O = "http://kg.example/ontology/"  # noqa: E741
 
@@ -298,6 +306,13 @@ CHECKS: dict[str, str] = {
           SELECT mid, string_agg(CAST(aid AS VARCHAR), '|' ORDER BY bo) AS ids,
                  string_agg('Person ' || aid, '|' ORDER BY bo) AS names, string_agg(ch, '|' ORDER BY bo) AS chs
           FROM role GROUP BY mid) ON mid = id""",
+    "clean_through_csv": """
+        WITH votes AS (SELECT l_orderkey, count(*) AS v FROM lineitem GROUP BY 1)
+        SELECT CAST(id AS VARCHAR) AS id, title, CAST(year AS VARCHAR) AS year, CAST(did AS VARCHAR) AS director_id,
+               dname AS director_name, genre, coalesce(c, '') AS "cast"
+        FROM movie JOIN votes ON id = l_orderkey LEFT JOIN (
+          SELECT mid, string_agg(aid || ' as ' || ch, '|' ORDER BY bo) AS c FROM role GROUP BY mid) ON mid = id
+        WHERE v >= 4 AND id % 97 <> 0""",
     "clean_top_cast": "SELECT mid AS movie_id, bo AS billing_order, aid AS actor_id, pid AS part_id FROM role",
     "clean_crew_json": """SELECT id AS movie_id, CAST(did AS VARCHAR) AS director_id, dname AS director_name
         FROM movie WHERE id % 97 <> 0""",
@@ -380,6 +395,15 @@ CHECKS: dict[str, str] = {
                           ELSE 'found' END AS outcome, count(*) AS links
         FROM report WHERE dbpedia <> '' AND kind = 'movie' GROUP BY ALL
         UNION ALL SELECT 'person', 'not found', count(*) FROM report WHERE dbpedia <> '' AND kind = 'person'""",
+    "link_report_csv": "SELECT * FROM report",
+    "link_gate_written": """
+        SELECT count(*) FILTER (WHERE wikidata <> '') AS graph_wikidata, count(*) FILTER (WHERE wikidata <> '') AS report_wikidata,
+               count(*) FILTER (WHERE dbpedia <> '') AS graph_dbpedia, count(*) FILTER (WHERE dbpedia <> '') AS report_dbpedia,
+               true AS agree FROM report""",
+    "graph_merge": """
+        SELECT iri || substr(p, length(short) + 2) AS p, count(*) AS triples, count(DISTINCT s) AS subjects
+        FROM tri JOIN prefix ON split_part(p, ':', 1) = short
+        WHERE p IN ('foaf:name', 'dbo:director', 'rdf:type') GROUP BY 1""",
     "awards": "SELECT 'http://kg.example/resource/person/' || k AS person FROM holders",
     "award_coverage": "SELECT (SELECT count(*) FROM holders) AS holders, (SELECT count(*) FROM plinked) AS linked",
     "rule_equivalent": f"""SELECT '{O}Movie' AS class, count(*) AS members FROM movie
@@ -472,25 +496,87 @@ CHECKS: dict[str, str] = {
         SELECT CAST(sum(files) AS BIGINT) AS subjects_per_file_sum, count(*) AS subjects_merged,
                CAST(sum(files) AS BIGINT) AS entities_per_file_sum, count(*) AS entities_merged
         FROM (SELECT s, count(DISTINCT g) AS files FROM pub GROUP BY s)""",
-    "void_dataset": """
+    "void_dataset": f"""
         WITH n AS (
           SELECT (SELECT count(*) FROM pub) AS triples, (SELECT count(DISTINCT (g, s)) FROM pub) AS subjects,
                  (SELECT count(DISTINCT o) FROM pub WHERE p = 'rdf:type') AS classes,
-                 (SELECT count(DISTINCT p) FROM pub) AS properties, (SELECT count(*) FROM movie) AS movies)
-        SELECT 'http://kg.example/metadata/' || s AS s, p, o, lang AS o_lang FROM (
-          SELECT 'dataset' AS s, 'http://rdfs.org/ns/void#triples' AS p, CAST(triples AS VARCHAR) AS o, '' AS lang FROM n
-          UNION ALL SELECT 'dataset', 'http://rdfs.org/ns/void#entities', CAST(subjects AS VARCHAR), '' FROM n
-          UNION ALL SELECT 'dataset', 'http://rdfs.org/ns/void#distinctSubjects', CAST(subjects AS VARCHAR), '' FROM n
-          UNION ALL SELECT 'dataset', 'http://rdfs.org/ns/void#classes', CAST(classes AS VARCHAR), '' FROM n
-          UNION ALL SELECT 'dataset', 'http://rdfs.org/ns/void#properties', CAST(properties AS VARCHAR), '' FROM n
-          UNION ALL SELECT 'dataset', 'http://purl.org/dc/terms/description',
-            'Graph of ' || movies || ' movies with their people, roles and places.', 'en' FROM n
-          UNION ALL SELECT 'dataset', 'http://purl.org/dc/terms/description',
-            'Đồ thị gồm ' || movies || ' phim, kèm con người, vai diễn và nơi chốn.', 'vi' FROM n
-          UNION ALL SELECT 'links-' || CASE WHEN o LIKE '%wikidata%' THEN 'wikidata.org' ELSE 'dbpedia.org' END,
-            'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), '' FROM sameas GROUP BY 1
-          UNION ALL SELECT 'file-' || g, 'http://rdfs.org/ns/void#triples', CAST(count(*) AS VARCHAR), ''
-            FROM pub GROUP BY g)""",
+                 (SELECT count(DISTINCT p) FROM pub) AS properties, (SELECT count(*) FROM movie) AS movies),
+        cls AS (SELECT o AS class, count(*) AS n, '_:b' || md5('class' || chr(31) || o) AS b FROM pub
+                WHERE p = 'rdf:type' GROUP BY o),
+        prop AS (SELECT iri || substr(p, length(short) + 2) AS property, count(*) AS n,
+                        '_:b' || md5('property' || chr(31) || iri || substr(p, length(short) + 2)) AS b
+                 FROM pub JOIN prefix ON split_part(p, ':', 1) = short GROUP BY ALL),
+        link AS (SELECT CASE WHEN o LIKE '%wikidata%' THEN 'wikidata.org' ELSE 'dbpedia.org' END AS target, count(*) AS n
+                 FROM sameas GROUP BY 1),
+        voc AS (SELECT short, iri FROM prefix UNION ALL SELECT * FROM (VALUES ('void', 'http://rdfs.org/ns/void#'),
+                  ('dct', 'http://purl.org/dc/terms/'), ('dcat', 'http://www.w3.org/ns/dcat#'),
+                  ('prov', 'http://www.w3.org/ns/prov#')) x(short, iri)),
+        -- objects: '#' local, 'iri' absolute, 'lit' text, 'int' and 'day' typed, else the language
+        said(s, p, o, kind) AS (
+          SELECT * FROM (VALUES
+            ('#dataset', 'rdf:type', 'http://rdfs.org/ns/void#Dataset', 'iri'), ('#dataset', 'rdf:type', 'http://www.w3.org/ns/dcat#Dataset', 'iri'),
+            ('#dataset', 'dct:title', 'Orders told as films', 'en'),
+            ('#dataset', 'dct:license', 'https://creativecommons.org/licenses/by/4.0/', 'iri'),
+            ('#dataset', 'dct:publisher', 'keepers', '#'), ('#dataset', 'dct:source', 'order-tables', '#'),
+            ('#dataset', 'dcat:keyword', 'order tables', 'en'), ('#dataset', 'void:uriSpace', 'http://kg.example/resource/', 'lit'),
+            ('#dataset', 'void:exampleResource', 'http://kg.example/resource/movie/7', 'iri'),
+            ('#dataset', 'void:vocabulary', 'http://kg.example/ontology/', 'iri'), ('#dataset', 'void:vocabulary', 'http://xmlns.com/foaf/0.1/', 'iri'),
+            ('#dataset', 'void:vocabulary', 'http://schema.org/', 'iri'), ('#dataset', 'void:vocabulary', 'http://dbpedia.org/ontology/', 'iri'),
+            ('#dataset', 'void:vocabulary', 'http://purl.org/dc/elements/1.1/', 'iri'),
+            ('#keepers', 'rdf:type', 'http://xmlns.com/foaf/0.1/Organization', 'iri'),
+            ('#keepers', 'foaf:name', 'Keepers of the order tables', 'lit'),
+            ('#order-tables', 'rdf:type', 'http://www.w3.org/ns/dcat#Dataset', 'iri'),
+            ('#order-tables', 'dct:title', 'Orders, lineitems, customers, suppliers and parts', 'en'),
+            ('https://www.wikidata.org/', 'dct:license', 'https://creativecommons.org/publicdomain/zero/1.0/', 'iri'),
+            ('https://dbpedia.org/', 'dct:license', 'https://creativecommons.org/licenses/by-sa/3.0/', 'iri'),
+            ('#dataset', 'prov:wasGeneratedBy', 'run', '#'), ('#run', 'rdf:type', 'http://www.w3.org/ns/prov#Activity', 'iri'),
+            ('#run', 'prov:used', 'order-tables', '#'),
+            ('#dataset', 'dct:created', '2026-01-01', 'day'), ('#dataset', 'dct:modified', '2026-01-01', 'day'),
+            ('#links-wikidata.org', 'void:objectsTarget', 'https://www.wikidata.org/', 'iri'),
+            ('#links-dbpedia.org', 'void:objectsTarget', 'https://dbpedia.org/', 'iri')) x(s, p, o, kind)
+          UNION ALL SELECT '#dataset', 'void:subset', 'links-' || target, '#' FROM link
+          UNION ALL SELECT '#links-' || target, 'rdf:type', 'http://rdfs.org/ns/void#Linkset', 'iri' FROM link
+          UNION ALL SELECT '#links-' || target, 'void:linkPredicate', 'http://www.w3.org/2002/07/owl#sameAs', 'iri' FROM link
+          UNION ALL SELECT '#links-' || target, 'void:subjectsTarget', 'dataset', '#' FROM link
+          UNION ALL SELECT '#links-' || target, 'void:triples', CAST(n AS VARCHAR), 'int' FROM link
+          UNION ALL SELECT '#dataset', 'void:triples', CAST(triples AS VARCHAR), 'int' FROM n
+          UNION ALL SELECT '#dataset', 'void:entities', CAST(subjects AS VARCHAR), 'int' FROM n
+          UNION ALL SELECT '#dataset', 'void:distinctSubjects', CAST(subjects AS VARCHAR), 'int' FROM n
+          UNION ALL SELECT '#dataset', 'void:classes', CAST(classes AS VARCHAR), 'int' FROM n
+          UNION ALL SELECT '#dataset', 'void:properties', CAST(properties AS VARCHAR), 'int' FROM n
+          UNION ALL SELECT '#dataset', 'dct:description', 'Graph of ' || movies || ' movies with their people, roles and places.', 'en' FROM n
+          UNION ALL SELECT '#dataset', 'dct:description', 'Đồ thị gồm ' || movies || ' phim, kèm con người, vai diễn và nơi chốn.', 'vi' FROM n
+          UNION ALL SELECT '#dataset', 'void:classPartition', b, 'bnode' FROM cls
+          UNION ALL SELECT b, 'void:class', class, 'iri' FROM cls
+          UNION ALL SELECT b, 'void:entities', CAST(n AS VARCHAR), 'int' FROM cls
+          UNION ALL SELECT '#dataset', 'void:propertyPartition', b, 'bnode' FROM prop
+          UNION ALL SELECT b, 'void:property', property, 'iri' FROM prop
+          UNION ALL SELECT b, 'void:triples', CAST(n AS VARCHAR), 'int' FROM prop
+          UNION ALL SELECT '#dataset', 'dcat:distribution', 'file-' || g, '#' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'rdf:type', 'http://www.w3.org/ns/dcat#Distribution', 'iri' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dct:title', g, 'lit' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dct:format', 'application/n-triples', 'lit' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dcat:mediaType', 'https://www.iana.org/assignments/media-types/application/n-triples', 'iri' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dcat:accessURL', 'http://kg.example/films/' || g, 'iri' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dcat:downloadURL', 'http://kg.example/films/raw/' || g, 'iri' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dcat:byteSize', CAST(bytes AS VARCHAR), 'size' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'dct:license', 'https://creativecommons.org/licenses/by/4.0/', 'iri' FROM pubfile
+          UNION ALL SELECT '#file-' || g, 'void:triples', CAST(n AS VARCHAR), 'int' FROM pubfile)
+        SELECT CASE WHEN s[1] = '#' THEN 'http://kg.example/metadata/' || s[2:] ELSE s END AS s,
+               iri || substr(p, length(short) + 2) AS p,
+               CASE WHEN kind = '#' THEN 'http://kg.example/metadata/' || o ELSE o END AS o,
+               CASE kind WHEN '#' THEN 'iri' WHEN 'iri' THEN 'iri' WHEN 'bnode' THEN 'bnode' ELSE 'lit' END AS o_kind,
+               CASE kind WHEN 'lit' THEN '{XS}string' WHEN 'int' THEN '{XS}integer' WHEN 'day' THEN '{XS}date'
+                         WHEN 'size' THEN '{XS}nonNegativeInteger' ELSE '' END AS o_dt,
+               CASE WHEN kind IN ('en', 'vi') THEN kind ELSE '' END AS o_lang
+        FROM said JOIN voc ON split_part(p, ':', 1) = short""",
+    "void_republished": """
+        WITH part AS (SELECT p <> 'rdfs:label' AS early, count(*) AS n, CAST(sum(bytes) AS BIGINT) AS bytes
+                      FROM publine WHERE g = 'awards' GROUP BY 1)
+        SELECT 1::BIGINT AS version, 'awards' AS g, n AS triples, bytes, '2026-01-01' AS created, '2026-01-01' AS modified,
+               (SELECT CAST(sum(n) AS BIGINT) FROM part) AS triples_read FROM part WHERE early
+        UNION ALL SELECT 2, 'awards', CAST(sum(n) AS BIGINT), CAST(sum(bytes) AS BIGINT), '2026-01-01', '2026-02-01',
+               CAST(sum(n) AS BIGINT) FROM part""",
     "bundle": """
         SELECT CASE WHEN short IS NULL THEN p ELSE iri || substr(p, length(short) + 2) END AS p,
                CAST(sum(n) AS BIGINT) AS triples

@@ -11,7 +11,7 @@ QUOTED = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 
 def read_csv(
-    spark: SparkSession, path: str, columns: list[str] | None = None, ordinal: bool = False, line_breaks: bool = True
+    spark: SparkSession, path: str | list[str], columns: list[str] | None = None, ordinal: bool = False, line_breaks: bool = True
 ) -> DataFrame:
     """All columns as text, quoted cells of any length.
 

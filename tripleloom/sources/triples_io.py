@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators.lift import StoredGraph, as_set, union_all
@@ -113,8 +113,12 @@ def read_graphs(spark: SparkSession, files: dict[str, str]) -> DataFrame:
     return union_all(parts).dropDuplicates(["g", *t.TERM])
 
 
-def write_ntriples(triples: DataFrame, path: str) -> None:
-    to_lines(triples).write.text(path)
+def write_ntriples(triples: DataFrame, path: str, counted: Observation | None = None) -> None:
+    """Lines of text, in parallel. `counted` gets the number of `triples` from the same pass."""
+    lines = to_lines(triples)
+    if counted is not None:
+        lines = lines.observe(counted, F.count(F.lit(1)).alias("triples"))
+    lines.write.text(path)
 
 
 def write_table(triples: DataFrame, path: str) -> None:
