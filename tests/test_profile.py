@@ -5,8 +5,10 @@ from pyspark.sql import functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators import profile
+from tripleloom.operators.lift import MappedGraph, StoredGraph, award_map, union_all
 from tripleloom.plans.profile_queries import DESCRIPTION
 from tripleloom.sources.constants import constant_rows, constant_triples
+from tripleloom.sources.driver_views import DriverViews
 
 A = [("s1", t.TYPE, t.MOVIE), ("s2", t.TYPE, t.MOVIE), ("s1", t.SAME_AS, t.WD + "Q1"), ("s1", t.SAME_AS, t.DBR + "X"),
      (t.RES + "p", t.TYPE, t.PERSON)]
@@ -63,6 +65,28 @@ def test_metadata_graph(spark, graphs):
     assert (first.created, first.modified) == ("2026-02-02", "2026-02-02")
 
 
+def test_counts_without_making_the_triples(spark, tiny):
+    """Rules counted on their rows give what counting and merging the triples gives."""
+    v = DriverViews(spark, tiny)
+    graph = MappedGraph([*v.graph.maps, *award_map(v.people().select(t.mint(t.RES + "person/", F.col("id")).alias("person")), "genre_x", "X")])
+    asked = {tuple(r) for r in graph.predicate_counts().collect()}
+    assert asked == {tuple(r) for r in graph.triples().groupBy("p").count().collect()}
+    own = [(t.ONT + "genre_5_low", t.TYPE, t.ONT + "Genre", "iri", "", ""), (t.ONT + "genre_5_low", t.LABEL, "5-LOW", "lit", "", "en"),
+           (t.RES + "movie/42", t.TYPE, t.MOVIE, "iri", "", ""), (t.RES + "movie/42", t.TITLE, "Order 42", "lit", "", "en")]
+    two = StoredGraph(constant_triples(spark, own))
+    three = StoredGraph(constant_triples(spark, own[2:] + [("x", "only", "y", "iri", "", "")]))
+    files = {"graph": graph, "two": two, "three": three}
+    spelled = [g.triples().withColumn("g", F.lit(name)) for name, g in files.items()]
+    expected = profile.triple_totals(union_all(spelled)).first()
+    assert tuple(profile.merged_totals(files).first()) == tuple(expected)
+    assert expected["per_file_sum"] - expected["merged"] == 3 + 2
+    alone = {"three": three, "none": StoredGraph(constant_triples(spark, []))}
+    assert tuple(profile.merged_totals(alone).first()) == (3, 3)
+    counted = graph.predicate_counts()._jdf.queryExecution().executedPlan().toString()
+    movies = next(line for line in counted.split("\n") if "count_if" in line or "count(if" in line or "partial_count" in line)
+    assert "concat(http://kg.example/resource/movie/" not in movies
+
+
 def test_bundle_has_one_header(spark, graphs):
     header = constant_triples(spark, [(x, t.TYPE, t.OWL + "Ontology", "iri", "", "") for x in ("o1", "o2")])
     made = profile.bundle([graphs.drop("g"), header], "all")

@@ -128,6 +128,24 @@ class MappedGraph:
     def __init__(self, maps: list[TripleMap]):
         self.maps = maps
 
+    def predicate_counts(self) -> DataFrame:
+        """(p, triples): the size of each predicate.
+
+        Where every rule of a row gives a triple of its own, the rules are counted and no term is made; only the
+        maps that repeat triples have to make them distinct first.
+        """
+        counted = []
+        for m in self.maps:
+            if m.unique:
+                there = [r.s.isNotNull() if r.when is None else r.when & r.s.isNotNull() for r in m.rules]
+                sums = m.rows.agg(*[F.count_if(x).alias(f"_{i}") for i, x in enumerate(there)])
+                pairs = [F.struct(F.lit(r.p).alias("p"), F.col(f"_{i}").alias("triples")) for i, r in enumerate(m.rules)]
+                counted.append(sums.select(F.inline(F.array(*pairs))))
+        shared = [m.triples() for m in self.maps if not m.unique]
+        if shared:
+            counted.append(as_set(union_all(shared)).groupBy("p").agg(F.count(F.lit(1)).alias("triples")))
+        return union_all(counted).groupBy("p").agg(F.sum("triples").alias("triples")).where(F.col("triples") > 0)
+
     def triples(self) -> DataFrame:
         own = [m.triples() for m in self.maps if m.unique]
         shared = [m.triples() for m in self.maps if not m.unique]
@@ -170,6 +188,12 @@ class StoredGraph:
         rows = self.stored if p is None else self.stored.where(F.col("p") == p)
         return (rows if subject is None else rows.where(F.col("s") == subject)).select(*t.TERM)
 
+    def match_among(self, p: str, subjects: KeySet, as_bag: bool = False) -> DataFrame:
+        return among(self.match(p, as_bag), "s", subjects)
+
+    def predicate_counts(self) -> DataFrame:
+        return self.stored.groupBy("p").agg(F.count(F.lit(1)).alias("triples"))
+
 
 class MergedGraph:
     """Several graphs as one: the set union of their triples."""
@@ -362,13 +386,10 @@ def award_map(winners: DataFrame, award: str, label: str) -> list[TripleMap]:
     """`hasAward` per winner (column `person`) and the award's own node."""
     node = F.lit(t.ONT + award)
     one = winners.sparkSession.range(1)
+    about = [Rule(node, t.TYPE, t.iri(t.ONT + "Award")), Rule(node, t.LABEL, t.tagged(label, "en"))]
     return [
         TripleMap(winners, [Rule(F.col("person"), t.HAS_AWARD, t.iri(t.ONT + award))], True),
-        TripleMap(
-            one,
-            [Rule(node, t.TYPE, t.iri(t.ONT + "Award")), Rule(node, t.LABEL, t.tagged(label, "en"))],
-            True,
-        ),
+        TripleMap(one, minted(about, t.ONT + award, None), True),
     ]
 
 

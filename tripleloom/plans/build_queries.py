@@ -8,6 +8,7 @@ from tripleloom.functions import terms as t
 from tripleloom.operators import lift, linking, patterns
 from tripleloom.operators.clean import CREW, clean_movies, directors_of_cell
 from tripleloom.functions.text import json_cell, slug, strip
+from tripleloom.operators.joins import among, key_set
 from tripleloom.operators.lift import MappedGraph
 from tripleloom.plans.federated_queries import english
 from tripleloom.plans.graph_queries import DIRECTOR, FILM
@@ -319,20 +320,26 @@ def link_gate_written(v: DriverViews) -> DataFrame:
 
 
 def local_facts(v: DriverViews, rows: DataFrame) -> DataFrame:
-    """A short description of each local resource: a movie's year and director; a person's first
-    movie as director, else as actor."""
-    movies = v.movie().join(v.directors(), "director_id")
+    """A short description of each local resource of a small table: a movie's year and director; a person's first
+    movie as director, else as actor. Only the movies and people of `rows` are looked up."""
+    number = F.substring_index("uri", "/", -1).cast("long")
+    films = key_set(rows.where(F.col("kind") == "movie").select(number.alias("id")), "id")
+    people = key_set(rows.where(F.col("kind") == "person").select(number.alias("id")), "id")
+    movies = among(v.movie(), "movie_id", films).join(v.directors(), "director_id")
     about_movie = movies.select(
         movie_iri(F.col("movie_id")).alias("uri"),
         F.concat(F.col("year").cast("string"), F.lit(", directed by "), F.col("name")).alias("facts"),
     )
-    directed = v.movie().select(F.col("director_id").alias("pid"), F.lit(1).alias("rank"), "movie_id")
-    acted = v.billed().select(F.col("actor_id").alias("pid"), F.lit(2).alias("rank"), "movie_id")
-    first = (
+    directed = among(v.movie(), "director_id", people).select(F.col("director_id").alias("pid"), F.lit(1).alias("rank"), "movie_id")
+    acted = among(v.billed(only=v.movies_with(people)), "actor_id", people).select(
+        F.col("actor_id").alias("pid"), F.lit(2).alias("rank"), "movie_id"
+    )
+    first = cut_lineage(
         directed.unionByName(acted).groupBy("pid")
         .agg(F.min(F.struct("rank", movie_iri(F.col("movie_id")).alias("iri"), "movie_id")).alias("m"))
-        .select("pid", "m.rank", "m.movie_id").join(v.movie(), "movie_id")
+        .select("pid", "m.rank", "m.movie_id")
     )
+    first = first.join(among(v.movie(), "movie_id", key_set(first, "movie_id")), "movie_id")
     role = F.when(F.col("rank") == 1, "director of ").otherwise("actor of ")
     about_person = first.select(
         person_iri(F.col("pid")).alias("uri"),
@@ -344,7 +351,7 @@ def local_facts(v: DriverViews, rows: DataFrame) -> DataFrame:
 
 
 def link_sample(v: DriverViews) -> DataFrame:
-    sample = linking.fixed_sample(linking.linked_only(report(v)), "kind", "uri")
+    sample = cut_lineage(linking.fixed_sample(linking.linked_only(report(v)), "kind", "uri"))
     return local_facts(v, sample).select("kind", "uri", "label", F.col("facts").alias("local_facts"), "wikidata", "dbpedia")
 
 

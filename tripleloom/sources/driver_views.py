@@ -120,6 +120,11 @@ class DriverViews:
             F.col("rank").cast("long").alias("billing_order"),
         )
 
+    def movies_with(self, people: KeySet) -> DataFrame:
+        """(movie_id): the movies that name one of the people in a line, distinct."""
+        lines = among(self.table("lineitem").select("l_orderkey", "l_suppkey"), "l_suppkey", people)
+        return lines.select(F.col("l_orderkey").alias("movie_id")).distinct()
+
     def with_character(self, roles: DataFrame) -> DataFrame:
         parts = self.table("part").select(
             F.col("p_partkey").alias("part_id"),
