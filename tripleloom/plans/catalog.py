@@ -95,6 +95,7 @@ ENTRIES: list[tuple[str, str, Callable[[DriverViews], DataFrame]]] = [
     ("rule_closure_equal", "Members per class with one name for each individual", r.rule_closure_equal),
     ("rule_equal_names", "Individuals of several names", r.rule_equal_names),
     ("rule_explain", "Given triples behind each clash", r.rule_explain),
+    ("bundle_with_bad_record", "Closure while a bad record comes and goes", r.bundle_with_bad_record),
     ("void_classes", "Class partitions", p.void_classes),
     ("void_properties", "Property partitions", p.void_properties),
     ("void_linksets", "Links per target", p.void_linksets),

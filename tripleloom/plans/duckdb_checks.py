@@ -461,6 +461,19 @@ CHECKS: dict[str, str] = {
           UNION SELECT d, '{O}ActorDirector' FROM acting
           UNION SELECT 'http://kg.example/resource/person/' || k, '{O}AwardWinningDirector' FROM holders
                 WHERE k IN (SELECT did FROM movie)) GROUP BY class""",
+    "bundle_with_bad_record": f"""
+        WITH counted AS (SELECT class, count(*) AS members FROM (
+          SELECT s, class FROM closed
+          UNION SELECT s, CASE genre WHEN '1-URGENT' THEN '{O}ActionMovie' ELSE '{O}ComedyMovie' END
+                FROM node WHERE genre IN ('1-URGENT', '5-LOW')
+          UNION SELECT d, '{O}ActorDirector' FROM acting
+          UNION SELECT 'http://kg.example/resource/person/' || k, '{O}AwardWinningDirector' FROM holders
+                WHERE k IN (SELECT did FROM movie)) GROUP BY class),
+        steps AS (SELECT * FROM (VALUES ('first', 0), ('with the bad record', 1), ('mended', 0)) x(step, bad)),
+        more AS (SELECT * FROM (VALUES ('http://schema.org/Movie'), ('{O}Movie'), ('{O}ActionMovie'), ('{O}ComedyMovie')) x(class))
+        SELECT step, class, members + CASE WHEN class IN (SELECT class FROM more) THEN bad ELSE 0 END AS members
+        FROM counted, steps
+        UNION ALL SELECT step, 'http://www.w3.org/2002/07/owl#Nothing', bad FROM steps WHERE bad > 0""",
     "rule_closure_equal": f"""
         WITH RECURSIVE {{NAMES}},
         acts AS (SELECT m, a FROM rolenode UNION SELECT m, a FROM lines),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators import closure, inference, lift
+from tripleloom.operators import closure, inference, lift, upkeep
 from tripleloom.operators.joins import set_difference_counts
 from tripleloom.operators.lift import MappedGraph, MergedGraph, Rule, TripleMap
 from tripleloom.operators.ontology import axioms
 from tripleloom.plans.build_queries import stored_winners
 from tripleloom.session import cut_lineage
+from tripleloom.sources.constants import constant_triples
 from tripleloom.sources.driver_views import DriverViews, movie_iri, person_iri
 
 AWARD, AWARD_LABEL = "award_best_director", "Academy Award for Best Director"
@@ -205,6 +206,29 @@ def rule_explain(v: DriverViews) -> DataFrame:
     return found.explain(sides).select("of.left_class", "of.right_class", "s", "p", "o")
 
 
+def bad_record(v: DriverViews) -> DataFrame:
+    """A movie in two genres that make it a member of two disjoint classes."""
+    movie = t.RES + "movie/bad-record"
+    genres = [(movie, t.GENRE, t.ONT + g, "iri", "", "") for g in ("genre_1_urgent", "genre_5_low")]
+    return constant_triples(v.spark, [(movie, t.TYPE, t.MOVIE, "iri", "", ""), (movie, t.TITLE, "Bad record", "lit", t.XSD_STRING, ""), *genres])
+
+
+def bundle_with_bad_record(v: DriverViews) -> DataFrame:
+    """Members per class of the bundle, with the bad record and after it is taken out again. Members of two disjoint
+    classes are members of the empty class."""
+    empty = t.OWL + "Nothing"
+
+    def told(step: str, found: closure.Closure) -> DataFrame:
+        types = cut_lineage(found.types().where(F.startswith("class", F.lit(t.ONT)) | F.col("class").isin(t.MOVIE, t.PERSON)))
+        clashes = inference.disjoint_clashes(types, v.axioms).select("s", F.lit(empty).alias("class")).distinct()
+        return per_class(types.unionByName(clashes)).select(F.lit(step).alias("step"), "class", "members")
+
+    first = closure.close(with_awards(v), v.axioms)
+    bad = upkeep.extended(first, bad_record(v), v.axioms)
+    mended = upkeep.without(bad, bad_record(v), v.axioms)
+    return lift.union_all([told("first", first), told("with the bad record", bad), told("mended", mended)])
+
+
 def rule_members(v: DriverViews) -> DataFrame:
     """Local members of the reported classes, in order."""
     return inference.members(reported_types(v), REPORTED).orderBy("class", "s")
