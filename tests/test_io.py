@@ -1,5 +1,5 @@
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators import profile
@@ -96,3 +96,14 @@ def test_authority_filters_reach_the_scan(spark, tmp_path):
     assert [r["item"] for r in read.collect()] == ["i1"]
     assert "PushedFilters: [In(id_property" in read._jdf.queryExecution().executedPlan().toString() or (
         "EqualTo(id_property" in read._jdf.queryExecution().executedPlan().toString())
+
+
+def test_compressed_text_takes_little_disk(spark, tmp_path):
+    rows = [(f"http://x/s{i}", "http://x/p", f"http://x/o{i % 7}", "iri", "", "") for i in range(20000)]
+    triples = constant_triples(spark, rows).repartition(4)
+    told = Observation()
+    triples_io.write_ntriples(triples, str(tmp_path / "nt"), told, "gzip")
+    lines = sum(len(f"<{s}> <{p}> <{o}> .\n") for s, p, o, *_ in rows)
+    assert told.get == {"triples": len(rows), "bytes": lines}
+    assert sorted(map(tuple, triples_io.read_ntriples(spark, str(tmp_path / "nt")).collect())) == sorted(rows)
+    assert profile.file_sizes(spark, str(tmp_path / "nt")).agg(F.sum("bytes")).first()[0] * 5 < lines
