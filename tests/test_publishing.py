@@ -33,3 +33,11 @@ def test_a_failed_publish_changes_nothing(spark, tmp_path):
         publishing.publish(spark, {"a": table.limit(1), "b": broken}, folder, "2026-02-02")
     assert publishing.manifest(spark, folder).count() == 1
     assert publishing.read_published(spark, folder).count() == 3
+
+
+def test_published_files_are_stored_compressed(spark, tmp_path):
+    rows = [(f"http://x/s{i}", "http://x/p", "o", "lit", "", "en") for i in range(20000)]
+    one = publishing.publish(spark, {"a": constant_triples(spark, rows)}, str(tmp_path / "out"), "2026-01-01").first()
+    assert one["bytes"] == sum(len(f'<{s}> <{p}> "{o}"@en .\n') for s, p, o, *_ in rows)
+    assert one["stored_bytes"] * 5 < one["bytes"]
+    assert sorted(tuple(r) for r in publishing.read_published(spark, str(tmp_path / "out")).select(*t.TERM).collect()) == sorted(rows)

@@ -17,13 +17,16 @@ from tripleloom.sources.triples_io import read_graphs, write_ntriples
 
 MANIFEST = {
     "version": "long", "g": "string", "path": "string", "triples": "long", "bytes": "long",
-    "created": "string", "modified": "string",
+    "stored_bytes": "long", "created": "string", "modified": "string",
 }
 
 
 def manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """All that was published under `folder`, one row for each version and file. Without a publish it is an error."""
-    return spark.read.parquet(f"{folder}/manifest").select(*MANIFEST)
+    """All that was published under `folder`, one row for each version and file. Without a publish it is an error.
+
+    Versions from before `stored_bytes` was kept have none."""
+    columns = ", ".join(f"{c} {'bigint' if k == 'long' else k}" for c, k in MANIFEST.items())
+    return spark.read.schema(columns).parquet(f"{folder}/manifest")
 
 
 def latest(entries: DataFrame) -> DataFrame:
@@ -35,8 +38,9 @@ def latest(entries: DataFrame) -> DataFrame:
 def publish(spark: SparkSession, graphs: dict[str, DataFrame], folder: str, today: str) -> DataFrame:
     """Write a new version of the graphs (each a set of triples) and return its part of the manifest.
 
-    Triples are counted while they are written, bytes are those of the written files. `created` of a file is the day
-    of its first publish, `modified` the day of this one.
+    Files are kept gzip-compressed. Triples and the bytes of their lines, which are what a reader of the N-Triples gets,
+    are counted while they are written; `stored_bytes` are those of the compressed files. `created` of a file is the
+    day of its first publish, `modified` the day of this one.
     """
     # adds no row, but makes the manifest where there is none
     constant_rows(spark, MANIFEST, []).write.mode("append").parquet(f"{folder}/manifest")
@@ -48,10 +52,11 @@ def publish(spark: SparkSession, graphs: dict[str, DataFrame], folder: str, toda
     for g, triples in graphs.items():
         path = f"{folder}/v{version}-{uuid.uuid4().hex}/{g}"
         counted = Observation()
-        write_ntriples(triples, path, counted)
-        rows.append((version, g, path, counted.get["triples"], first.get(g, today), today))
-        sizes.append(file_sizes(spark, path).agg(F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).select(F.lit(g).alias("g"), "bytes"))
-    named = {c: k for c, k in MANIFEST.items() if c != "bytes"}
+        write_ntriples(triples, path, counted, "gzip")
+        rows.append((version, g, path, counted.get["triples"], counted.get["bytes"], first.get(g, today), today))
+        stored = F.coalesce(F.sum("bytes"), F.lit(0)).alias("stored_bytes")
+        sizes.append(file_sizes(spark, path).agg(stored).select(F.lit(g).alias("g"), "stored_bytes"))
+    named = {c: k for c, k in MANIFEST.items() if c != "stored_bytes"}
     made = constant_rows(spark, named, rows).join(union_all(sizes), "g").select(*MANIFEST)
     made.coalesce(1).write.mode("append").parquet(f"{folder}/manifest")
     return manifest(spark, folder).where(F.col("version") == version)
