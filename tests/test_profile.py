@@ -7,6 +7,7 @@ from tripleloom.functions import terms as t
 from tripleloom.operators import profile
 from tripleloom.operators.lift import MappedGraph, StoredGraph, award_map, union_all
 from tripleloom.plans.profile_queries import DESCRIPTION
+from tripleloom.session import bounded_reads
 from tripleloom.sources.constants import constant_rows, constant_triples
 from tripleloom.sources.driver_views import DriverViews
 
@@ -100,3 +101,24 @@ def test_published_numbers_add_up():
     assert sum(classes.values()) == 2483
     assert 250 * 6 + 750 * 6 + 672 + 2483 + 1832 + 32 + 883 == 11902
     assert 11902 + 115 - 4 == 12013
+
+
+def test_bundle_has_no_set_in_the_map_tasks(spark):
+    """Triples are dealt out before they are made distinct."""
+    rows = [(f"http://x/s{i}", "http://x/p", "o", "lit", "", "en") for i in range(5)]
+    made = profile.bundle([constant_triples(spark, rows), constant_triples(spark, rows)], "b")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert "Aggregate" not in plan[plan.index("Exchange hashpartitioning"):]
+    assert made.count() == 6
+
+
+def test_bounded_reads(spark):
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        for given, held in (("64m", "16m"), ("67108864b", "16m"), ("8m", "8m"), ("1g", "16m"), ("1000", "1000")):
+            spark.conf.set(name, given)
+            bounded_reads(spark)
+            assert spark.conf.get(name) == held
+    finally:
+        spark.conf.set(name, before)
