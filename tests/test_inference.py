@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators import closure, inference, ontology
-from tripleloom.operators.joins import regroup, set_difference_counts
+from tripleloom.operators.joins import hashed_join, regroup, set_difference_counts
 from tripleloom.operators.lift import StoredGraph
 from tripleloom.operators.ontology import AXIOMS, axioms, class_closure, ontology_triples
 from tripleloom.session import shared_folder
@@ -289,3 +289,12 @@ def test_joins_close_classes_as_the_driver_does(spark, monkeypatch):
     one = {tuple(r) for r in class_closure(axioms(spark)).collect()}
     monkeypatch.setattr(ontology, "SMALL", 0)
     assert {tuple(r) for r in class_closure(axioms(spark)).collect()} == one
+
+
+def test_keys_of_names_sort_by_their_hash(spark):
+    """The joins of aliases are led by a hash, and equal hashes alone join nothing."""
+    left = constant_rows(spark, {"node": "string", "a": "long"}, [(R + "x", 1), (R + "y", 2), (None, 3)])
+    right = constant_rows(spark, {"node": "string", "b": "long"}, [(R + "x", 4), (R + "x", 5), (None, 6)])
+    assert sorted(map(tuple, hashed_join(left, right, ["node"]).collect())) == [(R + "x", 1, 4), (R + "x", 1, 5)]
+    plan = hashed_join(left, right.hint("merge"), ["node"])._jdf.queryExecution().executedPlan().toString()
+    assert "Sort [_hash#" in plan

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators.joins import regroup
+from tripleloom.operators.joins import hashed_join, regroup
 from tripleloom.operators.lift import MergedGraph, StoredGraph, as_set, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
@@ -215,12 +215,13 @@ def alias_clusters(links: DataFrame) -> DataFrame:
         edges.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("cluster"))
     )
     while True:
-        near = edges.join(labels, "node").select(F.col("other").alias("node"), "cluster")
-        least = near.unionByName(labels).groupBy("node").agg(F.min("cluster").alias("cluster"))
+        near = hashed_join(edges, labels, ["node"]).select(F.col("other").alias("node"), "cluster", F.lit(None).cast("string").alias("was"))
+        own = labels.select("node", "cluster", F.col("cluster").alias("was"))
+        least = near.unionByName(own).groupBy("node").agg(F.min("cluster").alias("cluster"), F.max("was").alias("was"))
         jump = labels.select(F.col("node").alias("cluster"), F.col("cluster").alias("jumped"))
-        moved = least.join(jump, "cluster").select("node", F.least("cluster", "jumped").alias("cluster"))
-        before = labels.select("node", F.col("cluster").alias("was"))
-        after = cut_lineage(moved.join(before, "node"))
+        after = cut_lineage(
+            hashed_join(least, jump, ["cluster"]).select("node", F.least("cluster", "jumped").alias("cluster"), "was")
+        )
         labels = after.select("node", "cluster")
         if after.where(F.col("cluster") != F.col("was")).isEmpty():
             return labels
