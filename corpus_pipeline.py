@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripleloom.llm import quality, toxicity
-from tripleloom.llm.common import table
+from tripleloom.llm.common import small_batches, table
 from tripleloom.llm.packing import best_fit_packed
 from tripleloom.llm.secrets import redacted
 from tripleloom.llm.simhash import without_near_copies
@@ -26,6 +26,7 @@ from tripleloom.llm.simhash import without_near_copies
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity reaches 0.5 go."""
+    small_batches(spark)
     fitted = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     judged = toxicity.scored(docs, fitted, "\0toxicity")
     return judged.where(F.col("\0toxicity") < 0.5).drop("\0toxicity")
@@ -33,17 +34,20 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality is below 0.3 go."""
+    small_batches(spark)
     model = quality.fit(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality.score(docs["text"], model) >= 0.3)
 
 
 def near_copies_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group stays whose SimHash fingerprints over 4 words are linked by 4 or fewer differing bits."""
+    small_batches(spark)
     return without_near_copies(docs, words=4, max_bits=4)
 
 
 def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by a mark in the text; n_chars follows."""
+    small_batches(spark)
 
     @F.pandas_udf("string")
     def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -57,6 +61,7 @@ def secrets_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of 1024."""
+    small_batches(spark)
     return best_fit_packed(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 

@@ -101,3 +101,17 @@ def test_awkward_rows_and_empty_tables(spark, tiny, awkward, no_documents, name)
         assert {None, 1, 4, 5, 7, 8, 10} <= ids and 9 not in ids and 2 not in ids
     if name == "secrets":
         assert rows.count() == 12 and rows.where("doc_id = 1 and text is null").count() == 1
+
+
+def test_every_stage_bounds_its_batches(spark, tiny):
+    """A stage that is run alone hands Python at most `ROWS_AT_ONCE` texts at once; a smaller bound of the session stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, docs = spark.conf.get(name), documents(spark, [(1, "some words")])
+    try:
+        for given, expected in (("10000", "1000"), ("0", "1000"), ("200", "200")):
+            for stage in ("secrets", "simhash_near_dedup"):
+                spark.conf.set(name, given)
+                dict(corpus_pipeline.STAGES)[stage](spark, docs, tiny)
+                assert spark.conf.get(name) == expected
+    finally:
+        spark.conf.set(name, before)

@@ -12,6 +12,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows that Spark and Python hand each other at once. A text has kilobytes, so Spark's 10,000 rows are tens of MB, and
+#: the JVM and Python each hold them several times over.
+ROWS_AT_ONCE = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hold the session at `ROWS_AT_ONCE`; a smaller value of its own stays, and it stays for what is evaluated later."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_AT_ONCE:
+        spark.conf.set(name, ROWS_AT_ONCE)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
