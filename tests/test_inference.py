@@ -298,3 +298,16 @@ def test_keys_of_names_sort_by_their_hash(spark):
     assert sorted(map(tuple, hashed_join(left, right, ["node"]).collect())) == [(R + "x", 1, 4), (R + "x", 1, 5)]
     plan = hashed_join(left, right.hint("merge"), ["node"])._jdf.queryExecution().executedPlan().toString()
     assert "Sort [_hash#" in plan
+
+
+def test_new_facts_are_found_without_a_sort_by_names(spark):
+    fact = lambda s, o: (s, t.STARRING, o, "iri", "", "")
+    old = constant_triples(spark, [fact("m1", "p1"), fact("m2", None)])
+    derived = constant_triples(spark, [fact("m1", "p1"), fact("m1", "p2"), fact("m1", "p2"), fact("m2", None)])
+    why = derived.withColumns({"rule": F.lit("chain"), "premises": F.array().cast(closure.PREMISES)})
+    new = closure.unseen(why, old, False)
+    # a fact with a null equals none
+    assert sorted((r["s"], r["o"] or "") for r in new.collect()) == [("m1", "p2"), ("m2", "")]
+    assert "SortMergeJoin" not in new._jdf.queryExecution().toString() and "Sort [" not in new._jdf.queryExecution().toString()
+    with_rule = closure.unseen(why, old, True).collect()
+    assert sorted((r["s"], r["o"] or "", r["rule"]) for r in with_rule) == [("m1", "p2", "chain"), ("m2", "", "chain")]

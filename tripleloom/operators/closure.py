@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators.inference import alias_clusters
-from tripleloom.operators.joins import regroup
+from tripleloom.operators.joins import hashed_join, regroup
 from tripleloom.operators.lift import MappedGraph, MergedGraph, StoredGraph, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
@@ -136,7 +136,7 @@ class PairRules:
         end = right.where(F.col("p").isin([r[2] for r in self.chain])).select(
             F.col("s").alias("via"), F.col("p").alias("second"), *t.OBJECT, premise().alias("two")
         )
-        return start.join(end, ["via", "second"]).select(
+        return hashed_join(start, end, ["via", "second"]).select(
             "s", F.col("made").alias("p"), *t.OBJECT, F.lit("chain").alias("rule"), F.array("one", "two").alias("premises")
         )
 
@@ -145,7 +145,7 @@ class PairRules:
         rules = self.table(self.ends, "class", "p", "q")
         one = resources(left, [r[1] for r in self.ends]).join(rules, "p").select("s", "o", "class", "q", premise().alias("one"))
         two = resources(right, [r[2] for r in self.ends]).select("s", "o", F.col("p").alias("q"), premise().alias("two"))
-        return one.join(two, ["s", "o", "q"]).select(
+        return hashed_join(one, two, ["s", "o", "q"]).select(
             as_fact(F.col("o"), F.lit(t.TYPE), F.col("class"), "both ends", F.col("one"), F.col("two"))
         )
 
@@ -158,7 +158,7 @@ class PairRules:
         values = right.where((F.col("p") == t.TYPE) & F.col("o").isin([r[2] for r in self.some])).select(
             F.col("s").alias("via"), F.col("o").alias("wanted"), premise().alias("two")
         )
-        return facts.join(values, ["via", "wanted"]).select(
+        return hashed_join(facts, values, ["via", "wanted"]).select(
             as_fact(F.col("s"), F.lit(t.TYPE), F.col("class"), "some values", F.col("one"), F.col("two"))
         )
 
@@ -170,16 +170,25 @@ class PairRules:
         of_parts = (F.col("p") == t.TYPE) & F.col("o").isin([o for _, o in self.parts])
         touched = delta.where(of_parts).join(parts, "o").select("s", "class").distinct()
         held = known.where(of_parts).join(parts, "o").select("s", "class", premise().alias("one"))
-        found = held.join(regroup(touched, ["s", "class"]), ["s", "class"], "left_semi").distinct()
+        found = hashed_join(held, touched, ["s", "class"], "left_semi").distinct()
         whole = found.groupBy("s", "class").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("one")).alias("premises"))
         return whole.join(wanted, "class").where(F.col("n") == F.col("needed")).select(
             *as_fact(F.col("s"), F.lit(t.TYPE), F.col("class"), "intersection")[:-1], "premises"
         )
 
     def same(self, delta: DataFrame, known: DataFrame) -> DataFrame:
-        """(s, o): values of a functional object property of one subject that `delta` says something about."""
-        touched = delta.where(F.col("p").isin(self.functional)).select("s", "p").distinct()
-        values = resources(known, self.functional).join(regroup(touched, ["s", "p"]), ["s", "p"], "left_semi")
+        """(s, o): values of a functional object property of one subject that `delta` says something about.
+
+        Most subjects have one value, so facts are counted first and only those of the others are compared.
+        """
+        values, mine = resources(known, self.functional), F.col("p").isin(self.functional)
+        told = values.select("s", "p", F.lit(1).alias("facts"), F.lit(0).alias("of_delta")).unionByName(
+            delta.where(mine).select("s", "p", F.lit(0).alias("facts"), F.lit(1).alias("of_delta"))
+        )
+        several = told.groupBy("s", "p").agg(F.sum("facts").alias("facts"), F.max("of_delta").alias("of_delta")).where(
+            (F.col("facts") > 1) & (F.col("of_delta") == 1)
+        )
+        values = hashed_join(values, several.select("s", "p"), ["s", "p"], "left_semi")
         # each value with the smallest one says the same as all pairs
         least = values.groupBy("s", "p").agg(F.min("o").alias("least"), F.max("o").alias("most")).where("least <> most")
         found = values.join(regroup(least.select("s", "p", "least"), ["s", "p"]), ["s", "p"]).where("o <> least")
@@ -209,13 +218,14 @@ def resources(facts: DataFrame, predicates: list[str]) -> DataFrame:
 def renamed(facts: DataFrame, changed: DataFrame, clusters: DataFrame) -> DataFrame:
     """The facts that name a resource of `changed`, said of the clusters' smallest names."""
     facts = facts.where(F.col("p") != t.SAME_AS)
-    names = changed.select(F.col("node"))
-    at_s = facts.join(names, F.col("s") == F.col("node"), "left_semi")
-    at_o = facts.where(F.col("o_kind") != "lit").join(names, F.col("o") == F.col("node"), "left_semi")
-    of_s, of_o = (clusters.select(F.col("node").alias(f"of_{c}"), F.col("cluster").alias(f"{c}_name")) for c in "so")
+    names = clusters.join(changed.select("node", F.lit(True).alias("changed")), "node", "left")
+    of_s, of_o = (
+        names.select(F.col("node").alias(f"of_{c}"), F.col("cluster").alias(f"{c}_name"), F.col("changed").alias(f"{c}_changed"))
+        for c in "so"
+    )
     there = (F.col("o") == F.col("of_o")) & (F.col("o_kind") != "lit")
-    rows = at_s.unionByName(at_o).join(of_s, F.col("s") == F.col("of_s"), "left").join(of_o, there, "left")
-    return rows.select(
+    rows = facts.join(of_s, F.col("s") == F.col("of_s"), "left").join(of_o, there, "left")
+    return rows.where("s_changed OR o_changed").select(
         F.coalesce("s_name", "s").alias("s"), "p", F.coalesce("o_name", "o").alias("o"), "o_kind", "o_dt", "o_lang",
         F.lit("same individual").alias("rule"), F.array(premise()).alias("premises"),
     )
@@ -318,7 +328,8 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
     base = used if isinstance(graph, StoredGraph) else cut_lineage(used)
     out = Closure(base, [], constant_rows(ax.sparkSession, NODES, []))
     links = constant_rows(ax.sparkSession, {"s": "string", "o": "string"}, [])
-    made = [r["p"] for r in derivable(single, ax).collect()]
+    made = {r["p"] for r in derivable(single, ax).collect()}
+    of_single = {(r["on_p"], r["new_p"]) for r in single.select("on_p", "new_p").collect()}
     delta, first = base, True
     there, _ = in_use(base)
     while True:
@@ -327,12 +338,14 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
         if first:  # later ones are given their superclasses as they are derived
             stated = base.where(F.col("p") == t.TYPE)
             direct = direct.unionByName(stated.withColumns({"rule": F.lit(""), "premises": F.array().cast(PREMISES)}))
-            direct = smallest(direct, explained)
+            direct = smallest(direct, True) if explained else direct
         derived = with_superclasses(direct, reach)
-        old = known if equal else known.where(F.col("p").isin(made))
+        # what the predicates of the last round can lead to; renaming gives facts of every predicate
+        coming = made & {t.TYPE, *(p for on, p in of_single if on in there), *(r[0] for r in pairs.chain if there & {*r[1:]})}
+        old = known if equal else known.where(F.col("p").isin(sorted(coming)))
         if equal:
             links, derived = _with_names(out, links, delta, known, derived, pairs, there)
-        new = cut_lineage(smallest(derived, explained).join(old, t.TERM, "left_anti"))
+        new = cut_lineage(unseen(derived, old, explained))
         there, size = in_use(new)
         if not size:
             return out
@@ -354,6 +367,20 @@ def smallest(derived: DataFrame, explained: bool) -> DataFrame:
     return derived.select(t.TERM).distinct().withColumns({"rule": F.lit(""), "premises": none})
 
 
+def unseen(derived: DataFrame, old: DataFrame, explained: bool) -> DataFrame:
+    """The facts of `derived` that `old` has not, each once; one with a null is in no other's place, as in a join.
+
+    Both meet in one aggregation by hash, which needs no sort by names that begin alike.
+    """
+    if explained:
+        return hashed_join(smallest(derived, True), old.select(t.TERM), t.TERM, "left_anti")
+    sides = derived.select(*t.TERM, F.lit(1).alias("_side")).unionByName(
+        old.select(*t.TERM, F.lit(2).alias("_side")).dropna(subset=t.TERM)
+    )
+    new = sides.groupBy(t.TERM).agg(F.bit_or("_side").alias("_side")).where(F.col("_side") == 1)
+    return new.select(*t.TERM, F.lit("").alias("rule"), F.array().cast(PREMISES).alias("premises"))
+
+
 def _with_names(
     out: Closure, links: DataFrame, delta: DataFrame, known: DataFrame, derived: DataFrame, pairs: PairRules, there: set[str]
 ) -> tuple[DataFrame, DataFrame]:
