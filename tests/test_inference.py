@@ -311,3 +311,30 @@ def test_new_facts_are_found_without_a_sort_by_names(spark):
     assert "SortMergeJoin" not in new._jdf.queryExecution().toString() and "Sort [" not in new._jdf.queryExecution().toString()
     with_rule = closure.unseen(why, old, True).collect()
     assert sorted((r["s"], r["o"] or "", r["rule"]) for r in with_rule) == [("m1", "p2", "chain"), ("m2", "", "chain")]
+
+
+def test_derivations_are_looked_up_for_asked_facts(spark):
+    facts = [(R + "r1", t.ROLE_IN, R + "m1"), (R + "r1", t.PLAYED_BY, R + "p1"), (R + "m1", t.DIRECTOR, R + "p1")]
+    found = closure.close(graph(spark, facts), axioms(spark), explained=True)
+    # rounds keep facts alone: no derivation is sorted out or written before one is asked for
+    assert all(r.where("rule <> '' OR size(premises) > 0").isEmpty() for r in found.rounds)
+    asked = found.new_terms().select(F.lit("x").alias("of"), "s", "p", "o")
+    assert found.derivations(asked.limit(0)) is None
+    told = {tuple(r)[:3]: [tuple(p) for p in r["premises"]] for r in found.derivations(asked).collect()}
+    assert len(told) == sum(found.sizes) and told[(R + "m1", t.HAS_ROLE, R + "r1")] == [facts[0]]
+    written = found.settled()
+    assert {tuple(r)[:3]: [tuple(p) for p in r["premises"]] for r in written.derivations(asked).collect()} == told
+    assert {tuple(r) for r in written.explain(asked).collect()} == {tuple(r) for r in found.explain(asked).collect()}
+
+
+def test_known_facts_are_compared_by_the_objects_that_rules_name(spark):
+    ax = axioms(spark)
+    single, pairs = closure.single_rules(ax), closure.PairRules.of(ax)
+    rules = {tuple(r) for r in single.select("on_p", "new_p", "new_o").collect()}
+    rows = [("m", t.GENRE, O + "genre_action"), ("m", t.GENRE, O + "genre_other"), ("m", t.TYPE, t.MOVIE), ("m", t.TYPE, O + "AwardWinningDirector")]
+    known = graph(spark, rows).triples()
+    near = lambda there, first: {
+        (r["p"], r["o"]) for r in known.where(closure.comparable(rules, pairs, class_closure(ax), there, first)).collect()}
+    assert near({t.TYPE}, False) == {(t.GENRE, O + "genre_action"), (t.TYPE, O + "AwardWinningDirector")}
+    assert near({t.GENRE}, False) == {(t.TYPE, t.MOVIE)} and near({t.NAME}, False) == set()
+    assert near({t.GENRE}, True) == {(t.TYPE, t.MOVIE), (t.TYPE, O + "AwardWinningDirector")}

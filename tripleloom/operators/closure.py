@@ -7,18 +7,19 @@ adds is a written table, and it ends when a round adds nothing. Class membership
 
 With `equal`, several values of a functional property are one individual: the smallest name of a cluster
 stands for it, and facts about the others are repeated for it before the next round. With
-`explained`, each added fact keeps its smallest derivation: a rule and the facts it was applied to.
+`explained`, each added fact has its smallest derivation: a rule and the facts it was applied to. Derivations follow
+from the written tables of their round, so they are looked up for the facts that are asked for, and for no others.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tripleloom.functions import terms as t
 from tripleloom.operators.inference import alias_clusters
-from tripleloom.operators.joins import hashed_join, regroup
+from tripleloom.operators.joins import FEW, hashed_join, key_set, regroup
 from tripleloom.operators.lift import MappedGraph, MergedGraph, StoredGraph, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
@@ -241,6 +242,8 @@ class Closure:
     #: Facts added in each round. The tables of `rounds` are fewer: small ones are joined as they become many.
     sizes: list[int] = field(default_factory=list)
     held: list[int] = field(default_factory=list)
+    #: With `explained`, whatever each round derived, in all ways it did: computed from the written tables when it is read.
+    ways: list[DataFrame] = field(default_factory=list)
 
     def add(self, new: DataFrame, size: int) -> None:
         """One more round. A table is written again with the next one once it is not larger than that, so seldom."""
@@ -252,10 +255,54 @@ class Closure:
             self.held[-2:] = [sum(self.held[-2:])]
 
     def added(self) -> DataFrame:
-        empty = self.base.limit(0).withColumn("rule", F.lit("")).withColumn("premises", F.array().cast(PREMISES))
+        """The added facts, with their derivations where they are explained."""
         columns = [*t.TERM, "rule", "premises"]
+        if self.ways and self.rounds:
+            told = hashed_join(self.new_terms(), self.smallest_ways(self.new_terms(), self.ways), t.TERM, "left")
+            none = {"rule": F.coalesce("rule", F.lit("")), "premises": F.coalesce("premises", F.array().cast(PREMISES))}
+            return told.withColumns(none).select(columns)
+        empty = self.base.limit(0).withColumn("rule", F.lit("")).withColumn("premises", F.array().cast(PREMISES))
         return union_all([r.select(columns) for r in self.rounds]) if self.rounds else empty
 
+    def new_terms(self) -> DataFrame:
+        """The added facts alone."""
+        return union_all([self.base.limit(0).select(t.TERM), *[r.select(t.TERM) for r in self.rounds]])
+
+    def settled(self) -> Closure:
+        """The same closure with its derivations written."""
+        return replace(self, rounds=[cut_lineage(self.added())], held=[sum(self.held)], ways=[]) if self.ways else self
+
+    @staticmethod
+    def smallest_ways(terms: DataFrame, ways: list[DataFrame]) -> DataFrame:
+        """For each of `terms`, which are added facts, its smallest derivation in the first round that derived it.
+
+        The rows of a fact meet by a hash that the aggregation is led by as well, so that they are sorted once.
+        """
+        told = union_all([
+            w.select(*t.TERM, F.struct(F.lit(i).alias("round"), "rule", "premises").alias("why")) for i, w in enumerate(ways)
+        ])
+        keys, mark = ["_hash", *t.TERM], F.xxhash64(*t.TERM).alias("_hash")
+        met = told.select(mark, *told.columns).join(terms.select(mark, *t.TERM), keys)
+        return met.groupBy(keys).agg(F.min("why").alias("why")).select(*t.TERM, "why.rule", "why.premises")
+
+    def derivations(self, asked: DataFrame) -> DataFrame | None:
+        """(s, p, o, premises) of the added ones among the facts `asked`, None if there are none."""
+        key = ["s", "p", "o"]
+        if not self.ways:
+            return self.added().select(*key, "premises")
+        # few predicates or objects become filters that reach the scans and keep other derivations out of the shuffle
+        few = [k for k in (key_set(asked, "p"), key_set(asked, "o")) if k.values is not None]
+
+        def near(rows: DataFrame) -> DataFrame:
+            for k in few:
+                rows = rows.where(F.col(k.column).isin(k.values))
+            return rows
+
+        terms = cut_lineage(hashed_join(near(self.new_terms()), asked.select(key).distinct(), key, "left_semi"))
+        if terms.isEmpty():
+            return None
+        return self.smallest_ways(terms, [near(w) for w in self.ways]).select(*key, "premises")
+
     def _of_names(self, facts: DataFrame) -> DataFrame:
         other = self.clusters.where("node <> cluster").select("node")
         kept = facts.join(other, F.col("s") == F.col("node"), "left_anti")
@@ -263,13 +310,13 @@ class Closure:
 
     def types(self) -> DataFrame:
         """(s, class) of every individual by its smallest name."""
-        rows = union_all([self.base.select(t.TERM), self.added().select(t.TERM)]).where(F.col("p") == t.TYPE)
+        rows = union_all([self.base.select(t.TERM), self.new_terms()]).where(F.col("p") == t.TYPE)
         rows = rows.where((F.col("o_kind") == "iri") & ~F.startswith("o", F.lit(SOME)))
         return self._of_names(rows).select("s", F.col("o").alias("class")).distinct()
 
     def facts(self) -> DataFrame:
         """The added facts but memberships, by smallest names."""
-        return self._of_names(self.added().where(F.col("p") != t.TYPE).select(t.TERM))
+        return self._of_names(self.new_terms().where(F.col("p") != t.TYPE))
 
     def explain(self, facts: DataFrame) -> DataFrame:
         """(of, s, p, o): the given triples that each fact (of, s, p, o) rests on.
@@ -278,10 +325,12 @@ class Closure:
         as the class from which an ancestor follows. So it ends after two steps a round at most.
         """
         key = ["s", "p", "o"]
-        derived = self.added().select(*key, "premises")
         asked, given = cut_lineage(facts.select("of", *key).distinct()), []
         while True:
-            found = cut_lineage(asked.join(derived, key, "left"))
+            derived = self.derivations(asked)
+            if derived is None:
+                return union_all([*given, asked]).distinct()
+            found = cut_lineage(hashed_join(asked, derived, key, "left"))
             given.append(found.where("premises IS NULL").select("of", *key))
             asked = cut_lineage(
                 found.where("premises IS NOT NULL").select("of", F.explode("premises").alias("one")).select("of", "one.*").distinct()
@@ -311,14 +360,6 @@ def used_predicates(ax: DataFrame) -> DataFrame:
     return one.where("p IS NOT NULL").unionByName(built_in).distinct()
 
 
-def derivable(rules: DataFrame, ax: DataFrame) -> DataFrame:
-    """(p): predicates that a rule can add facts of."""
-    built_in = constant_rows(ax.sparkSession, {"p": "string"}, [(t.TYPE,)])
-    return union_all([
-        rules.select(F.col("new_p").alias("p")), of_kind(ax, "chain").select(F.col("subject").alias("p")), built_in
-    ]).distinct()
-
-
 def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) -> Closure:
     """The closure of `graph`: see the module's text."""
     single, pairs = cut_lineage(single_rules(ax)), PairRules.of(ax)
@@ -328,8 +369,7 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
     base = used if isinstance(graph, StoredGraph) else cut_lineage(used)
     out = Closure(base, [], constant_rows(ax.sparkSession, NODES, []))
     links = constant_rows(ax.sparkSession, {"s": "string", "o": "string"}, [])
-    made = {r["p"] for r in derivable(single, ax).collect()}
-    of_single = {(r["on_p"], r["new_p"]) for r in single.select("on_p", "new_p").collect()}
+    of_single = {tuple(r) for r in single.select("on_p", "new_p", "new_o").collect()}
     delta, first = base, True
     there, _ = in_use(base)
     while True:
@@ -338,21 +378,42 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
         if first:  # later ones are given their superclasses as they are derived
             stated = base.where(F.col("p") == t.TYPE)
             direct = direct.unionByName(stated.withColumns({"rule": F.lit(""), "premises": F.array().cast(PREMISES)}))
-            direct = smallest(direct, True) if explained else direct
         derived = with_superclasses(direct, reach)
         # what the predicates of the last round can lead to; renaming gives facts of every predicate
-        coming = made & {t.TYPE, *(p for on, p in of_single if on in there), *(r[0] for r in pairs.chain if there & {*r[1:]})}
-        old = known if equal else known.where(F.col("p").isin(sorted(coming)))
+        old = known if equal else known.where(comparable(of_single, pairs, reach, there, first))
         if equal:
             links, derived = _with_names(out, links, delta, known, derived, pairs, there)
-        new = cut_lineage(unseen(derived, old, explained))
+        new = cut_lineage(unseen(derived, old, False))
         there, size = in_use(new)
         if not size:
             return out
         out.add(new, size)
+        if explained:
+            out.ways.append(derived)
         delta, first = new.select(t.TERM), False
 
 
+def comparable(of_single: set[tuple], pairs: PairRules, reach: DataFrame, there: set[str], first: bool) -> Column:
+    """Which facts a round can derive from facts of the predicates `there`, by predicate and by object where rules name
+    it. Only known facts among them can be derived again."""
+    made = {(p, o) for on, p, o in of_single if on in there} | {(r[0], None) for r in pairs.chain if there & {*r[1:]}}
+    made |= {(t.TYPE, None)} if first else set()  # stated memberships are given their superclasses
+    made |= {(t.TYPE, c) for c, *of in pairs.ends if there & {*of}}
+    made |= {(t.TYPE, c) for c, p, _ in pairs.some if there & {p, t.TYPE}} | {(t.TYPE, c) for c, _ in pairs.parts if t.TYPE in there}
+    objects: dict[str, set] = {}
+    for p, o in made:
+        objects.setdefault(p, set()).add(o)
+    classes = objects.get(t.TYPE, {None})
+    if None not in classes:
+        above = key_set(reach.where(F.col("class").isin(sorted(classes))), "super").values
+        objects[t.TYPE] = {None} if above is None else classes | {*above}
+    out = F.lit(False)
+    for p in sorted(objects):
+        whole = None in objects[p] or len(objects[p]) > FEW
+        out = out | (F.col("p") == p if whole else (F.col("p") == p) & F.col("o").isin(sorted(objects[p])))
+    return out
+
+
 def in_use(facts: DataFrame) -> tuple[set[str], int]:
     """The predicates of some facts, and their number."""
     row = facts.agg(F.collect_set("p"), F.count("*")).first()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tripleloom.functions import terms as t
-from tripleloom.operators.joins import hashed_join, regroup
+from tripleloom.operators.joins import among, hashed_join, key_set, regroup
 from tripleloom.operators.lift import MergedGraph, StoredGraph, as_set, union_all
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
@@ -176,7 +176,7 @@ def functional_clashes(graph, ax: DataFrame) -> DataFrame:
 def disjoint_clashes(types: DataFrame, ax: DataFrame) -> DataFrame:
     """Individuals in two disjoint classes, with the two memberships that explain the clash.
 
-    One aggregation over the memberships that matter; no self-join."""
+    One aggregation over the memberships that matter, which a filter by class finds in the scan; no self-join."""
     pairs = of_kind(ax, "disjoint").select(F.col("subject").alias("left_class"), F.col("object").alias("right_class"))
     sides = (
         pairs.select("left_class", "right_class", F.inline(F.array(
@@ -185,7 +185,7 @@ def disjoint_clashes(types: DataFrame, ax: DataFrame) -> DataFrame:
         )))
     )
     return (
-        types.join(sides, "class")
+        among(types, "class", key_set(sides, "class")).join(sides, "class")
         .groupBy("s", "left_class", "right_class").agg(F.bit_or("side").alias("sides"))
         .where(F.col("sides") == 3).select("s", "left_class", "right_class")
     )

@@ -79,7 +79,7 @@ def _kept(found: Closure) -> None:
 def extended(found: Closure, more: DataFrame, ax: DataFrame, explained: bool = False) -> Closure:
     """The closure of the same graph with the triples `more`; triples that are there already change nothing."""
     _kept(found)
-    rules = Rules.of(ax)
+    found, rules = found.settled(), Rules.of(ax)
     given = cut_lineage(missing(rules.read(more), found.base))
     # what was derived so far and is given now is no longer an added fact
     derived = cut_lineage(present_in(given, found.added()))
@@ -92,7 +92,7 @@ def extended(found: Closure, more: DataFrame, ax: DataFrame, explained: bool = F
 def without(found: Closure, gone: DataFrame, ax: DataFrame, explained: bool = False) -> Closure:
     """The closure of the same graph without the triples `gone`; those that were not given change nothing."""
     _kept(found)
-    rules = Rules.of(ax)
+    found, rules = found.settled(), Rules.of(ax)
     lost = cut_lineage(present_in(rules.read(gone), found.base))
     if lost.isEmpty():
         return found
