@@ -79,3 +79,14 @@ def test_written_table_reads_back(spark, raw, tmp_path):
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, cleaned.collect()))
     cast = cast_rows(split_cast(back)).where("movie_id = '1'").orderBy("billing_order").collect()
     assert [(r["billing_order"], r["actor_id"], r["character"]) for r in cast] == [(1, "11", ""), (2, "12", "b b"), (3, "13", "c/d")]
+
+
+def test_compressed_files_read_like_others(spark, tmp_path):
+    rows = [("1", 'a "quoted", cell', ""), ("2", "x" * 100, "é"), ("3", "y" * 100, "z")]
+    frame = spark.createDataFrame(rows * 200, "id string, title string, genre string").repartition(3)
+    for name, compression in (("plain", None), ("packed", "gzip")):
+        write_csv(frame, str(tmp_path / name), compression=compression)
+    plain, packed = (sum(f.stat().st_size for f in (tmp_path / n).glob("part-*")) for n in ("plain", "packed"))
+    back = read_csv(spark, str(tmp_path / "packed"), ordinal=True, line_breaks=False)
+    assert sorted(tuple(r)[:3] for r in back.collect()) == sorted(rows * 200) and packed < plain / 4
+    assert back.select("ordinal").distinct().count() == 600

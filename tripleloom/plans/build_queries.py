@@ -88,17 +88,18 @@ def clean_through_csv(v: DriverViews) -> DataFrame:
     """Movies and credits as CSV files, cleaned, and the clean table as a file that the lift reads.
 
     The credits come in two files. The first one has the next customer as director of every movie, the second one is
-    right; of several credits of a movie the last one counts.
+    right; of several credits of a movie the last one counts. The files repeat their words, so they are compressed, and
+    the cells that both credits files hold are made once.
     """
     folder = new_table_path(v.spark)
-    right = raw_credits(v).drop("ordinal")
+    right = cut_lineage(raw_credits(v).drop("ordinal"))
     who = F.get_json_object("crew", "$[0]")
-    write_csv(raw_movies(v).drop("ordinal"), f"{folder}/movies")
-    write_csv(right.withColumn("crew", F.concat(F.lit("["), F.replace(who, F.lit("Writer"), F.lit("Director")), F.lit("]"))), f"{folder}/credits/a")
-    write_csv(right, f"{folder}/credits/b")
+    write_csv(raw_movies(v).drop("ordinal"), f"{folder}/movies", compression="gzip")
+    write_csv(right.withColumn("crew", F.concat(F.lit("["), F.replace(who, F.lit("Writer"), F.lit("Director")), F.lit("]"))), f"{folder}/credits/a", compression="gzip")
+    write_csv(right, f"{folder}/credits/b", compression="gzip")
     movies = read_csv(v.spark, f"{folder}/movies", ordinal=True, line_breaks=False)
     credits = read_csv(v.spark, [f"{folder}/credits/a", f"{folder}/credits/b"], ordinal=True, line_breaks=False)
-    write_csv(clean_movies(movies, credits, min_votes=MIN_VOTES, limit=None), f"{folder}/clean")
+    write_csv(clean_movies(movies, credits, min_votes=MIN_VOTES, limit=None), f"{folder}/clean", compression="gzip")
     films = lift.split_cast(read_clean_movies(v.spark, f"{folder}/clean"))
     entries = F.transform("cast", lambda c: F.concat(c["id"], F.lit(" as "), c["character"]))
     return films.select("id", "title", "year", "director_id", "director_name", "genre", F.array_join(entries, "|").alias("cast"))

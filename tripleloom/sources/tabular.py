@@ -44,9 +44,10 @@ def read_link_report(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, REPORT.fieldNames())
 
 
-def write_csv(rows: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """Header and a fixed column order; the files are written in parallel."""
-    rows.select(*(columns or rows.columns)).write.options(**QUOTED, emptyValue="").csv(path)
+def write_csv(rows: DataFrame, path: str, columns: list[str] | None = None, compression: str | None = None) -> None:
+    """Header and a fixed column order; the files are written in parallel. Compressed files ("gzip") are read like others,
+    each by one task."""
+    rows.select(*(columns or rows.columns)).write.options(**QUOTED, emptyValue="").csv(path, compression=compression)
 
 
 def result_table(rows: DataFrame) -> DataFrame:
