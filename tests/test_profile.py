@@ -7,7 +7,7 @@ from tripleloom.functions import terms as t
 from tripleloom.operators import profile
 from tripleloom.operators.lift import MappedGraph, StoredGraph, award_map, union_all
 from tripleloom.plans.profile_queries import DESCRIPTION
-from tripleloom.session import bounded_reads
+from tripleloom.session import DEALT_BYTES, PARTITIONS, bounded_reads, bounded_shuffles
 from tripleloom.sources.constants import constant_rows, constant_triples
 from tripleloom.sources.driver_views import DriverViews
 
@@ -122,3 +122,18 @@ def test_bounded_reads(spark):
             assert spark.conf.get(name) == held
     finally:
         spark.conf.set(name, before)
+
+
+def test_shuffles_are_dealt_out_by_the_size_of_the_tables(spark, tmp_path):
+    spark.range(300_000).selectExpr("uuid() AS x").repartition(3).write.parquet(f"{tmp_path}/lineitem.parquet")
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet") if f.is_file())
+    before = spark.conf.get(PARTITIONS, None)
+    try:
+        spark.conf.set(PARTITIONS, "1")
+        bounded_shuffles(spark, str(tmp_path))
+        assert int(spark.conf.get(PARTITIONS)) == -(-size // DEALT_BYTES) > 1
+        spark.conf.set(PARTITIONS, "700")  # a larger number of the session's own stays
+        bounded_shuffles(spark, str(tmp_path))
+        assert spark.conf.get(PARTITIONS) == "700"
+    finally:
+        spark.conf.set(PARTITIONS, before) if before else spark.conf.unset(PARTITIONS)

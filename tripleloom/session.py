@@ -7,7 +7,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
@@ -29,6 +29,9 @@ def local_session(cpus: int | str = "*", memory: str = "8g") -> SparkSession:
 #: Upper bounds of what one task reads. Triples repeat their name spaces: in a task's memory they take ten times what
 #: they take in a shuffle or file, so Spark's 64 and 128 MB would be a large part of an executor.
 READ_AT_ONCE = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": 16, "spark.sql.files.maxPartitionBytes": 32}
+#: A shuffle has a partition for so many bytes of the tables at least: with a fixed number of them, tasks grow with the tables.
+DEALT_BYTES = 4 << 20
+PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
 
 
@@ -40,6 +43,16 @@ def bounded_reads(spark: SparkSession) -> None:
             spark.conf.set(name, f"{most}m")
 
 
+def bounded_shuffles(spark: SparkSession, folder: str) -> None:
+    """Deal shuffles out by the size of the files in `folder`. Adaptive execution joins small partitions, so small tables
+    have as few tasks as before; a larger number of the session's own stays, and it stays for what is evaluated later."""
+    # the sizes come from the listing, no file is read
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    wanted = -(-(files.agg(F.sum("length")).first()[0] or 0) // DEALT_BYTES)
+    if wanted > int(spark.conf.get(PARTITIONS, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(PARTITIONS, str(wanted))
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder. Only a single-machine session without one gets a temporary folder."""
     given = spark.conf.get("spark.checkpoint.dir", None)

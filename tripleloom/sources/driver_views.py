@@ -23,7 +23,7 @@ from tripleloom.operators.joins import KeySet, among
 from tripleloom.operators.lift import MappedGraph, Rule, TripleMap
 from tripleloom.operators.linking import link_report
 from tripleloom.operators.ontology import axioms
-from tripleloom.session import bounded_reads, cut_lineage
+from tripleloom.session import bounded_reads, bounded_shuffles, cut_lineage
 
 # Genre labels are order priorities; these two stand behind the two defined movie classes.
 ACTION, COMEDY = "1-URGENT", "5-LOW"
@@ -60,6 +60,7 @@ class DriverViews:
 
     def __init__(self, spark: SparkSession, folder: str, top: int | None = TOP_CAST):
         bounded_reads(spark)
+        bounded_shuffles(spark, folder)
         self.spark, self.folder, self.top = spark, folder, top
         self._schemas: dict[str, StructType] = {}
 
