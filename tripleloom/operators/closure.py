@@ -21,9 +21,10 @@ from tripleloom.functions import terms as t
 from tripleloom.operators.inference import alias_clusters
 from tripleloom.operators.joins import FEW, hashed_join, key_set, regroup
 from tripleloom.operators.lift import MappedGraph, MergedGraph, StoredGraph, union_all
+from tripleloom.operators.marks import Bits, RuleBits, Told
 from tripleloom.operators.ontology import class_closure, of_kind
 from tripleloom.session import cut_lineage
-from tripleloom.sources.constants import constant_rows
+from tripleloom.sources.constants import constant_rows, constant_triples
 
 #: In place of a name for the members of an unnamed "some value" class.
 SOME = "_some:"
@@ -134,7 +135,7 @@ class PairRules:
         start = resources(left, [r[1] for r in self.chain]).join(rules, "p").select(
             "s", F.col("o").alias("via"), "second", "made", premise().alias("one")
         )
-        end = right.where(F.col("p").isin([r[2] for r in self.chain])).select(
+        end = of_predicates(right, [r[2] for r in self.chain]).select(
             F.col("s").alias("via"), F.col("p").alias("second"), *t.OBJECT, premise().alias("two")
         )
         return hashed_join(start, end, ["via", "second"]).select(
@@ -156,7 +157,7 @@ class PairRules:
         facts = resources(left, [r[1] for r in self.some]).join(rules, "p").select(
             "s", F.col("o").alias("via"), "class", "wanted", premise().alias("one")
         )
-        values = right.where((F.col("p") == t.TYPE) & F.col("o").isin([r[2] for r in self.some])).select(
+        values = of_classes(right, [r[2] for r in self.some]).select(
             F.col("s").alias("via"), F.col("o").alias("wanted"), premise().alias("two")
         )
         return hashed_join(facts, values, ["via", "wanted"]).select(
@@ -168,9 +169,9 @@ class PairRules:
         parts = self.table(self.parts, "class", "o")
         needed = {c: sum(x == c for x, _ in self.parts) for c, _ in self.parts}
         wanted = constant_rows(self.spark, {"class": "string", "needed": "long"}, list(needed.items()))
-        of_parts = (F.col("p") == t.TYPE) & F.col("o").isin([o for _, o in self.parts])
-        touched = delta.where(of_parts).join(parts, "o").select("s", "class").distinct()
-        held = known.where(of_parts).join(parts, "o").select("s", "class", premise().alias("one"))
+        of_parts = [o for _, o in self.parts]
+        touched = of_classes(delta, of_parts).join(parts, "o").select("s", "class").distinct()
+        held = of_classes(known, of_parts).join(parts, "o").select("s", "class", premise().alias("one"))
         found = hashed_join(held, touched, ["s", "class"], "left_semi").distinct()
         whole = found.groupBy("s", "class").agg(F.count("*").alias("n"), F.sort_array(F.collect_list("one")).alias("premises"))
         return whole.join(wanted, "class").where(F.col("n") == F.col("needed")).select(
@@ -183,24 +184,33 @@ class PairRules:
         Most subjects have one value, so facts are counted first and only those of the others are compared.
         """
         values, mine = resources(known, self.functional), F.col("p").isin(self.functional)
-        told = values.select("s", "p", F.lit(1).alias("facts"), F.lit(0).alias("of_delta")).unionByName(
-            delta.where(mine).select("s", "p", F.lit(0).alias("facts"), F.lit(1).alias("of_delta"))
-        )
+        told = values.select("s", "p", F.lit(1).alias("facts"), F.lit(int(delta is known)).alias("of_delta"))
+        if delta is not known:
+            told = told.unionByName(delta.where(mine).select("s", "p", F.lit(0).alias("facts"), F.lit(1).alias("of_delta")))
         several = told.groupBy("s", "p").agg(F.sum("facts").alias("facts"), F.max("of_delta").alias("of_delta")).where(
             (F.col("facts") > 1) & (F.col("of_delta") == 1)
         )
-        values = hashed_join(values, several.select("s", "p"), ["s", "p"], "left_semi")
+        # written, so that a few of them are known to be few before all facts are shuffled
+        values = hashed_join(values, cut_lineage(several.select("s", "p")), ["s", "p"], "left_semi")
         # each value with the smallest one says the same as all pairs
         least = values.groupBy("s", "p").agg(F.min("o").alias("least"), F.max("o").alias("most")).where("least <> most")
         found = values.join(regroup(least.select("s", "p", "least"), ["s", "p"]), ["s", "p"]).where("o <> least")
         stated = resources(delta, [t.SAME_AS]).select("s", "o")
         return found.select(F.col("least").alias("s"), "o").unionByName(stated).distinct()
 
-    def follow(self, delta: DataFrame, known: DataFrame, there: set[str], first: bool) -> list[DataFrame]:
+    def follow(self, delta: DataFrame | Told, known: DataFrame | Told, there: set[str], first: bool) -> list[DataFrame]:
         """What follows from `delta` with `known`, by the rules that its predicates `there` can meet."""
+        return self.linked(delta, known, there, first) + self.typed(delta, known, there, first)
+
+    def linked(self, delta: DataFrame | Told, known: DataFrame | Told, there: set[str], first: bool) -> list[DataFrame]:
+        """The part of it that comes from chains."""
+        out = [self.chains(delta, known)] if there & {r[1] for r in self.chain} else []
+        return out + ([self.chains(known, delta)] if there & {r[2] for r in self.chain} and not first else [])
+
+    def typed(self, delta: DataFrame | Told, known: DataFrame | Told, there: set[str], first: bool) -> list[DataFrame]:
+        """The part of it that is memberships."""
         out = []
         for rule, left, right in (
-            (self.chains, {r[1] for r in self.chain}, {r[2] for r in self.chain}),
             (self.both_ends, {r[1] for r in self.ends}, {r[2] for r in self.ends}),
             (self.some_values, {r[1] for r in self.some}, {t.TYPE} if self.some else set()),
         ):
@@ -211,9 +221,20 @@ class PairRules:
         return out + ([self.intersections(delta, known)] if t.TYPE in there and self.parts else [])
 
 
-def resources(facts: DataFrame, predicates: list[str]) -> DataFrame:
+def of_predicates(facts: DataFrame | Told, predicates: list[str]) -> DataFrame:
+    return (facts.rows if isinstance(facts, Told) else facts).where(F.col("p").isin(predicates))
+
+
+def of_classes(facts: DataFrame | Told, classes: list[str]) -> DataFrame:
+    """The memberships of the classes."""
+    if isinstance(facts, Told):
+        return facts.bits.facts(facts.members, classes)
+    return facts.where((F.col("p") == t.TYPE) & F.col("o").isin(classes))
+
+
+def resources(facts: DataFrame | Told, predicates: list[str]) -> DataFrame:
     """Facts of the predicates whose object is a resource."""
-    return facts.where(F.col("p").isin(predicates) & (F.col("o_kind") != "lit"))
+    return of_predicates(facts, predicates).where(F.col("o_kind") != "lit")
 
 
 def renamed(facts: DataFrame, changed: DataFrame, clusters: DataFrame) -> DataFrame:
@@ -244,14 +265,27 @@ class Closure:
     held: list[int] = field(default_factory=list)
     #: With `explained`, whatever each round derived, in all ways it did: computed from the written tables when it is read.
     ways: list[DataFrame] = field(default_factory=list)
-
-    def add(self, new: DataFrame, size: int) -> None:
+    #: Where rounds went over bits: (other facts, memberships) that each table of `rounds` shows as facts.
+    parts: list[Told] = field(default_factory=list)
+    #: All memberships that rules can make, given ones as well, each once in one of these tables of `bits`.
+    members: list[DataFrame] = field(default_factory=list)
+    bits: Bits | None = None
+    #: The given facts said of the smallest names, where names were merged before the rounds.
+    named: DataFrame | None = None
+
+    def add(self, new: DataFrame | Told, size: int) -> None:
         """One more round. A table is written again with the next one once it is not larger than that, so seldom."""
         self.sizes.append(size)
-        self.rounds.append(new)
         self.held.append(size)
+        if isinstance(new, Told):
+            self.parts.append(new)
+        self.rounds.append(new.facts() if isinstance(new, Told) else new)
         while len(self.held) > 3 and self.held[-2] <= 2 * self.held[-1]:
-            self.rounds[-2:] = [cut_lineage(self.rounds[-2].unionByName(self.rounds[-1]))]
+            if self.parts:
+                self.parts[-2:] = [self.parts[-2].with_(self.parts[-1])]
+                self.rounds[-2:] = [self.parts[-1].facts()]
+            else:
+                self.rounds[-2:] = [cut_lineage(self.rounds[-2].unionByName(self.rounds[-1]))]
             self.held[-2:] = [sum(self.held[-2:])]
 
     def added(self) -> DataFrame:
@@ -262,11 +296,15 @@ class Closure:
             none = {"rule": F.coalesce("rule", F.lit("")), "premises": F.coalesce("premises", F.array().cast(PREMISES))}
             return told.withColumns(none).select(columns)
         empty = self.base.limit(0).withColumn("rule", F.lit("")).withColumn("premises", F.array().cast(PREMISES))
-        return union_all([r.select(columns) for r in self.rounds]) if self.rounds else empty
+        return union_all([r.select(columns) for r in [empty, *self.rounds, *self.of_names()]])
 
     def new_terms(self) -> DataFrame:
         """The added facts alone."""
-        return union_all([self.base.limit(0).select(t.TERM), *[r.select(t.TERM) for r in self.rounds]])
+        return union_all([r.select(t.TERM) for r in [self.base.limit(0), *self.rounds, *self.of_names()]])
+
+    def of_names(self) -> list[DataFrame]:
+        """What was given of other names is added for the smallest ones."""
+        return [] if self.named is None else [unseen(self.named, self.base, False)]
 
     def settled(self) -> Closure:
         """The same closure with its derivations written."""
@@ -310,8 +348,12 @@ class Closure:
 
     def types(self) -> DataFrame:
         """(s, class) of every individual by its smallest name."""
-        rows = union_all([self.base.select(t.TERM), self.new_terms()]).where(F.col("p") == t.TYPE)
-        rows = rows.where((F.col("o_kind") == "iri") & ~F.startswith("o", F.lit(SOME)))
+        if self.bits is not None:
+            # those that rules can make are told apart already, so only others are made distinct
+            made = [self.bits.facts(m, [c for c in self.bits.names if not c.startswith(SOME)]) for m in self.members]
+            other = memberships(self.base if self.named is None else self.named).where(~F.col("o").isin(self.bits.names))
+            return union_all([m.select("s", F.col("o").alias("class")) for m in made] + [other.select("s", F.col("o").alias("class")).distinct()])
+        rows = memberships(union_all([self.base.select(t.TERM), self.new_terms()]))
         return self._of_names(rows).select("s", F.col("o").alias("class")).distinct()
 
     def facts(self) -> DataFrame:
@@ -339,6 +381,10 @@ class Closure:
                 return union_all(given).distinct()
 
 
+def memberships(facts: DataFrame) -> DataFrame:
+    return facts.where((F.col("p") == t.TYPE) & (F.col("o_kind") == "iri") & ~F.startswith("o", F.lit(SOME)))
+
+
 def as_bag(graph) -> DataFrame:
     """All triples, some perhaps repeated: no shuffle makes them a set."""
     if isinstance(graph, MergedGraph):
@@ -368,6 +414,9 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
     # a stored graph is read where it is; of others the facts are computed once
     base = used if isinstance(graph, StoredGraph) else cut_lineage(used)
     out = Closure(base, [], constant_rows(ax.sparkSession, NODES, []))
+    rules = None if explained else RuleBits.of(single, pairs, reach)
+    if rules is not None:
+        return merged(out, pairs, rules) if equal else marked(out, pairs, rules)
     links = constant_rows(ax.sparkSession, {"s": "string", "o": "string"}, [])
     of_single = {tuple(r) for r in single.select("on_p", "new_p", "new_o").collect()}
     delta, first = base, True
@@ -393,6 +442,107 @@ def close(graph, ax: DataFrame, equal: bool = False, explained: bool = False) ->
         delta, first = new.select(t.TERM), False
 
 
+def marked(out: Closure, pairs: PairRules, rules: RuleBits) -> Closure:
+    """The rounds over bits. A round completes the facts but memberships first, and then looks for memberships, so that
+    most of either are made in the first one."""
+    given, bits = out.base if out.named is None else out.named, rules.bits
+    known, delta, first = given, given, True
+    there, classes = in_use(given)[0], set()
+    while True:
+        more, added, n_rows = linked_facts(pairs, rules, delta, known, there if first else set(), classes, first)
+        known = known.unionByName(more) if n_rows else known
+        wanted = {r[2] for r in pairs.some} | {c for _, c in pairs.parts}
+        reads = added | (there if first else {t.TYPE} & ({t.TYPE} if classes & wanted else set()))
+        now, whole = (known, known) if first else (Told(more, delta.members, bits), Told(known, union_all(out.members), bits))
+        can = {*bits.names} if first else rules.can_make(added, pairs, t.TYPE in reads)
+        members, n_members, classes = rules.no_members(), 0, set()
+        if can:
+            members = cut_lineage(rules.members(known if first else more, pairs.typed(now, whole, reads, first), out.members, can, first))
+            n_members, classes = rules.in_use(members)
+        if first:
+            out.members, out.bits = [rules.all_of(members)], bits
+            members = members.select("node", *bits.words)
+        elif n_members:
+            out.members.append(members)
+        if not n_rows + n_members:
+            return out
+        delta = Told(more, members, bits)
+        out.add(delta, n_rows + n_members)
+        if len(out.parts) < len(out.members):  # tables of rounds were joined
+            out.members[1:] = [part.members for part in out.parts[1:]]
+        # tables that were joined since are read where they are now
+        known, first = union_all([given, *[part.rows for part in out.parts]]), False
+
+
+def linked_facts(
+    pairs: PairRules, rules: RuleBits, delta: DataFrame | Told, known: DataFrame, there: set[str], classes: set[str], first: bool
+) -> tuple[DataFrame, set[str], int]:
+    """The facts but memberships that follow from `delta` with `known`, until no more do: a written table, their predicates
+    and number. Those that `delta` has were followed already, but for the first round."""
+    steps, added, n, said, fresh = [], set(), 0, there, delta
+    if first and rules.turned:
+        steps = [cut_lineage(rules.unlike(None, known, True))]
+        added, n = in_use(steps[0])
+        said, fresh = there | added, known.unionByName(steps[0])
+    while True:
+        known_now = union_all([known, *steps])
+        links = [d.select(t.TERM) for d in pairs.linked(fresh, known_now, said, first)]
+        fixed = [r for r in rules.fixed_rows if r["on_p"] in said and (first or r["on_p"] != t.TYPE) or r["on_p"] == t.TYPE and r["on_o"] in classes]
+        if fixed:
+            of_type, others = [r["on_o"] for r in fixed if r["on_p"] == t.TYPE], [r["on_p"] for r in fixed if r["on_p"] != t.TYPE]
+            links.append(singles(of_classes(fresh, of_type).unionByName(of_predicates(fresh, others)), rules.fixed).select(t.TERM))
+        if not links:
+            break
+        near = F.col("p").isin(sorted(rules.near({r[0] for r in pairs.chain})) if len(links) > bool(fixed) else [])
+        for r in fixed:  # a fixed object that no other fact follows from reaches the scan
+            alone = not r["turned"] and rules.near({r["new_p"]}) == {r["new_p"]}
+            near = near | ((F.col("p") == r["new_p"]) & (F.col("o") == r["new_o"]) if alone else F.col("p").isin(sorted(rules.near({r["new_p"]}))))
+        new = cut_lineage(rules.unlike(union_all(links), known_now.where(near), False))
+        said, size = in_use(new)
+        if not size:
+            break
+        steps.append(new)
+        added, n, fresh, classes, first = added | said, n + size, new, set(), False
+    if not n:
+        return constant_triples(rules.bits.spark, []), added, 0
+    return steps[0] if len(steps) == 1 else cut_lineage(union_all(steps)), added, n
+
+
+def merged(out: Closure, pairs: PairRules, rules: RuleBits) -> Closure:
+    """The closure where several values of a functional property are one individual: the given facts are said of the
+    smallest names before they are closed, and again if what the closure adds merges more names."""
+    facts, whole, new = out.base, out.base, out.base
+    links = constant_rows(rules.bits.spark, {"s": "string", "o": "string"}, [])
+    while True:
+        found = cut_lineage(pairs.same(new, whole))
+        if not found.isEmpty():
+            links = cut_lineage(links.unionByName(found).distinct())
+            out.clusters = alias_clusters(links)
+            facts = whole = new = cut_lineage(said_of_names(whole, out.clusters))
+            out.named = facts
+            continue
+        if new is not facts:
+            return out
+        marked(out, pairs, rules)
+        # a round adds few predicates that names depend on
+        tables = [part.rows.where(F.col("p").isin([*pairs.functional, t.SAME_AS])) for part in out.parts]
+        if not tables or all(x.isEmpty() for x in tables):
+            return out
+        new, whole = union_all(tables), union_all([facts, *[part.rows for part in out.parts]])
+        if cut_lineage(pairs.same(new, whole)).isEmpty():
+            return out
+        out.rounds, out.sizes, out.held, out.parts, out.members = [], [], [], [], []
+
+
+def said_of_names(facts: DataFrame, clusters: DataFrame) -> DataFrame:
+    """All facts, of the clusters' smallest names."""
+    names = clusters.where("node <> cluster")
+    of_s, of_o = (names.select(F.col("node").alias(f"of_{c}"), F.col("cluster").alias(f"{c}_name")) for c in "so")
+    there = (F.col("o") == F.col("of_o")) & (F.col("o_kind") != "lit")
+    rows = facts.where(F.col("p") != t.SAME_AS).join(of_s, F.col("s") == F.col("of_s"), "left").join(of_o, there, "left")
+    return rows.select(F.coalesce("s_name", "s").alias("s"), "p", F.coalesce("o_name", "o").alias("o"), "o_kind", "o_dt", "o_lang")
+
+
 def comparable(of_single: set[tuple], pairs: PairRules, reach: DataFrame, there: set[str], first: bool) -> Column:
     """Which facts a round can derive from facts of the predicates `there`, by predicate and by object where rules name
     it. Only known facts among them can be derived again."""

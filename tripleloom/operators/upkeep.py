@@ -56,6 +56,10 @@ class Rules:
                 return out
             out.add(new, size)
             delta = new.select(t.TERM)
+            if out.bits is not None:
+                # memberships of many rounds are put together
+                tail = [*out.members[1:], out.bits.rows(delta)]
+                out.members[1:] = tail if len(tail) < 8 else [cut_lineage(union_all(tail))]
 
 
 def facts_of(found: Closure) -> DataFrame:
@@ -84,8 +88,10 @@ def extended(found: Closure, more: DataFrame, ax: DataFrame, explained: bool = F
     # what was derived so far and is given now is no longer an added fact
     derived = cut_lineage(present_in(given, found.added()))
     rounds = found.rounds if derived.isEmpty() else [r.join(derived, t.TERM, "left_anti") for r in found.rounds]
-    out = Closure(found.base.select(t.TERM).unionByName(given), [*rounds], found.clusters, [*found.sizes], [*found.held])
+    out = Closure(found.base.select(t.TERM).unionByName(given), [*rounds], found.clusters, [*found.sizes], [*found.held], bits=found.bits)
     delta = cut_lineage(given.join(derived, t.TERM, "left_anti"))
+    if out.bits is not None:
+        out.members = [*found.members, out.bits.rows(delta)]
     return out if delta.isEmpty() else rules.run(out, delta, explained)
 
 
@@ -105,7 +111,9 @@ def without(found: Closure, gone: DataFrame, ax: DataFrame, explained: bool = Fa
     out_of = cut_lineage(union_all(taken))
     base = found.base.select(t.TERM).join(lost, t.TERM, "left_anti")
     rounds = [r.join(out_of, t.TERM, "left_anti") for r in found.rounds]
-    out = Closure(base, rounds, found.clusters, [*found.sizes], [*found.held])
+    out = Closure(base, rounds, found.clusters, [*found.sizes], [*found.held], bits=found.bits)
+    if out.bits is not None:
+        out.members = out.bits.without(found.members, out_of)
     named, left = key_set(out_of, "s"), facts_of(out)
     about = among(left, "s", named).unionByName(among(left.where(F.col("o_kind") != "lit"), "o", named))
     return rules.run(out, cut_lineage(about.distinct()), explained)
