@@ -338,3 +338,16 @@ def test_known_facts_are_compared_by_the_objects_that_rules_name(spark):
     assert near({t.TYPE}, False) == {(t.GENRE, O + "genre_action"), (t.TYPE, O + "AwardWinningDirector")}
     assert near({t.GENRE}, False) == {(t.TYPE, t.MOVIE)} and near({t.NAME}, False) == set()
     assert near({t.GENRE}, True) == {(t.TYPE, t.MOVIE), (t.TYPE, O + "AwardWinningDirector")}
+
+
+def test_names_of_one_link_take_no_part_in_rounds(spark, monkeypatch):
+    """A hub and the names around it are told by one aggregation; only links between hubs go into rounds."""
+    seen = []
+    monkeypatch.setattr(inference, "components", lambda links, f=inference.components: (seen.append(links.count()), f(links))[1])
+    star = [(f"{R}h{i}", f"{R}z{i}-{j}") for i in range(3) for j in range(i + 1)] + [(R + "same", R + "same"), (R + "q", R + "p"), (R + "q", R + "p")]
+    links = lambda rows: constant_rows(spark, {"s": "string", "o": "string"}, rows)
+    got = {r["node"]: r["cluster"] for r in inference.alias_clusters(links(star)).collect()}
+    assert got == {n: m for s, o in star for n, m in ((s, s), (o, s))} | {R + "p": R + "p", R + "q": R + "p"} and not seen
+    more = links([*star, (R + "h1", R + "h2"), (R + "a", R + "h2"), (R + "h2", None)])
+    got = {r["node"]: r["cluster"] for r in inference.alias_clusters(more).collect()}
+    assert seen == [1] and None not in got and {got[n] for n in got if n[len(R):][:2] in ("h1", "h2", "z1", "z2", "a")} == {R + "a"}

@@ -517,7 +517,7 @@ def merged(out: Closure, pairs: PairRules, rules: RuleBits) -> Closure:
         found = cut_lineage(pairs.same(new, whole))
         if not found.isEmpty():
             links = cut_lineage(links.unionByName(found).distinct())
-            out.clusters = alias_clusters(links)
+            out.clusters = cut_lineage(alias_clusters(links))
             facts = whole = new = cut_lineage(said_of_names(whole, out.clusters))
             out.named = facts
             continue
@@ -605,7 +605,7 @@ def _with_names(
         found = cut_lineage(pairs.same(delta, known))
         if not found.isEmpty():
             links = cut_lineage(links.unionByName(found).distinct())
-            out.clusters = alias_clusters(links)
+            out.clusters = cut_lineage(alias_clusters(links))
             changed = out.clusters.where("node <> cluster").join(before, ["node", "cluster"], "left_anti")
             more.append(renamed(known, cut_lineage(changed), out.clusters).select(columns))
     others = out.clusters.where("node <> cluster")

@@ -196,21 +196,66 @@ def members(types: DataFrame, classes: list[str], base: str = t.RES) -> DataFram
     return types.where(F.col("class").isin(classes) & F.startswith("s", F.lit(base))).select("class", "s").distinct()
 
 
+def both_ways(links: DataFrame) -> DataFrame:
+    return links.select(
+        F.inline(F.array(
+            F.struct(F.col("s").alias("node"), F.col("o").alias("other"), F.lit(True).alias("in_s"), F.lit(False).alias("in_o")),
+            F.struct(F.col("o").alias("node"), F.col("s").alias("other"), F.lit(False).alias("in_s"), F.lit(True).alias("in_o")),
+        ))
+    )
+
+
 def alias_clusters(links: DataFrame) -> DataFrame:
     """Connected components of (s, o) identity statements as (node, cluster); the cluster is its
-    smallest node.
+    smallest node. A missing end is no node.
+
+    Most names have one other name, so those follow the name they are linked with and take no part in rounds: only links
+    between two names of several others do. One aggregation of all links tells them apart.
+    """
+    links = links.where(F.col("s").isNotNull() & F.col("o").isNotNull())
+    other = F.when(F.col("other") != F.col("node"), F.col("other"))
+    ends = cut_lineage(
+        both_ways(links).groupBy("node")
+        .agg(F.min(other).alias("lo"), F.max(other).alias("hi"), F.max("in_s").alias("in_s"), F.max("in_o").alias("in_o"))
+        .select("node", "lo", (F.col("lo") != F.col("hi")).alias("several"), "in_s", "in_o")
+    )
+    hubs = ends.where("several")
+    placed = hubs.select("node", F.least("node", "lo").alias("cluster"))
+    between = links_between(links, hubs)
+    if between is not None:
+        joined = components(between)
+        least = joined.join(placed, "node").groupBy(F.col("cluster_of").alias("of")).agg(F.min("cluster").alias("least"))
+        own = joined.join(least, F.col("cluster_of") == F.col("of")).select("node", "least")
+        placed = cut_lineage(hashed_join(placed, own, ["node"], "left").select("node", F.coalesce("least", "cluster").alias("cluster")))
+    near = ends.where("NOT coalesce(several, false)").select("node", F.coalesce("lo", "node").alias("hub"))
+    of_hub = placed.select(F.col("node").alias("hub"), F.col("cluster"))
+    # two names of only each other have no hub
+    follow = near.join(of_hub, "hub", "left").select("node", F.coalesce("cluster", F.least("node", "hub")).alias("cluster"))
+    return placed.unionByName(follow)
+
+
+def links_between(links: DataFrame, hubs: DataFrame) -> DataFrame | None:
+    """The links with both ends among `hubs`, None if there are none. The side with fewer hubs comes first, and what it leaves
+    is written, so that a few of either are known to be few."""
+    sizes = hubs.agg(F.count_if("in_s").alias("s"), F.count_if("in_o").alias("o")).first()
+    for side in sorted("so", key=lambda c: sizes[c]):
+        if not sizes[side]:
+            return None
+        own = cut_lineage(hubs.where(f"in_{side}").select(F.col("node").alias(side)))
+        links = cut_lineage(links.where("s <> o").join(own, side).select("s", "o"))
+        if links.isEmpty():
+            return None
+    return links
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, cluster_of) of the nodes of some links, with the smallest node that is connected.
 
     Least labels move along the links and each round also jumps to the label's own label, so a
     chain of n links takes about log n rounds. Labels and links are read from tables on both
     sides of the join, which lets adaptive execution split a node with a large part of all links.
     """
-    both_ways = links.select(
-        F.inline(F.array(
-            F.struct(F.col("s").alias("node"), F.col("o").alias("other")),
-            F.struct(F.col("o").alias("node"), F.col("s").alias("other")),
-        ))
-    )
-    edges = cut_lineage(both_ways.distinct())
+    edges = cut_lineage(both_ways(links).select("node", "other").distinct())
     labels = cut_lineage(
         edges.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("cluster"))
     )
@@ -224,7 +269,7 @@ def alias_clusters(links: DataFrame) -> DataFrame:
         )
         labels = after.select("node", "cluster")
         if after.where(F.col("cluster") != F.col("was")).isEmpty():
-            return labels
+            return labels.select("node", F.col("cluster").alias("cluster_of"))
 
 
 def alias_counts(members_: DataFrame, clusters: DataFrame) -> DataFrame:
