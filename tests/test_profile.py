@@ -137,3 +137,14 @@ def test_shuffles_are_dealt_out_by_the_size_of_the_tables(spark, tmp_path):
         assert spark.conf.get(PARTITIONS) == "700"
     finally:
         spark.conf.set(PARTITIONS, before) if before else spark.conf.unset(PARTITIONS)
+
+
+def test_bundle_is_dealt_by_subject(spark):
+    """Triples of one subject travel together, and are made distinct where they arrive: one exchange of triples."""
+    rows = [(f"http://x/s{i % 3}", f"http://x/p{i % 2}", f"o{i % 4}", "lit", "", "en") for i in range(24)]
+    made = profile.bundle([constant_triples(spark, rows), constant_triples(spark, rows[:5])], "b")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(s#" in plan
+    dealt = plan[plan.index("Exchange hashpartitioning(") + len("Exchange hashpartitioning("):]
+    assert "p#" not in dealt[:dealt.index(")")]
+    assert {tuple(r) for r in made.collect()} == {*rows, (t.ONT + "b", t.TYPE, t.OWL + "Ontology", "iri", "", "")} and made.count() == 13
